@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.instants import normalise
 from sluice.operators import compaction, drift, lateness, quotient, shredding
+from sluice.plans import oracles
 from sluice.session import shared_dir, table
 
 DOCUMENTS = {"payload": "payload_json", "envelope": "envelope_json"}
@@ -182,4 +183,5 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
     return quotient.first_copies(rows, quotient.message_name(), "landed_no").select("landed_no", "event_source", "event_type", "_s3_etag", "business_date")
 
 
+SQL = oracles.SQL
 QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p5_found, p5_changes, p5_totals, p6_found, p6_once)}
