@@ -1,3 +1,13 @@
 """sluice: a PySpark-native ingestion, history and data-preparation engine."""
 
+import sys
+
+try:
+    from pyspark import cloudpickle
+except ImportError:  # configuration, manifests and decoding work without Spark
+    pass
+else:
+    # Functions that run on executors travel with their code, so executors need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

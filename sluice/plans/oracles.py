@@ -107,8 +107,6 @@ recursive walk as (
 SQL = {
     "p1_found": f"with {_WALK} select landed_no, path as child_path from walk where kind is not null",
     "p1_hops": f"""with {_WALK} select landed_no, path as record_path, parent as parent_path, cast(ordinal as int) as ordinal, 1 as depth, node ->> '$.relay' as relay, try_cast(node ->> '$.lag' as bigint) as lag from walk where kind = 'hops'""",
-    "p1_lines": f"""with {_WALK} select landed_no, path as record_path, parent as parent_path, cast(ordinal as int) as ordinal, 1 as depth, node ->> '$.sku' as sku, try_cast(node ->> '$.qty' as bigint) as qty,
-  cast(try_cast(node ->> '$.price' as decimal(38, 19)) as varchar) as price from walk where kind = 'lines'""",
     "p2_instants": f"with {_TIMES} select table_name, row_no, micros from instants where micros is not null",
     "p2_found": f"with {_TIMES} select table_name, row_no from instants where micros is null",
     "p3_found": """
