@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import leakage
+from sluice.llm import leakage, mixing
 from sluice.session import stored, table
 
 
@@ -25,5 +25,16 @@ def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("words").alias("longest"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_leaks)}
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The mix: each text used, with its number of copies."""
+    counted = stored(mixing.count_tokens(table(spark, d, "documents"), ["doc_id", "source"]), "p8-tokens")
+    return mixing.mix(counted, table(spark, d, "mix_targets"), counted=counted)
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The share of all tokens that each source reached."""
+    return mixing.shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p7_found, p7_leaks, p8_mix, p8_shares)}
 SQL: dict[str, str] = {}
