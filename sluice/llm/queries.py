@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import leakage, mixing
+from sluice.llm import leakage, mixing, truncation
 from sluice.session import stored, table
 
 
@@ -36,5 +36,19 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p7_found, p7_leaks, p8_mix, p8_shares)}
+def profiled(spark: SparkSession, d: str) -> DataFrame:
+    return stored(truncation.profile(table(spark, d, "documents")), "p9-profile", "tag")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that stop because the rest is lost."""
+    return truncation.detect(profiled(spark, d)).select("doc_id")
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source truncates."""
+    return truncation.rates(profiled(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p7_found, p7_leaks, p8_mix, p8_shares, p9_found, p9_rates)}
 SQL: dict[str, str] = {}
