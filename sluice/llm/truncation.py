@@ -180,13 +180,13 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     """Every text with the evidence about its end and its cause, '' for a whole text; see detect."""
     docs = profiled.where(F.col("tag") == "doc").select("doc_id", "source", "chars", "bytes", "cause", "ending", "kind", F.col("word").alias("last"), "message")
     words = profiled.where(F.col("tag") == "word").groupBy("kind", "word").agg(*[F.sum(c).alias(c) for c in ("n", "bare", "marked", "dotted")])
-    # Known: stands in running text, where it goes on; or so often that it is no accident.
+    # Known: stands in running text, where it goes on; or so often that it is no accident (see is_known below).
     over = words.groupBy("word").agg(F.sum(F.col("n") - F.col("bare") - F.col("dotted")).alias("inner"), F.sum("n").alias("all"), F.sum(F.col("bare") + F.col("marked")).alias("all_ends"))
     known = over.where((F.col("inner") >= 2) | (F.col("all") >= 20))
     # A kind of line is rigid if nearly all its lines end in words that do little else: log lines, not list items.
     closing = F.sum(F.when(F.col("bare") >= 0.9 * F.col("n"), F.col("bare")).otherwise(0)) / F.sum("bare")
-    rigid = words.groupBy("kind").agg((closing >= 0.9).alias("rigid"))
-    letters = known.where(F.col("word").rlike(r"^[\p{L}_'’-]{2,40}$")).select("word", F.col("all").alias("n"))
+    rigid = words.groupBy("kind").agg((closing >= 0.9).alias("rigid"), F.sum("bare").alias("kind_bare"))
+    vocabulary = known.where(F.length("word").between(2, 40)).select("word", F.col("all").alias("n"))
     style = profiled.where(F.col("tag") == "style").groupBy("source", "kind").agg((F.sum("bare") / F.sum("n")).alias("bare_style"))
     short = profiled.where(F.col("tag") == "short").groupBy(F.col("word").alias("message")).agg(F.sum("n").alias("times"))
     lengths = docs.where(F.col("ending") == "bare").select("source", F.explode(F.array_distinct(F.array("chars", "bytes"))).alias("length")).groupBy("source", "length").agg(F.count(F.lit(1)).alias("here"))
@@ -194,20 +194,23 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     limits = lengths.where("here >= 5").join(near, ["source", "length"]).where(F.col("here") * 50 >= piled * (F.col("around") - F.col("here"))).select("source", "length", F.lit(True).alias("at_limit"))
 
     open_ = docs.where((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))
-    x = open_.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), ((F.col("inner") >= 2) | (F.col("all") >= 20)).alias("is_known"), "all", "all_ends"), "last", "left").join(rigid, "kind", "left")
-    x = x.join(trie(letters).withColumnRenamed("prefix", "last"), "last", "left").join(style, ["source", "kind"], "left").join(short, "message", "left")
+    x = open_.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), "inner", "all", "all_ends"), "last", "left").join(rigid, "kind", "left")
+    x = x.join(trie(vocabulary).withColumnRenamed("prefix", "last"), "last", "left").join(style, ["source", "kind"], "left").join(short, "message", "left")
     for c in ("chars", "bytes"):
         x = x.join(limits.select("source", F.col("length").alias(c), F.col("at_limit").alias(f"at_{c}")), ["source", c], "left")
     n, bare, dotted = (F.greatest(F.coalesce(c, F.lit(0)) - own, F.lit(0)) for c, own in (("n", 1), ("bare", F.when(F.col("ending") == "bare", 1).otherwise(0)), ("dotted", F.when(F.col("ending") == "dotted", 1).otherwise(0))))
     times, below = F.coalesce("times", F.lit(0)) - 1, F.coalesce("below", F.lit(0))
     at_limit = F.coalesce("at_chars", "at_bytes", F.lit(False))
     loose = F.coalesce("bare_style", F.when(F.col("kind").isin("bullet", "heading", "log"), 1.0).otherwise(0.0)) >= 0.5
-    part = ~F.coalesce("is_known", F.lit(False)) & (below > 0)
-    closer = (times >= 5) | ((bare >= 5) & (bare >= 0.5 * n))
+    # All bounds are shares of what runs through the prefix or ends such lines, so they mean the same at any size.
+    inner, every, kind_bare = (F.coalesce(c, F.lit(0)) for c in ("inner", "all", "kind_bare"))
+    is_known = ((inner >= 2) & (inner >= 0.001 * below)) | ((every >= 20) & (every >= 0.005 * below))
+    part = ~is_known & (below > 0)
+    closer = (times >= F.greatest(F.lit(3), 0.005 * kind_bare)) | ((bare >= F.greatest(F.lit(3), 0.005 * kind_bare)) & (bare >= 0.5 * n))
     own = F.when(F.col("ending") == "bare", 1).otherwise(0)
     of, ends = (F.when(F.coalesce("rigid", F.lit(False)), a).otherwise(F.coalesce(b, F.lit(0)) - o) for a, b, o in ((n, "all", 1), (bare, "all_ends", own)))
-    ends_rarely = F.when(of >= 3, ends < F.when(at_limit, 0.5).otherwise(0.02) * of).otherwise(F.col("last").rlike("[0-9]") | (F.col("last") == "") | at_limit)
-    cause = (F.when(part, "word").when(F.col("ending") == "dotted", F.when((dotted >= 5) & (dotted >= 0.3 * n), "").otherwise("dots"))
+    ends_rarely = F.when(of >= 3, ends < F.when(at_limit, 0.5).otherwise(0.002) * of).otherwise(F.col("last").rlike("[0-9]") | (F.col("last") == "") | at_limit)
+    cause = (F.when(part, "word").when(F.col("ending") == "dotted", F.when((dotted >= 3) & (dotted >= 0.3 * n), "").otherwise("dots"))
              .when(loose, F.when(ends_rarely, F.when(at_limit, "limit").otherwise("sentence")).otherwise("")).when(closer, "").otherwise(F.when(at_limit, "limit").otherwise("sentence")))
     judged = x.select("doc_id", "source", "chars", "ending", "kind", "last", n.alias("n"), bare.alias("bare"), dotted.alias("dotted"), below.alias("below"), times.alias("times"), "bare_style", at_limit.alias("at_limit"), cause.alias("cause"))
     rest = docs.where(~((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))).select("doc_id", "source", "chars", "ending", "kind", "last", "cause")
