@@ -132,7 +132,7 @@ def normalise(df: DataFrame, value: str, zone: Column | None = None, month_first
     offset_ok = ~c("__num") | ((c("__oh") <= 18) & (c("__om") < 60))
     e = c("__e").cast("bigint")
     digits = F.length(F.regexp_replace("__e", "-", ""))
-    below = F.when(digits >= 18, F.pmod(e, F.lit(1000))).otherwise(0)
+    below = F.when(digits >= 18, F.pmod(e, F.lit(1000))).when(digits.isNotNull(), 0)
     epoch_us = F.when(digits <= 10, e * 1_000_000).when(digits <= 13, e * 1_000).when(digits <= 16, e).otherwise(F.expr("(bigint(__e) - pmod(bigint(__e), 1000)) div 1000"))
     x = _let(x, __valid=F.coalesce(date_ok & time_ok & offset_ok, F.lit(False)), __eus=epoch_us, __ens=below.cast("int"),
              __fix=F.when(c("__num"), (c("__oh") * 60 + c("__om")) * F.when(F.substring("__z", 1, 1) == "-", -1).otherwise(1)).otherwise(c("__zfixed")))

@@ -79,23 +79,34 @@ def _as(value: Column, kind: str) -> Column:
     return got
 
 
+def _members(json: Column) -> Column:
+    """The members of a JSON object; null where the text is no JSON object. Numbers of up to 38 digits stay exact."""
+    return F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>")
+
+
 def _field(raw: str, name: str) -> Column:
-    """A member by name without letter case; of a name twice, the last."""
-    return F.try_element_at(F.transform(F.filter(F.map_entries(raw), lambda e: F.lower(e["key"]) == name.lower()), lambda e: e["value"]), F.lit(-1))
+    """A member's text by name without letter case; of names that differ in case only, the last. A JSON null is null."""
+    return F.try_element_at(F.transform(F.filter(F.map_entries(raw), lambda e: F.lower(e["key"]) == name.lower()), lambda e: e["value"].cast("string")), F.lit(-1))
+
+
+def _lost(raw: str, target: dict[str, str]) -> Column:
+    """The members that a target doesn't know or whose value its type can't hold."""
+    cannot = lambda k, v: F.coalesce(*[F.when(F.lower(k) == c.lower(), _as(v, t).isNull()) for c, t in target.items()], F.lit(False))
+    return F.map_filter(raw, lambda k, v: v.cast("string").isNotNull() & (~F.lower(k).isin(*[c.lower() for c in target]) | cannot(k, v.cast("string"))))
 
 
 def ingest(records: DataFrame, record: str, target: dict[str, str], rescue: str = "_rescued") -> DataFrame:
     """``records`` with the target's columns, typed, and ``rescue``: a JSON object of all fields that the target doesn't know
     or whose value its type can't hold, null if there are none. The record column is dropped.
 
-    Names match without letter case; a name twice keeps the last value as it stands in the JSON. A JSON null is a null of
-    any type. Text that is no JSON object gives nulls and is kept under ``_record``. Numbers are kept with all their digits.
+    Names match without letter case; of names that differ in case only, the last counts. A JSON null is a null of
+    any type. Text that is no JSON object (or has a member twice) gives nulls and is kept under ``_record``. Numbers keep up to
+    38 digits; structures in text columns are their JSON.
     """
     keep = [c for c in records.columns if c != record and c not in target and c != rescue]
-    parsed = F.from_json(F.col(f"`{record}`"), "map<string,string>", {"mode": "PERMISSIVE"})
-    x = records.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{record}`").alias("__text"), parsed.alias("__raw"))
+    x = records.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{record}`").alias("__text"), _members(F.col(f"`{record}`")).alias("__raw"))
     typed = {c: _as(_field("__raw", c), t) for c, t in target.items()}
-    lost = F.map_filter("__raw", lambda k, v: v.isNotNull() & (~F.lower(k).isin(*[c.lower() for c in target]) | F.coalesce(*[F.when(F.lower(k) == c.lower(), _as(v, t).isNull()) for c, t in target.items()], F.lit(False))))
+    lost = _lost("__raw", target)
     broken = F.col("__raw").isNull() & F.col("__text").isNotNull()
     return x.select(*keep, *[v.alias(c) for c, v in typed.items()], F.when(broken, F.to_json(F.create_map(F.lit("_record"), F.col("__text")))).when(F.size(lost) > 0, F.to_json(lost)).alias(rescue))
 
@@ -108,11 +119,10 @@ def promote(target: dict[str, str], approved: dict[str, str]) -> dict[str, str]:
 
 def replay(ingested: DataFrame, target: dict[str, str], rescue: str = "_rescued") -> DataFrame:
     """``ingested`` under a newer target: columns take rescued values that they can hold, which then leave the rescue column."""
-    raw = F.from_json(F.col(rescue), "map<string,string>")
-    x = ingested.withColumn("__raw", raw)
+    x = ingested.withColumn("__raw", _members(F.col(rescue)))
     have = {c.lower(): c for c in ingested.columns}
     typed = {c: F.coalesce(F.col(f"`{have[c.lower()]}`").try_cast(t), _as(_field("__raw", c), t)) if c.lower() in have else _as(_field("__raw", c), t) for c, t in target.items()}
-    lost = F.map_filter("__raw", lambda k, v: ~F.lower(k).isin(*[c.lower() for c in target]) | F.coalesce(*[F.when(F.lower(k) == c.lower(), _as(v, t).isNull()) for c, t in target.items()], F.lit(False)))
+    lost = _lost("__raw", target)
     keep = [c for c in ingested.columns if c.lower() not in {t.lower() for t in target} and c != rescue]
     return x.select(*keep, *[v.alias(c) for c, v in typed.items()], F.when(F.size(lost) > 0, F.to_json(lost)).alias(rescue))
 
@@ -127,7 +137,7 @@ def rescue_long(samples: DataFrame, runs: DataFrame, record: str = "record_json"
     src = ["source_system", "source_key"]
     target = runs.groupBy(*src).agg(F.max_by("columns", F.struct("at", "run_id")).alias("__target"))
     of = runs.select("run_id", *src).join(target, src)
-    fields = samples.select(*keys, F.explode(F.from_json(record, "map<string,string>")).alias("column_name", "__v")).where(F.col("__v").isNotNull())
+    fields = samples.select(*keys, F.explode(F.transform_values(_members(F.col(record)), lambda k, v: v.cast("string"))).alias("column_name", "__v")).where(F.col("__v").isNotNull())
     x = fields.join(of, "run_id", "left").withColumn("column_name", F.lower("column_name")).withColumn("catalog_type", F.col("__target")[F.col("column_name")])
     v = F.col("__v")
     simple = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp")

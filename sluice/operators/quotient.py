@@ -152,8 +152,9 @@ def mark_copies(df: DataFrame, identifier: list[Column], order: str, is_copy: st
     # Each part with its length in front, so that no two lists of parts give the same text.
     piece = [F.when(i.isNull(), "-").otherwise(F.concat(F.length(i.cast("string")).cast("string"), F.lit(":"), i.cast("string"))) for i in identifier]
     x = df.select("*", F.concat(*piece).cast("binary").alias("__id"), F.col(f"`{order}`").alias("__order")).toDF(*[f"c{i}" for i in range(len(own))], "__id", "__order")
-    first = T.StructType([*x.schema.fields, T.StructField("__shard", T.IntegerType())])
-    last = T.StructType([*(f for f in x.schema.fields if f.name != "__id"), T.StructField("__copy", T.BooleanType())])
+    fields = [T.StructField(f.name, f.dataType) for f in x.schema]  # all may be null: copies lose their identifier
+    first = T.StructType([*fields, T.StructField("__shard", T.IntegerType())])
+    last = T.StructType([*(f for f in fields if f.name != "__id"), T.StructField("__copy", T.BooleanType())])
     local = x.sortWithinPartitions("__order").mapInArrow(_first_pass, first)
     done = local.repartition("__shard").sortWithinPartitions("__order").mapInArrow(_second_pass, last)
     return done.select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(own)], F.col("__copy").alias(is_copy))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ class VersionedTotals:
     def state(self, version: int) -> DataFrame:
         if version < 0:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/state/v={version}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/state/__version={version}")
 
     def batch(self, df: DataFrame, number: int) -> None:
         x = lateness.classify(df, self.event, self.arrival, self.period_s, 0, self.cutoff_s)
@@ -38,13 +39,16 @@ class VersionedTotals:
         delta = kept.groupBy(*[F.col(k).cast("string").alias(k) for k in self.keys], "period_start").agg(*[F.sum(F.expr(e)).cast("bigint").alias(m) for m, e in self.measures.items()])
         on = [*self.keys, "period_start"]
         old = self.state(number - 1)
-        both = old.select(*on, *[F.col(m).alias(f"old_{m}") for m in self.measures]).join(delta.select(*on, *[F.col(m).alias(f"d_{m}") for m in self.measures]), on, "full")
+        a = old.select(*[F.col(k).alias(f"old_{k}") for k in (*on, *self.measures)])
+        b = delta.select(*[F.col(k).alias(f"d_{k}") for k in (*on, *self.measures)])
+        same = reduce(lambda x, y: x & y, [F.col(f"old_{k}").eqNullSafe(F.col(f"d_{k}")) for k in on])  # a null key is a key like any
+        both = a.join(b, same, "full").select("*", *[F.coalesce(f"old_{k}", f"d_{k}").alias(k) for k in on])
         changed = F.coalesce(*[F.col(f"d_{m}") for m in self.measures]).isNotNull()
         new = {m: F.coalesce(f"old_{m}", F.lit(0)) + F.coalesce(f"d_{m}", F.lit(0)) for m in self.measures}
         both = both.withColumns({m: c.cast("bigint") for m, c in new.items()}).withColumn("changed", changed)
         # Overwriting makes a repeated batch harmless.
-        both.select(*on, *self.measures).write.mode("overwrite").parquet(f"{self.root}/state/v={number}")
+        both.select(*on, *self.measures).write.mode("overwrite").parquet(f"{self.root}/state/__version={number}")
         had = F.coalesce(*[F.col(f"old_{m}") for m in self.measures]).isNotNull()
         signs = F.when(had, F.array(F.struct(F.lit(-1).alias("sign"), *[F.col(f"old_{m}").alias(m) for m in self.measures]), F.struct(F.lit(1).alias("sign"), *[F.col(m) for m in self.measures])))
         log = both.where("changed").select(*on, F.inline(signs.otherwise(F.array(F.struct(F.lit(1).alias("sign"), *[F.col(m) for m in self.measures])))))
-        log.write.mode("overwrite").parquet(f"{self.root}/changes/v={number}")
+        log.write.mode("overwrite").parquet(f"{self.root}/changes/__version={number}")
