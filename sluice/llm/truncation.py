@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_STATS = "tag string, kind string, word string, n bigint, bare bigint, marked bigint, dotted bigint, doc_id bigint, source string, chars bigint, bytes bigint, cause string, ending string, last string, message string"
-_FIELDS = [("tag", pa.string()), ("kind", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("bare", pa.int64()), ("marked", pa.int64()), ("dotted", pa.int64()), ("doc_id", pa.int64()),
+_STATS = "tag string, kind string, word string, n bigint, bare bigint, marked bigint, dotted bigint, final bigint, doc_id bigint, source string, chars bigint, bytes bigint, cause string, ending string, last string, message string"
+_FIELDS = [("tag", pa.string()), ("kind", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("bare", pa.int64()), ("marked", pa.int64()), ("dotted", pa.int64()), ("final", pa.int64()), ("doc_id", pa.int64()),
            ("source", pa.string()), ("chars", pa.int64()), ("bytes", pa.int64()), ("cause", pa.string()), ("ending", pa.string()), ("last", pa.string()), ("message", pa.string())]
 _KINDS = [(re.compile(p), k) for p, k in (
     (r"\s*[-*+•]\s", "bullet"), (r"\s*\d{1,3}[.)]\s", "number"), (r"\s*#{1,6}\s", "heading"), (r"\s*>", "quote"), (r"\[?\d{4}-\d\d-\d\d[ T]\d\d:\d\d", "log"), (r"[A-Za-z][\w.-]{0,20}: ", "speaker"),
@@ -94,6 +94,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: dict[str, Counter] = defaultdict(Counter)
         ends: dict[str, Counter] = defaultdict(Counter)
+        finals: dict[str, Counter] = defaultdict(Counter)
         style: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
         short: Counter = Counter()
         rows: list[tuple] = []
@@ -102,7 +103,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             cause, ending, kind, last, message = describe(text)
             source = source or ""
-            rows.append(("doc", kind, _shape(last), None, None, None, None, i, source, len(text), len(text.encode("utf-8", "replace")), cause, ending, last, message if message and len(message.split()) <= 4 else None))
+            rows.append(("doc", kind, _shape(last), *[None] * 5, i, source, len(text), len(text.encode("utf-8", "replace")), cause, ending, last, message if message and len(message.split()) <= 4 else None))
             lines = text.rstrip().split("\n")
             by: dict[str, list[str]] = {}
             fenced = False
@@ -116,7 +117,9 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 this = "code" if fenced else _kind(line)
                 by.setdefault(this, []).append(line)
                 ends[this][tokens[-1]] += 1
-                if k + 1 < len(lines):
+                if k + 1 == len(lines):
+                    finals[this][tokens[-1]] += 1
+                else:
                     s = style[source, this]
                     s[0] += 1
                     s[1] += not _MARK.search(tokens[-1])
@@ -127,7 +130,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for this, own in by.items():
                 counts[this].update(" ".join(own).split())
         for kind, tokens in counts.items():
-            total: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+            total: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0])
             for token, n in tokens.items():
                 word, how = _end(token)
                 if not word:
@@ -142,9 +145,13 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 word, how = _end(token)
                 if word and how in ("bare", "inside"):
                     total[_shape(word)][1] += n
+            for token, n in finals[kind].items():
+                word, how = _end(token)
+                if word and how != "marked":
+                    total[_shape(word)][4] += n
             rows += [("word", kind, w, *t, *[None] * 8) for w, t in total.items()]
-        rows += [("style", kind, None, n, bare, None, None, None, source, *[None] * 6) for (source, kind), (n, bare) in style.items()]
-        rows += [("short", None, m, n, *[None] * 11) for m, n in short.items()]
+        rows += [("style", kind, None, n, bare, None, None, None, None, source, *[None] * 6) for (source, kind), (n, bare) in style.items()]
+        rows += [("short", None, m, n, *[None] * 12) for m, n in short.items()]
         cols = list(zip(*rows)) if rows else [()] * len(_FIELDS)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, _FIELDS)], [k for k, _ in _FIELDS])
 
@@ -157,7 +164,7 @@ def profile(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", so
 
 def trie(words: DataFrame) -> DataFrame:
     """The vocabulary trie as a table: for each prefix, ``below``, how often known words run through it and on."""
-    prefixes = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("prefix"), "n")
+    prefixes = words.where(F.length("word") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("prefix"), "n")
     return prefixes.groupBy("prefix").agg(F.sum("n").alias("below"))
 
 
@@ -179,14 +186,14 @@ def detect(profiled: DataFrame, piled: int = 8) -> DataFrame:
 def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     """Every text with the evidence about its end and its cause, '' for a whole text; see detect."""
     docs = profiled.where(F.col("tag") == "doc").select("doc_id", "source", "chars", "bytes", "cause", "ending", "kind", F.col("word").alias("last"), "message")
-    words = profiled.where(F.col("tag") == "word").groupBy("kind", "word").agg(*[F.sum(c).alias(c) for c in ("n", "bare", "marked", "dotted")])
-    # Known: stands in running text, where it goes on; or so often that it is no accident (see is_known below).
-    over = words.groupBy("word").agg(F.sum(F.col("n") - F.col("bare") - F.col("dotted")).alias("inner"), F.sum("n").alias("all"), F.sum(F.col("bare") + F.col("marked")).alias("all_ends"))
-    known = over.where((F.col("inner") >= 2) | (F.col("all") >= 20))
+    words = profiled.where(F.col("tag") == "word").groupBy("kind", "word").agg(*[F.sum(c).alias(c) for c in ("n", "bare", "marked", "dotted", "final")])
+    # Known: stands elsewhere than at a text's end, where nothing shows that it goes on (see is_known below).
+    over = words.groupBy("word").agg(F.sum(F.col("n") - F.col("final")).alias("inner"), F.sum("n").alias("all"), F.sum(F.col("bare") + F.col("marked")).alias("all_ends"))
+    known = over.where("inner >= 2")
     # A kind of line is rigid if nearly all its lines end in words that do little else: log lines, not list items.
-    closing = F.sum(F.when(F.col("bare") >= 0.9 * F.col("n"), F.col("bare")).otherwise(0)) / F.sum("bare")
+    closing = F.try_divide(F.sum(F.when(F.col("bare") >= 0.9 * F.col("n"), F.col("bare")).otherwise(0)), F.sum("bare"))
     rigid = words.groupBy("kind").agg((closing >= 0.9).alias("rigid"), F.sum("bare").alias("kind_bare"))
-    vocabulary = known.where(F.length("word").between(2, 40)).select("word", F.col("all").alias("n"))
+    vocabulary = known.where(F.length("word").between(2, 40)).select("word", F.col("inner").alias("n"))
     style = profiled.where(F.col("tag") == "style").groupBy("source", "kind").agg((F.sum("bare") / F.sum("n")).alias("bare_style"))
     short = profiled.where(F.col("tag") == "short").groupBy(F.col("word").alias("message")).agg(F.sum("n").alias("times"))
     lengths = docs.where(F.col("ending") == "bare").select("source", F.explode(F.array_distinct(F.array("chars", "bytes"))).alias("length")).groupBy("source", "length").agg(F.count(F.lit(1)).alias("here"))
@@ -203,10 +210,11 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     at_limit = F.coalesce("at_chars", "at_bytes", F.lit(False))
     loose = F.coalesce("bare_style", F.when(F.col("kind").isin("bullet", "heading", "log"), 1.0).otherwise(0.0)) >= 0.5
     # All bounds are shares of what runs through the prefix or ends such lines, so they mean the same at any size.
-    inner, every, kind_bare = (F.coalesce(c, F.lit(0)) for c in ("inner", "all", "kind_bare"))
-    is_known = ((inner >= 2) & (inner >= 0.001 * below)) | ((every >= 20) & (every >= 0.005 * below))
+    inner, kind_bare = F.coalesce("inner", F.lit(0)), F.coalesce("kind_bare", F.lit(0))
+    often = F.greatest(F.lit(3), 0.005 * kind_bare)
+    is_known = ((inner >= 2) & (inner >= 0.0005 * below)) | (times >= often)
     part = ~is_known & (below > 0)
-    closer = (times >= F.greatest(F.lit(3), 0.005 * kind_bare)) | ((bare >= F.greatest(F.lit(3), 0.005 * kind_bare)) & (bare >= 0.5 * n))
+    closer = (times >= often) | ((bare >= often) & (bare >= 0.5 * n))
     own = F.when(F.col("ending") == "bare", 1).otherwise(0)
     of, ends = (F.when(F.coalesce("rigid", F.lit(False)), a).otherwise(F.coalesce(b, F.lit(0)) - o) for a, b, o in ((n, "all", 1), (bare, "all_ends", own)))
     ends_rarely = F.when(of >= 3, ends < F.when(at_limit, 0.5).otherwise(0.002) * of).otherwise(F.col("last").rlike("[0-9]") | (F.col("last") == "") | at_limit)
