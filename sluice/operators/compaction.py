@@ -47,8 +47,10 @@ def committed_files(manifests: DataFrame, files: DataFrame) -> DataFrame:
     """The rows of ``files`` that a successful manifest names, each file once, with ``source_system, table_name, day``.
 
     Left-overs that no manifest names and names of files that are gone drop out. Repeated rows of a file give one row: the
-    largest by all its columns, so the result is the same for any order. Spelling in ``files`` is kept.
+    largest by all its columns, so the result is the same for any order. Spelling in ``files`` is kept. Columns of ``files``
+    named like the three new ones give way to them.
     """
+    files = files.drop("source_system", "table_name", "day")
     uri = canonical_uri(F.col("file_uri"))
     part = lambda i: F.nullif(F.regexp_extract("__uri", RUN_FOLDER, i), F.lit(""))
     known = files.select(*files.columns, uri.alias("__uri")).select(*files.columns, part(1).alias("source_system"), part(2).alias("table_name"), part(3).alias("day"), part(4).alias("__run"), part(5).alias("__name"))

@@ -95,3 +95,45 @@ def feed_settings(census: DataFrame, share: float = 0.5) -> dict[str, str]:
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n) of keys that stand there more than once."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def _json_type(text: Column) -> Column:
+    """The type of JSON text by its first character; null for a null."""
+    head = F.substring(F.ltrim(text), 1, 1)
+    return (F.when(text.isNull(), "none").when(head == "{", "object").when(head == "[", "array").when(head == '"', "string").when(head.isin("t", "f"), "boolean").when(head == "n", "null").otherwise("number"))
+
+
+def census(records: DataFrame, envelope: str, payload: str, id_paths: list[str], version_paths: list[str], carriers: tuple[str, ...] = ("data_base64", "data"), keys: int = 40) -> DataFrame:
+    """(measure, value, records): nine frequency tables of a feed in one pass.
+
+    carrier (which envelope member holds the payload), codec (of a base64 carrier), type (of the payload), wrapper (the object
+    around the id, by its path), key (top-level members, the ``keys`` most frequent), id_path, id_type (path and JSON type),
+    id_match (whether the id equals the envelope id's last part behind a colon), version_path. A null payload counts under
+    type ``none`` only.
+    """
+    e, p = F.col(f"`{envelope}`"), F.col(f"`{payload}`")
+    held = {c: F.get_json_object(e, f"$.{c}") for c in carriers}
+    carrier = F.coalesce(*[F.when(v.isNotNull(), F.lit(c)) for c, v in held.items()], F.lit("neither"))
+    coded = F.coalesce(*[v for c, v in held.items() if c.endswith("base64")], F.lit(None).cast("string"))
+    one = lambda m, v: F.struct(F.lit(m).alias("measure"), v.alias("value"))
+    found = [F.get_json_object(p, x) for x in id_paths]
+    wrapper = F.coalesce(*[F.when(v.isNotNull(), F.lit(x.rsplit(".", 1)[0])) for x, v in zip(id_paths, found)], F.lit("bare"))
+    suffix = F.element_at(F.split(F.get_json_object(e, "$.id"), ":"), -1)
+    is_object = _json_type(p) == "object"
+    rows = [one("carrier", carrier), one("codec", F.when(coded.isNotNull(), sniff(F.try_to_binary(F.regexp_replace(coded, r"\s+", ""), F.lit("base64"))))), one("type", _json_type(p)), one("wrapper", F.when(is_object, wrapper))]
+    for x, v in zip(id_paths, found):
+        typed = F.schema_of_variant(F.variant_get(F.try_parse_json(p), x, "variant"))
+        rows += [one("id_path", F.when(v.isNotNull(), F.lit(x))), one("id_type", F.when(v.isNotNull(), F.concat(F.lit(x + " "), F.lower(typed)))), one("id_match", F.when(v.isNotNull() & F.get_json_object(e, "$.id").contains(":"), F.when(suffix == v, x + " ==").otherwise(x + " !=")))]
+    rows += [one("version_path", F.when(F.get_json_object(p, x).isNotNull(), F.lit(x))) for x in version_paths]
+    keys_of = F.transform(F.coalesce(F.when(is_object, F.json_object_keys(p)), F.array().cast("array<string>")), lambda k: F.struct(F.lit("key").alias("measure"), k.alias("value")))
+    each = records.select(F.explode(F.concat(F.array(*rows), keys_of)).alias("r")).where(F.col("r.value").isNotNull())
+    counts = each.groupBy("r.measure", "r.value").agg(F.count(F.lit(1)).alias("records"))
+    top = F.row_number().over(Window.partitionBy("measure").orderBy(F.col("records").desc(), "value"))  # over distinct values only
+    return counts.withColumn("__rn", top).where((F.col("measure") != "key") | (F.col("__rn") <= keys)).drop("__rn")
+
+
+def sample_newest(objects: DataFrame, folder: str, modified: str, hours: int, sample: int) -> DataFrame:
+    """Objects of the newest ``hours`` folders, at most sample/hours of each, newest first: a sample by design."""
+    newest = objects.select(folder).distinct().orderBy(F.col(folder).desc()).limit(hours)
+    w = Window.partitionBy(folder).orderBy(F.col(modified).desc())
+    return objects.join(newest, folder, "left_semi").withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= max(1, sample // hours)).drop("__rn")

@@ -224,3 +224,54 @@ def subtype(records: DataFrame, kind: str, typed: dict[str, str], keys: list[str
     cast: dict[str, Column] = {f: F.col("fields")[f].try_cast(t) for f, t in typed.items()}
     lost = F.map_filter("fields", lambda k, v: ~k.isin(*typed) | F.coalesce(*[F.when((k == f) & v.isNotNull(), v.try_cast(t).isNull()) for f, t in typed.items()], F.lit(False)))
     return own.select(*keys, "record_path", "parent_path", "ordinal", "depth", "variant", *[c.alias(f) for f, c in cast.items()], lost.alias("other_fields"))
+
+
+#: SQL type of each leaf state. Fixed values.
+LEAF_TYPES = {"int": "decimal(38,0)", "decimal": "decimal(38,19)", "bool": "boolean", "string": "string", "null": "string"}
+
+
+def variant_fields(definition: str) -> dict[str, str]:
+    """The typed fields of a structural variant, by dotted name, from its definition; arrays are JSON text."""
+    at, out = definition.index("{") if "{" in definition else len(definition), {}
+
+    def value(i: int, name: str) -> int:
+        if definition[i] == "{":
+            i += 1
+            while definition[i] != "}":
+                key, end = json.JSONDecoder().raw_decode(definition, i)
+                i = value(end + 1, f"{name}.{key}" if name else key)
+                i += definition[i] == ","
+            return i + 1
+        if definition[i] in "[<":
+            depth, start = 0, i
+            while True:
+                c = definition[i]
+                if c == '"':
+                    _, i = json.JSONDecoder().raw_decode(definition, i)
+                    continue
+                depth += (c in "[<{") - (c in "]>}")
+                i += 1
+                if not depth:
+                    break
+            if definition[start] == "[":
+                out[name or "value"] = "string"
+            return i
+        end = next((k for k in range(i, len(definition)) if definition[k] in ",}"), len(definition))
+        out[name or "value"] = LEAF_TYPES[definition[i:end]]
+        return end
+
+    if at < len(definition):
+        value(at, "")
+    return out
+
+
+def write_subtypes(records: DataFrame, keys: list[str], folder: str) -> None:
+    """Routes every record to its subtype's table: Parquet below ``folder``, by kind and structural variant, with the supertype's
+    keys and parent link. One pass, no shuffle; ``subtype`` gives the fields their types when a table is read."""
+    columns = [*keys, "record_path", "parent_path", "ordinal", "depth", "carrier", "fields"]
+    records.select("kind", "variant", *columns).write.partitionBy("kind", "variant").parquet(folder)
+
+
+def read_subtype(spark, folder: str, kind: str, variant: str, definition: str, keys: list[str]) -> DataFrame:
+    """One variant's table with the types its definition gives; only its own folder is read."""
+    return subtype(spark.read.parquet(folder).where((F.col("kind") == kind) & (F.col("variant") == variant)), kind, variant_fields(definition) or {"value": "string"}, keys)

@@ -354,3 +354,20 @@ def shape_census(spark: SparkSession, d: str) -> DataFrame:
 @query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
 def duplicate_objects(spark: SparkSession, d: str) -> DataFrame:
     return diagnostics.duplicates(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("""with x as (select envelope_json as e, payload_json as p from feed_landing),
+  m as (
+    select 'carrier' as measure, case when json_extract(e, '$.data_base64') is not null then 'data_base64' when json_extract(e, '$.data') is not null then 'data' else 'neither' end as value from x
+    union all select 'type', case when p is null then 'none' else lower(json_type(p)) end from x
+    union all select 'wrapper', case when json_extract_string(p, '$.order.id') is not null then '$.order' when json_extract_string(p, '$.shift_id') is not null then '$' else 'bare' end from x where json_type(p) = 'OBJECT'
+    union all select 'id_path', '$.order.id' from x where json_extract_string(p, '$.order.id') is not null union all select 'id_path', '$.shift_id' from x where json_extract_string(p, '$.shift_id') is not null
+    union all select 'id_match', '$.order.id ' || case when json_extract_string(p, '$.order.id') = split_part(json_extract_string(e, '$.id'), ':', -1) then '==' else '!=' end from x where json_extract_string(p, '$.order.id') is not null and json_extract_string(e, '$.id') like '%:%'
+    union all select 'id_match', '$.shift_id ' || case when json_extract_string(p, '$.shift_id') = split_part(json_extract_string(e, '$.id'), ':', -1) then '==' else '!=' end from x where json_extract_string(p, '$.shift_id') is not null and json_extract_string(e, '$.id') like '%:%'
+    union all select 'version_path', '$.version' from x where json_extract_string(p, '$.version') is not null
+    union all select 'key', unnest(json_keys(p)) from x where json_type(p) = 'OBJECT')
+  select measure, value, count(*) as records from m group by 1, 2""")
+def feed_census(spark: SparkSession, d: str) -> DataFrame:
+    """The frequency tables of the landed feed, without those of codec and JSON number types."""
+    found = diagnostics.census(table(spark, d, "feed_landing"), "envelope_json", "payload_json", ["$.order.id", "$.shift_id"], ["$.version"])
+    return found.where(~F.col("measure").isin("codec", "id_type"))

@@ -348,3 +348,44 @@ def test_timeout(spark):
     slow = F.udf(lambda x: __import__("time").sleep(20) or x, "bigint")
     with pytest.raises(StatementError, match="more than"):
         jobs.with_timeout(spark, 1.5, lambda: spark.range(4).select(slow("id")).collect())
+
+
+def test_catalog(tmp_path):
+    from sluice.control.catalog import Entry, FileCatalog
+
+    c = FileCatalog(FILES, str(tmp_path))
+    assert c.get("t") is None and c.columns("t") is None and not c.override("t", {"a": "int"})
+    e = c.put(Entry("T", (("A", "bigint"), ("b", "string")), (("day", "date"),), str(tmp_path / "gone")))
+    assert c.columns("t") == {"a": "bigint", "b": "string", "day": "date"}
+    assert c.override("t", {"A": "int", "none": "x"}) and not c.override("t", {"a": "int"}) and c.get("t").metadata_location == e.metadata_location
+    with pytest.raises(CheckpointConflictError):
+        c.put(e)
+    with pytest.raises(IngestError):
+        c.check_metadata("t")
+    c.check_metadata("other")
+
+
+def test_contract_and_census(spark, tmp_path):
+    from sluice.plans import tools
+
+    h = datetime(2026, 1, 1, 5, tzinfo=UTC)
+    for k, m in enumerate((h + timedelta(minutes=5), h + timedelta(minutes=70), h + timedelta(hours=9))):
+        put(tmp_path, f"2026/01/01/05/{k}.json.gz", [envelope(k)], m)
+    objects = tools.folder_objects(spark, FILES, str(tmp_path), Discovery(), datetime(2026, 1, 1, tzinfo=UTC), datetime(2026, 1, 2, tzinfo=UTC))
+    r = tools.contract(objects, int(h.timestamp()))
+    assert (r["found"], r["missed"], r["holds"], r["early"]) == (2, 1, False, 0) and r["lateness"] == {"in-hour": 1, "<=15m late": 1, "<=24h late": 1}
+    assert tools.contract(objects, int(h.timestamp()), lookback_s=r["lookback_minutes_needed"] * 60)["holds"]
+    df = spark.createDataFrame([(json.dumps(envelope(1)), '{"order":{"id":"1"}}'), (json.dumps({"id": "g:2", "data": {}}), '{"order":{"id":3}}'), ("{}", None)], "e string, p string")
+    got = {(r["measure"], r["value"]): r["records"] for r in diagnostics.census(df, "e", "p", ["$.order.id"], ["$.version"]).collect()}
+    assert got == {("carrier", "data_base64"): 1, ("carrier", "data"): 1, ("carrier", "neither"): 1, ("codec", "gzip"): 1, ("type", "object"): 2, ("type", "none"): 1, ("wrapper", "$.order"): 2, ("key", "order"): 2, ("id_path", "$.order.id"): 2,
+                   ("id_type", "$.order.id string"): 1, ("id_type", "$.order.id bigint"): 1, ("id_match", "$.order.id =="): 1, ("id_match", "$.order.id !="): 1}
+    objs = spark.createDataFrame([(k // 5, k) for k in range(20)], "folder int, m int")
+    assert sorted(r["m"] for r in diagnostics.sample_newest(objs, "folder", "m", 2, 4).collect()) == [13, 14, 18, 19]
+
+
+def test_public_api():
+    import sluice
+
+    assert sluice.run_table is jobs.run_table
+    with pytest.raises(AttributeError):
+        sluice.nothing

@@ -95,3 +95,20 @@ def test_nulls_empty_broken_deep_and_clashing(spark):
     assert [r[3] for r in rows if r[0] == 3] == ["payload!"] and sum(1 for r in rows if r[0] == 6) == 2
     assert not [r for r in rows if r[0] in (1, 2)]
     assert shred(df.limit(0), ["kind"], {"payload": "variant"}).count() == 0
+
+
+def test_routing_to_typed_subtype_tables(spark, tmp_path):
+    from sluice.operators import shredding as s
+
+    df = spark.createDataFrame([(1, DOC), (2, '{"order":{"lines":[{"sku":"q","price":2,"o":{"a":[1,"]"],"b":true}}]}}')], "landed_no bigint, p string")
+    rec = shred(df, ["landed_no"], {"payload": "p"})
+    s.write_subtypes(rec, ["landed_no"], str(tmp_path / "t"))
+    seen = 0
+    for v in variants(rec).collect():
+        rows = s.read_subtype(spark, str(tmp_path / "t"), v["kind"], v["variant"], v["definition"], ["landed_no"])
+        assert rows.count() == v["records"]
+        assert not [r for r in rows.collect() if r["other_fields"] and v["kind"] != "lines"]
+        seen += v["records"]
+    assert seen == rec.count()
+    d = next(v["definition"] for v in variants(rec).collect() if '"o"' in v["definition"])
+    assert s.variant_fields(d) == {"sku": "string", "price": "decimal(38,0)", "o.a": "string", "o.b": "boolean"}
