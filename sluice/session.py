@@ -28,10 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
-    """``df`` written once to a table in the shared folder and read back: cuts lineage and survives lost executors."""
+def stored(df: DataFrame, label: str, *partition_by: str, row_group_bytes: int | None = None) -> DataFrame:
+    """``df`` written once to a table in the shared folder and read back: cuts lineage and survives lost executors.
+
+    row_group_bytes: smaller row groups for tables of large rows, as a reader holds up to 4,096 rows of a group at once.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists").option("compression", "zstd")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
