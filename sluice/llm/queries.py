@@ -11,7 +11,7 @@ from sluice.session import stored, table
 
 def leaks(spark: SparkSession, d: str) -> DataFrame:
     """Every leaked passage: the index is stored in the shared folder, then searched for all items."""
-    index = stored(leakage.build_index(table(spark, d, "documents")), "p7-index")
+    index = stored(leakage.build_index(table(spark, d, "documents")), "p7-index", row_group_bytes=16 << 20)
     return leakage.search(index, table(spark, d, "eval_items"))
 
 
