@@ -191,3 +191,18 @@ def run_rows(spark: SparkSession, run: CommittedRun) -> DataFrame:
     schema = ", ".join(f"`{f['name']}` {spark_type(catalog_name(f['type']))}" for f in run.manifest.schema or [])
     return spark.read.schema(schema).parquet(*[f"{run.folder}/{n.rsplit('/', 1)[-1]}" for n in run.manifest.files])
 
+
+
+def register_landing(spark: SparkSession, name: str, root: str, columns: list[tuple[str, str]], runs: list[CommittedRun]) -> None:
+    """Makes committed runs readable as one partitioned SQL table: created if it isn't there, each run a partition, those that are
+    registered already left alone. Both partition columns are text, as paths would make a date of one."""
+    q = lambda n: "`" + n.replace("`", "``") + "`"
+    path = lambda p: "'" + p.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    table = ".".join(map(q, name.split(".")))
+    cells = ", ".join(f"{q(c.lower())} {spark_type(k)}" for c, k in columns)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cells}, ingest_date string, run_id string) USING parquet PARTITIONED BY (ingest_date, run_id) LOCATION {path(root)}")
+    have = {c.name for c in spark.catalog.listColumns(name)}
+    if added := [(c.lower(), k) for c, k in columns if c.lower() not in have]:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'{q(c)} {spark_type(k)}' for c, k in added)})")
+    for r in runs:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (ingest_date={path(r.ingest_date)}, run_id={path(r.run_id)}) LOCATION {path(r.folder)}")

@@ -130,6 +130,8 @@ def load_table_runs(spark: SparkSession, config: conf.Config, table: conf.Table,
     if not runs:
         log.warning("%s has no committed runs", table.name)
         return []
+    if (empty := sum(r.manifest.row_count == 0 for r in runs)) > 100:
+        log.warning("%s has %d empty runs; a sweep would speed discovery up", table.name, empty)
     b, key = config.bronze, f"{config.source_key}:{table.name}"
     columns = bronze.union_schemas(runs)
     if not columns:

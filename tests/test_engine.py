@@ -389,3 +389,18 @@ def test_public_api():
     assert sluice.run_table is jobs.run_table
     with pytest.raises(AttributeError):
         sluice.nothing
+
+
+def test_landing_as_a_table(spark, tmp_path):
+    ids = iter(["r1", "r2"])
+    land(spark, tmp_path, ROWS[:1], new_id=lambda: next(ids))
+    runs = committed_runs(FILES, f"{tmp_path}/landing", "acme_x", "orders")
+    bronze.register_landing(spark, "landing_orders", f"{tmp_path}/landing/acme_x/orders", bronze.union_schemas(runs), runs)
+    land(spark, tmp_path, ROWS, new_id=lambda: next(ids))
+    assert spark.table("landing_orders").count() == 1  # only registered runs show
+    runs = committed_runs(FILES, f"{tmp_path}/landing", "acme_x", "orders")
+    for _ in range(2):
+        bronze.register_landing(spark, "landing_orders", f"{tmp_path}/landing/acme_x/orders", [*bronze.union_schemas(runs), ("Extra", "int")], runs)
+    got = spark.table("landing_orders")
+    assert got.count() == 3 and {r["run_id"] for r in got.collect()} == {"r1", "r2"} and dict(got.dtypes)["ingest_date"] == "string" and "extra" in got.columns
+    spark.sql("DROP TABLE landing_orders")
