@@ -103,7 +103,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             cause, ending, kind, last, message = describe(text)
             source = source or ""
-            rows.append(("doc", kind, _shape(last), *[None] * 5, i, source, len(text), len(text.encode("utf-8", "replace")), cause, ending, last, message if message and len(message.split()) <= 4 else None))
+            rows.append(("doc", kind, _shape(last), *[None] * 5, i, source, len(text), len(text.encode("utf-8", "replace")), cause, ending, last, _shape(message.strip()) if message and len(message.split()) <= 4 else None))
             lines = text.rstrip().split("\n")
             by: dict[str, list[str]] = {}
             fenced = False
