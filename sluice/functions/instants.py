@@ -82,6 +82,11 @@ def _offset(us: Column, region: Column) -> Column:
     return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(us), region)) - us
 
 
+def utc_instant(column: Column) -> Column:
+    """A zone-less time that is UTC, as an instant, whatever the session's zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), column))
+
+
 def _let(df: DataFrame, **named: Column) -> DataFrame:
     """Columns added behind a one-row generator, so that later filters and projections use their values and never inline
     (and so repeat) their expressions."""

@@ -34,7 +34,7 @@ def committed_names(manifests: DataFrame) -> DataFrame:
 
     A bare name lies directly in the run's own folder; addresses are taken apart. Null or empty lists name nothing.
     """
-    named = (manifests.where(F.col("status") == "SUCCESS").select("source_system", "run_id", F.to_date(F.to_utc_timestamp(F.to_timestamp("started_at"), F.current_timezone())).cast("string").alias("day"),
+    named = (manifests.where(F.col("status") == "SUCCESS").select("source_system", "run_id", F.to_date(F.to_utc_timestamp(F.try_to_timestamp("started_at"), F.current_timezone())).cast("string").alias("day"),
                                                                   F.explode("files").alias("name")).where(F.col("name").isNotNull()))
     uri = named.select("*", canonical_uri(F.col("name")).alias("uri"))
     bare = ~F.col("uri").contains("/")

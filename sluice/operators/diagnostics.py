@@ -107,9 +107,9 @@ def census(records: DataFrame, envelope: str, payload: str, id_paths: list[str],
     """(measure, value, records): nine frequency tables of a feed in one pass.
 
     carrier (which envelope member holds the payload), codec (of a base64 carrier), type (of the payload), wrapper (the object
-    around the id, by its path), key (top-level members, the ``keys`` most frequent), id_path, id_type (path and JSON type),
+    around the id, by its path), key (top-level members), id_path, id_type (path and JSON type),
     id_match (whether the id equals the envelope id's last part behind a colon), version_path. A null payload counts under
-    type ``none`` only.
+    type ``none`` only. Of each measure the ``keys`` most frequent values are given.
     """
     e, p = F.col(f"`{envelope}`"), F.col(f"`{payload}`")
     held = {c: F.get_json_object(e, f"$.{c}") for c in carriers}
@@ -128,8 +128,8 @@ def census(records: DataFrame, envelope: str, payload: str, id_paths: list[str],
     keys_of = F.transform(F.coalesce(F.when(is_object, F.json_object_keys(p)), F.array().cast("array<string>")), lambda k: F.struct(F.lit("key").alias("measure"), k.alias("value")))
     each = records.select(F.explode(F.concat(F.array(*rows), keys_of)).alias("r")).where(F.col("r.value").isNotNull())
     counts = each.groupBy("r.measure", "r.value").agg(F.count(F.lit(1)).alias("records"))
-    top = F.row_number().over(Window.partitionBy("measure").orderBy(F.col("records").desc(), "value"))  # over distinct values only
-    return counts.withColumn("__rn", top).where((F.col("measure") != "key") | (F.col("__rn") <= keys)).drop("__rn")
+    top = F.row_number().over(Window.partitionBy("measure").orderBy(F.col("records").desc(), "value"))  # cut before the shuffle, as only the first count
+    return counts.withColumn("__rn", top).where(F.col("__rn") <= keys).drop("__rn")
 
 
 def sample_newest(objects: DataFrame, folder: str, modified: str, hours: int, sample: int) -> DataFrame:

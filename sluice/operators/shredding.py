@@ -87,6 +87,15 @@ def _decode(text: str) -> object:
     return json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_Number)
 
 
+def _array(cells: list, kind: pa.DataType) -> pa.Array:
+    """The cells as a column; half surrogate pairs, which JSON escapes can hold but UTF-8 can't, become question marks."""
+    try:
+        return pa.array(cells, kind)
+    except UnicodeEncodeError:
+        clean = lambda v: v.encode("utf-8", "replace").decode() if isinstance(v, str) else [tuple(map(clean, x)) for x in v] if isinstance(v, list) else v
+        return pa.array(list(map(clean, cells)), kind)
+
+
 class _Shredder:
     def __init__(self, members: frozenset[str], fields: bool) -> None:
         self.members, self.fields, self.automaton = members, fields, Automaton()
@@ -163,7 +172,7 @@ def shred(df: DataFrame, keys: list[str], documents: dict[str, str], children: t
     False leaves root records out or fields empty.
 
     A null or empty document gives no rows. Null members and items are no records, but keep their ordinal. A document
-    that isn't JSON gives one root record with kind ``<root>!``, no children. Repeated rows give repeated records; an empty
+    that isn't JSON, or nests plain objects hundreds of levels deep, gives one root record with kind ``<root>!``, no children. Repeated rows give repeated records; an empty
     table gives an empty table. Key columns may have any names, also those of the supertype; they come first in order.
     """
     drop = {r: frozenset(m) for r, m in (without or {}).items()}
@@ -188,12 +197,12 @@ def shred(df: DataFrame, keys: list[str], documents: dict[str, str], children: t
                         start = len(rows)
                         try:
                             doc = _decode(text)
-                        except (ValueError, RecursionError):
-                            rows.append((root, f"{root}!", root, None, None, 0, "root", "", "", [("value", text)] if fields else []))
-                        else:
                             if isinstance(doc, dict) and root in drop:
                                 doc = {k: v for k, v in doc.items() if k not in drop[root]}
                             shredder.record(root, root, root, None, None, "root", doc, rows)
+                        except (ValueError, RecursionError):
+                            del rows[start:]
+                            rows.append((root, f"{root}!", root, None, None, 0, "root", "", "", [("value", text)] if fields else []))
                         if not roots:
                             del rows[start]
                         of.extend([i] * (len(rows) - start))
@@ -201,7 +210,7 @@ def shred(df: DataFrame, keys: list[str], documents: dict[str, str], children: t
                 cols = list(zip(*rows)) if rows else [[]] * len(out_fields)
                 # A repeated member name keeps its last value, as in JSON objects read elsewhere.
                 cols[-1] = [list(dict(f).items()) for f in cols[-1]] if fields else [()] * len(rows)
-                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(idx) for j in range(n)), *(pa.array(c, t) for c, (_, t) in zip(cols, out_fields))],
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(idx) for j in range(n)), *(_array(c, t) for c, (_, t) in zip(cols, out_fields))],
                                                  [*(f"k{j}" for j in range(n)), *(k for k, _ in out_fields)])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in key_schema), SUPERTYPE])

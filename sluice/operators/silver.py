@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row of each key, the first in order. A key may have any number of rows: they are sorted, not gathered."""
+    """One row of each key, the first in order. A key may have any number of rows: each partition sends on one row of it only,
+    as the optimizer sees that the others can't be first (WindowGroupLimit)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.instants import normalise
+from sluice.functions.instants import normalise, utc_instant
 from sluice.operators import compaction, drift, lateness, quotient, shredding
 from sluice.plans import oracles
 from sluice.session import shared_dir, table
@@ -150,7 +150,8 @@ def first_arrivals(spark: SparkSession, d: str) -> DataFrame:
     """The first copy of each message, classified by lateness."""
     rows = feed_times(spark, d, "event_id", "_source_record_id", "_s3_last_modified")
     first = quotient.first_copies(rows.select("landed_no", "event_source", "event_id", "_source_record_id", "event_instant", "_s3_last_modified"), quotient.message_name(), "landed_no")
-    arrived = first.withColumn("arrived", F.col("_s3_last_modified").cast("timestamp"))
+    came = F.col("_s3_last_modified")
+    arrived = first.withColumn("arrived", utc_instant(came) if dict(first.dtypes)["_s3_last_modified"] == "timestamp_ntz" else came)
     return lateness.classify(arrived, "event_instant", "arrived")
 
 

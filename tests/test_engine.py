@@ -404,3 +404,9 @@ def test_landing_as_a_table(spark, tmp_path):
     got = spark.table("landing_orders")
     assert got.count() == 3 and {r["run_id"] for r in got.collect()} == {"r1", "r2"} and dict(got.dtypes)["ingest_date"] == "string" and "extra" in got.columns
     spark.sql("DROP TABLE landing_orders")
+
+
+def test_first_rows_are_cut_before_the_shuffle(spark):
+    df = spark.range(100).selectExpr("id % 3 as k", "id as t")
+    plan = silver.first_by(df, ["k"], [F.col("t").desc()])._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange hashpartitioning")

@@ -87,12 +87,13 @@ def test_shapes_share_a_variant_across_tasks(spark):
 
 def test_nulls_empty_broken_deep_and_clashing(spark):
     deep = '{"components":[' * 200 + "{}" + "]}" * 200
-    data = [(1, None), (2, ""), (3, "not json"), (4, "{}"), (5, deep), (6, "[1]"), (6, "[1]")]
+    data = [(1, None), (2, ""), (3, "not json"), (4, "{}"), (5, deep), (6, "[1]"), (6, "[1]"), (7, '{"a":' * 3000 + "1" + "}" * 3000), (8, '{"lines":[{"\\ud800":"\\udfff"}]}')]
     df = spark.createDataFrame(data, "kind int, variant string").select("kind", "variant", F.lit("z").alias("root"))
     out = shred(df, ["kind", "root"], {"payload": "variant"})
     rows = [tuple(r)[:4] for r in out.collect()]
     assert sum(1 for r in rows if r[0] == 5) == 201
     assert [r[3] for r in rows if r[0] == 3] == ["payload!"] and sum(1 for r in rows if r[0] == 6) == 2
+    assert [r[3] for r in rows if r[0] == 7] == ["payload!"] and sum(1 for r in rows if r[0] == 8) == 2
     assert not [r for r in rows if r[0] in (1, 2)]
     assert shred(df.limit(0), ["kind"], {"payload": "variant"}).count() == 0
 
