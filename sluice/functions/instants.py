@@ -72,11 +72,6 @@ def days_from_civil(y: Column, m: Column, d: Column) -> Column:
     return era * 146097 + yoe * 365 + div(yoe, 4) - div(yoe, 100) + doy - 719468
 
 
-def _month_days(y: Column, m: Column) -> Column:
-    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    return F.when(m.isin(4, 6, 9, 11), 30).when(m == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
-
-
 def _offset(us: Column, region: Column) -> Column:
     """The region's offset in microseconds at the instant ``us``."""
     return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(us), region)) - us
@@ -87,10 +82,10 @@ def utc_instant(column: Column) -> Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), column))
 
 
-def _let(df: DataFrame, **named: Column) -> DataFrame:
+def _let(df: DataFrame, **named: str | Column) -> DataFrame:
     """Columns added behind a one-row generator, so that later filters and projections use their values and never inline
-    (and so repeat) their expressions."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in named.items()]))))
+    (and so repeat) their expressions. SQL text builds faster than columns piece by piece."""
+    return df.select("*", F.inline(F.array(F.struct(*[(F.expr(c) if isinstance(c, str) else c).alias(k) for k, c in named.items()]))))
 
 
 def normalise(df: DataFrame, value: str, zone: Column | None = None, month_first: Column | None = None, prefix: str = "t") -> DataFrame:
@@ -115,32 +110,39 @@ def normalise(df: DataFrame, value: str, zone: Column | None = None, month_first
 
     x = df.select("*", c(f"`{value}`").alias("__v"), zone.alias("__zone"), month_first.alias("__mf")).toDF(*[f"c{i}" for i in range(len(own))], "__v", "__zone", "__mf")
     x = _let(x, __cut=F.split(F.regexp_replace(v, ALTERNATION, _LINED_UP), "\x02"))
-    fits = F.element_at(c("__cut"), 1) == _MARK
-    parts = {k: F.when(fits, F.nullif(F.element_at(c("__cut"), i), F.lit(""))) for i, k in enumerate(_PARTS, 2)}
     ints = ("y", "m", "d", "h", "n", "s", "a", "b")
-    x = _let(x, __fits=fits, **{f"__{k}": part.cast("int") if k in ints else F.lower(part) for k, part in parts.items()})
-
-    a, b, z = c("__a"), c("__b"), c("__z")
-    us = F.when(c("__sep") == ".", False).when(c("__p").isNotNull(), F.coalesce(c("__mf"), F.lit(True))).otherwise(c("__mf"))
-    x = _let(x, __us=F.coalesce(us, F.when((a > 12) & (b <= 12), False).when((b > 12) & (a <= 12), True).when(a == b, True)), __num=F.coalesce(z.rlike(r"^[+-]\d"), F.lit(False)),
-             __zd=F.regexp_replace(z, "[:+-]", ""))
-    named = F.array_position(F.array(*map(F.lit, MONTHS)), c("__o")).cast("int")
-    hour = F.when(c("__p").isNull(), c("__h")).when(c("__h").between(1, 12), c("__h") % 12 + F.when(c("__p") == "p", 12).otherwise(0)).otherwise(99)
-    x = _let(x, __mo=F.coalesce(c("__m"), F.when(c("__us"), a).when(~c("__us"), b), F.nullif(named, F.lit(0))), __da=F.coalesce(c("__d"), F.when(c("__us"), b).when(~c("__us"), a)), __ho=hour,
-             __se=F.coalesce(c("__s"), F.lit(0)), __ns=F.rpad(F.coalesce(c("__f"), F.lit("0")), 9, "0").cast("bigint"),
-             __zkey=F.when(c("__num"), F.lit("")).otherwise(F.coalesce(z, c("__r"), F.lower(F.trim(c("__zone"))), F.lit(""))),
-             __oh=F.when(c("__num"), F.substring("__zd", 1, 2).cast("int")), __om=F.when(c("__num"), F.coalesce(F.nullif(F.substring("__zd", 3, 2), F.lit("")).cast("int"), F.lit(0))))
+    part = {k: f"if(element_at(__cut, 1) = '{_MARK}', nullif(element_at(__cut, {i}), ''), null)" for i, k in enumerate(_PARTS, 2)}
+    x = _let(x, __fits=f"element_at(__cut, 1) = '{_MARK}'", **{f"__{k}": f"cast({p} as int)" if k in ints else f"lower({p})" for k, p in part.items()})
+    x = _let(
+        x,
+        # Dotted dates have the day first; a clock of 12 hours goes with the month first unless known otherwise; else by what is a date.
+        __us="coalesce(case when __sep = '.' then false when __p is not null then coalesce(__mf, true) else __mf end, case when __a > 12 and __b <= 12 then false when __b > 12 and __a <= 12 then true when __a = __b then true end)",
+        __num="coalesce(__z rlike '^[+-][0-9]', false)",
+        __zd="regexp_replace(__z, '[:+-]', '')",
+    )
+    months = ", ".join(f"'{m}'" for m in MONTHS)
+    x = _let(
+        x,
+        __mo=f"coalesce(__m, case when __us then __a when not __us then __b end, nullif(cast(array_position(array({months}), __o) as int), 0))",
+        __da="coalesce(__d, case when __us then __b when not __us then __a end)",
+        __ho="case when __p is null then __h when __h between 1 and 12 then __h % 12 + if(__p = 'p', 12, 0) else 99 end",
+        __se="coalesce(__s, 0)",
+        __ns="cast(rpad(coalesce(__f, '0'), 9, '0') as bigint)",
+        __zkey="if(__num, '', coalesce(__z, __r, lower(trim(__zone)), ''))",
+        __oh="if(__num, cast(substring(__zd, 1, 2) as int), null)",
+        __om="if(__num, coalesce(cast(nullif(substring(__zd, 3, 2), '') as int), 0), null)",
+    )
     x = x.join(zone_table(df.sparkSession), "__zkey", "left")
 
-    date_ok = c("__y").between(1, 9999) & c("__mo").between(1, 12) & (c("__da") >= 1) & (c("__da") <= _month_days(c("__y"), c("__mo")))
-    time_ok = c("__ho").between(0, 23) & c("__n").between(0, 59) & c("__se").between(0, 59)
-    offset_ok = ~c("__num") | ((c("__oh") <= 18) & (c("__om") < 60))
-    e = c("__e").cast("bigint")
-    digits = F.length(F.regexp_replace("__e", "-", ""))
-    below = F.when(digits >= 18, F.pmod(e, F.lit(1000))).when(digits.isNotNull(), 0)
-    epoch_us = F.when(digits <= 10, e * 1_000_000).when(digits <= 13, e * 1_000).when(digits <= 16, e).otherwise(F.expr("(bigint(__e) - pmod(bigint(__e), 1000)) div 1000"))
-    x = _let(x, __valid=F.coalesce(date_ok & time_ok & offset_ok, F.lit(False)), __eus=epoch_us, __ens=below.cast("int"),
-             __fix=F.when(c("__num"), (c("__oh") * 60 + c("__om")) * F.when(F.substring("__z", 1, 1) == "-", -1).otherwise(1)).otherwise(c("__zfixed")))
+    leap = "(__y % 4 = 0 and __y % 100 <> 0) or __y % 400 = 0"
+    days = f"case when __mo in (4, 6, 9, 11) then 30 when __mo = 2 then if({leap}, 29, 28) else 31 end"
+    x = _let(
+        x,
+        __valid=f"coalesce(__y between 1 and 9999 and __mo between 1 and 12 and __da between 1 and {days} and __ho between 0 and 23 and __n between 0 and 59 and __se between 0 and 59 and (not __num or (__oh <= 18 and __om < 60)), false)",
+        __eus="case when length(replace(__e, '-', '')) <= 10 then bigint(__e) * 1000000 when length(replace(__e, '-', '')) <= 13 then bigint(__e) * 1000 when length(replace(__e, '-', '')) <= 16 then bigint(__e) else (bigint(__e) - pmod(bigint(__e), 1000)) div 1000 end",
+        __ens="case when length(replace(__e, '-', '')) >= 18 then cast(pmod(bigint(__e), 1000) as int) when __e is not null then 0 end",
+        __fix="if(__num, (__oh * 60 + __om) * if(substring(__z, 1, 1) = '-', -1, 1), __zfixed)",
+    )
     x = _let(x, __local=F.when(c("__valid"), days_from_civil(c("__y"), c("__mo"), c("__da")) * DAY_US + (c("__ho") * 3600 + c("__n") * 60 + c("__se")).cast("bigint") * 1_000_000 + F.expr("__ns div 1000")))
     region = c("__region")
     free = c("__local").isNotNull() & c("__fix").isNull() & region.isNotNull()
@@ -148,11 +150,12 @@ def normalise(df: DataFrame, value: str, zone: Column | None = None, month_first
     before, after = c("__before"), c("__after")
     x = _let(x, __first=F.when(before != after, _offset(c("__local") - before, region) == before).otherwise(before.isNotNull()),
              __second=F.when(before != after, _offset(c("__local") - after, region) == after).otherwise(False))
-    first, second, epoch = c("__first"), c("__second"), c("__e").isNotNull()
-    status = (F.when(v.isNull(), "null").when(~c("__fits"), "unreadable").when(epoch, "ok").when(a.isNotNull() & c("__us").isNull() & (a <= 12), "day_or_month")
-              .when(~c("__valid"), "invalid").when(c("__fix").isNotNull(), "ok").when(region.isNull(), "no_zone").when(first & second, "overlap").when(first | second, "ok").otherwise("gap"))
-    us_utc = (F.when(epoch, c("__eus")).when(c("__fix").isNotNull(), c("__local") - c("__fix").cast("bigint") * 60_000_000)
-              .when(first, c("__local") - before).otherwise(c("__local") - after))
-    x = _let(x, __status=status, __us_utc=us_utc, __rest=F.coalesce(c("__ens"), (c("__ns") % 1000).cast("int")))
+    x = _let(
+        x,
+        __status="case when __v is null then 'null' when not __fits then 'unreadable' when __e is not null then 'ok' when __a is not null and __us is null and __a <= 12 then 'day_or_month' when not __valid then 'invalid'"
+        " when __fix is not null then 'ok' when __region is null then 'no_zone' when __first and __second then 'overlap' when __first or __second then 'ok' else 'gap' end",
+        __us_utc="case when __e is not null then __eus when __fix is not null then __local - bigint(__fix) * 60000000 when __first then __local - __before else __local - __after end",
+        __rest="coalesce(__ens, cast(__ns % 1000 as int))",
+    )
     ok = c("__status") == "ok"
     return x.select(*[c(f"c{i}").alias(k) for i, k in enumerate(own)], F.when(ok, F.timestamp_micros("__us_utc")).alias(out[0]), F.when(ok, c("__rest")).alias(out[1]), c("__status").alias(out[2]))
