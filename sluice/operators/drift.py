@@ -33,8 +33,9 @@ def catalog_type(name: Column) -> Column:
 def run_schemas(manifests: DataFrame) -> DataFrame:
     """(source_system, source_key, run_id, at, columns map<name, catalog type>) of each successful run with a schema.
 
-    A manifest that stands there more than once counts once (the last by completion). Names are in lower case; a name twice in one schema keeps its first type. source_key is the source map
-    written as sorted text. Runs without completion time are left out: they have no place in the order.
+    A manifest that stands there more than once counts once (the last by completion). Names are in lower case; a name twice
+    in one schema keeps its first type. source_key is the source map written as sorted text. Runs without completion time are
+    left out: they have no place in the order.
     """
     key = F.to_json(F.array_sort(F.map_entries("source")))
     ok = manifests.where((F.col("status") == "SUCCESS") & F.col("schema").isNotNull() & (F.size("schema") > 0)).select(
@@ -49,7 +50,8 @@ def changes(runs: DataFrame) -> DataFrame:
     """Each column that is ``added``, ``removed`` or ``retyped`` in a run against the run before it of the same source:
     (source_system, source_key, run_id, previous_run_id, at, column_name, change, old_type, new_type).
 
-    A rename is a removal and an addition. Ties of time are ordered by run id. The first run of a source has no changes.
+    The target that a run is held against is the schema of the run before: what the target doesn't know is added, what it misses
+    removed, what has another catalog type retyped. A rename is a removal and an addition. Ties of time are ordered by run id. The first run of a source has no changes.
     The run before is found in two levels, inside days and over one row a day, so no task sorts all runs of a large source.
     """
     src = ["source_system", "source_key"]
