@@ -8,12 +8,12 @@ was read are compared with what was written before a file counts as done.
 from __future__ import annotations
 
 import hashlib
-import os
 import struct
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,48 +144,73 @@ def join_bytes(parts: Iterator[bytes], kind: str, header: bool = False) -> Itera
             yield data if data.endswith(b"\n") else data + b"\n"
 
 
+def file_system(path: str) -> tuple[pa_fs.FileSystem, str]:
+    """The file system of a path or address (mounted folders, object stores, HDFS) and the path in it."""
+    return pa_fs.FileSystem.from_uri(path) if "://" in path else (pa_fs.LocalFileSystem(), path)
+
+
+def replace_file(path: str, pieces: Iterator[bytes]) -> tuple[int, str]:
+    """Writes a file beside its place, reads it back, and moves it there only if length and checksum are those of the pieces.
+    Returns both. Whole or not at all; a second attempt of the task puts the same bytes in its place."""
+    fs, at = file_system(path)
+    folder, _, name = at.rpartition("/")
+    fs.create_dir(folder, recursive=True)
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    sent, back, length = hashlib.sha256(), hashlib.sha256(), 0
+    try:
+        with fs.open_output_stream(part) as f:
+            for piece in pieces:
+                sent.update(piece)
+                length += len(piece)
+                f.write(piece)
+        with fs.open_input_stream(part) as f:
+            while block := f.read(1 << 20):
+                back.update(block)
+        if fs.get_file_info(part).size != length or back.digest() != sent.digest():
+            raise ValueError(f"{path}: what was written isn't what was read")
+        fs.move(part, at)
+    except BaseException:
+        if fs.get_file_info(part).type != pa_fs.FileType.NotFound:
+            fs.delete_file(part)
+        raise
+    return length, sent.hexdigest()
+
+
 def _join_group(kind: str, header: bool, out_dir: str):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("path")
-        group = pdf["output"].iloc[0]
-        os.makedirs(out_dir, exist_ok=True)
-        final, part = f"{out_dir}/{group}", f"{out_dir}/.{group}.{uuid.uuid4().hex}"
-        seen, wrote, length, sizes = hashlib.sha256(), hashlib.sha256(), 0, 0
+        sizes = lines = 0
 
         def read() -> Iterator[bytes]:
             nonlocal sizes
             for path, size in zip(pdf["path"], pdf["size_bytes"]):
-                with open(path, "rb") as f:
+                fs, at = file_system(path)
+                with fs.open_input_stream(at, compression=None) as f:
                     data = f.read()
                 if len(data) != size:
                     raise ValueError(f"{path}: {len(data)} bytes instead of {size}")
                 sizes += size
                 yield data
 
-        with open(part, "wb") as f:
+        def counted() -> Iterator[bytes]:
+            nonlocal lines
             for piece in join_bytes(read(), kind, header):
-                seen.update(piece)
-                length += f.write(piece)
-            f.flush()
-            os.fsync(f.fileno())
-        with open(part, "rb") as f:
-            while block := f.read(1 << 20):
-                wrote.update(block)
-        if os.path.getsize(part) != length or wrote.digest() != seen.digest():
-            os.unlink(part)
-            raise ValueError(f"{group}: what was written isn't what was read")
-        os.replace(part, final)  # whole or not at all; a second attempt of the task writes the same bytes
-        return pd.DataFrame([[final, len(pdf), sizes, length, wrote.hexdigest()]], columns=["path", "inputs", "bytes_in", "bytes_out", "sha256"])
+                lines += piece.count(b"\n")
+                yield piece
+
+        final = f"{out_dir.rstrip('/')}/{pdf['output'].iloc[0]}"
+        length, digest = replace_file(final, counted())
+        return pd.DataFrame([[final, len(pdf), sizes, length, lines if kind == "ndjson" else None, digest]], columns=["path", "inputs", "bytes_in", "bytes_out", "lines", "sha256"])
 
     return run
 
 
 def join_files(planned: DataFrame, out_dir: str, kind: str = "ndjson", header: bool = False) -> DataFrame:
     """Writes each ``output`` of ``planned`` (output string, path string, size_bytes bigint) into ``out_dir``, a folder all
-    executors share, and reports (path, inputs, bytes_in, bytes_out, sha256).
+    executors reach (mounted or by address), and reports (path, inputs, bytes_in, bytes_out, lines, sha256).
 
     A group is bounded by the plan's target size, so it fits a task. A file of another length than planned, cut-off frames or
     differing headers stop the job before anything is replaced; inputs are never changed. Nothing planned, nothing written.
     """
     rows = planned.select("output", "path", F.col("size_bytes").cast("bigint").alias("size_bytes"))
-    return rows.groupBy("output").applyInPandas(_join_group(kind, header, out_dir), "path string, inputs bigint, bytes_in bigint, bytes_out bigint, sha256 string")
+    return rows.groupBy("output").applyInPandas(_join_group(kind, header, out_dir), "path string, inputs bigint, bytes_in bigint, bytes_out bigint, lines bigint, sha256 string")

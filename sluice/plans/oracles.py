@@ -140,3 +140,13 @@ select landed_no from (select landed_no, row_number() over (partition by event_i
 select landed_no, event_source, event_type, _s3_etag, business_date from (select *, row_number() over (partition by event_id is null, case when event_id is null then _source_record_id else lower(event_id) end, case when event_id is not null then event_source end order by landed_no) as n from feed_landing) where n = 1
 """,
 }
+
+SQL["p3_plan"] = f"""
+with found as ({SQL["p3_found"]}), once as (select distinct l.file_uri, size_bytes, row_count from landing_files l join found using (file_uri))
+select split_part(file_uri, '/', 5) as source_system, split_part(file_uri, '/', 6) as table_name, count(*) as files, cast(sum(size_bytes) as bigint) as bytes, cast(sum(row_count) as bigint) as rows from once group by 1, 2
+"""
+SQL["p4_changes"] = SQL["p4_found"].replace("pairs as (select a.source_system, a.source, a.n, a.run_id, b.n as m", "pairs as (select a.source_system, a.source, a.n, a.run_id, b.n as m, b.run_id as previous_run_id").replace(
+    "select run_id, name as column_name from now full join old using (run_id, name) where",
+    "select p.source_system, run_id, p.previous_run_id, name as column_name, case when old.type is null then 'added' when now.type is null then 'removed' else 'retyped' end as change, old.type as old_type, now.type as new_type"
+    " from now full join old using (run_id, name) join pairs p using (run_id) where",
+)

@@ -100,7 +100,7 @@ def p3_joined(spark: SparkSession, d: str) -> DataFrame:
     """The feed's small committed files, written as line files with their landed rows, joined byte by byte and read back:
     landed_no and a checksum of each record that the joined files hold."""
     base = f"{shared_dir(spark)}/p3-{os.urandom(8).hex()}"
-    local = base.removeprefix("file://")
+    place = base.removeprefix("file://")  # other addresses are used as they are
     p = compaction_plan(spark, d).where(F.col("first_landed_no").isNotNull())
     rows = table(spark, d, "feed_landing").select("landed_no", F.to_json(F.struct("landed_no", "payload_json")).alias("line"))
     # Files hold ranges of landed rows: each range is opened into its numbers, which makes the match an equi-join.
@@ -109,16 +109,18 @@ def p3_joined(spark: SparkSession, d: str) -> DataFrame:
     def write(pdf: pd.DataFrame) -> pd.DataFrame:
         name = hashlib.sha256(pdf["file_uri"].iloc[0].encode()).hexdigest()
         data = "\n".join(pdf.sort_values("landed_no")["line"]).encode()
-        os.makedirs(f"{local}/in", exist_ok=True)
-        with open(f"{local}/in/.{name}.{os.getpid()}", "wb") as f:
-            f.write(data)
-        os.replace(f.name, f"{local}/in/{name}")
+        compaction.replace_file(f"{place}/in/{name}", iter([data]))
         first = pdf.iloc[0]
-        return pd.DataFrame([[f"{first['source_system']}.{first['table_name']}.{first['output_no']:06d}", f"{local}/in/{name}", len(data)]], columns=["output", "path", "size_bytes"])
+        return pd.DataFrame([[f"{first['source_system']}.{first['table_name']}.{first['output_no']:06d}", f"{place}/in/{name}", len(data), len(pdf)]], columns=["output", "path", "size_bytes", "rows"])
 
-    written = held.groupBy("file_uri").applyInPandas(write, "output string, path string, size_bytes bigint")
+    written = held.groupBy("file_uri").applyInPandas(write, "output string, path string, size_bytes bigint, rows bigint")
     written.write.parquet(f"{base}/plan")
-    compaction.join_files(spark.read.parquet(f"{base}/plan"), f"{local}/out").write.parquet(f"{base}/report")
+    planned = spark.read.parquet(f"{base}/plan")
+    compaction.join_files(planned, f"{place}/out").write.parquet(f"{base}/report")
+    want = planned.agg(F.count(F.lit(1)), F.coalesce(F.sum("size_bytes"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    got = spark.read.parquet(f"{base}/report").agg(F.coalesce(F.sum("inputs"), F.lit(0)), F.coalesce(F.sum("bytes_in"), F.lit(0)), F.coalesce(F.sum("lines"), F.lit(0))).first()
+    if tuple(want) != tuple(got):
+        raise ValueError(f"joined {tuple(got)} files, bytes and records instead of {tuple(want)}")
     back = spark.read.schema("landed_no bigint, payload_json string").json(f"{base}/out")
     return back.select("landed_no", F.sha2("payload_json", 256).alias("checksum"))
 

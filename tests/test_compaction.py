@@ -63,6 +63,7 @@ def test_round_trip(spark, tmp_path, kind):
         rows.append((f"out{k % 3}", str(path), len(data)))
     report = c.join_files(spark.createDataFrame(rows, "output string, path string, size_bytes bigint"), str(tmp_path / "out"), kind).collect()
     assert sum(r["inputs"] for r in report) == 60 and len(report) == 3
+    assert kind == "zstd" or sum(r["lines"] for r in report) == len(lines)
     back = []
     for r in report:
         data = open(r["path"], "rb").read()
