@@ -171,6 +171,18 @@ def _candidates(s: _Shard, flat: np.ndarray, item_of: np.ndarray, first_of: np.n
     return np.unique(np.stack([doc[good], item[good], base[good]], axis=1), axis=0)
 
 
+def _own_phrases(s: _Shard, codes: np.ndarray, lo: int, hi: int, base: int) -> int:
+    """How many runs of four of the item's words stand exactly, near their place in the document ``lo..hi``, and in at most
+    three documents of the shard: what a passage has beyond set phrases."""
+    own = 0
+    for i in range(len(codes) - 3):
+        p = s.phrase(codes[i : i + 4])
+        near = p[(p >= lo) & (p < hi)]
+        if len(near) and np.abs(near - (base + i)).min() <= BAND and len(np.unique(np.searchsorted(s.doc_starts, p, "right"))) <= 3:
+            own += 1
+    return own
+
+
 def align(item: np.ndarray, weight: np.ndarray, at: np.ndarray, base: np.ndarray, lo: np.ndarray, hi: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignments of items (rows, padded with -3) with the words around places ``base + row position``, in a band.
 
@@ -239,6 +251,8 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     share is how much of the passage stands there unchanged and in order, with each word weighing the logarithm of its
     rarity: sentences alike in all but their rare words don't reach it. It must be ``min_share``, and more in short passages:
     words * (3 * share - 2) must reach 0.55 * ``min_words``, which lets one word in seven of the shortest be replaced or lost.
+    A passage of less than 1.5 * ``min_words`` with a word replaced or lost must also have three runs of four words that stand
+    in hardly any other document: sentences made of the same set phrases with other contents haven't.
 
     ``items`` is a held-out test set; it is read to the driver in blocks of at most BLOCK_WORDS words, and each block is
     searched in all shards. Items shorter than ``min_words`` words must stand there whole. Null and empty texts leak
@@ -289,6 +303,9 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
                         cov, hit, share, begin = align(grid, rare, s.at, base[k], s.doc_starts[doc[k]], s.doc_starts[doc[k] + 1], s.pad)
                         need = np.minimum(min_words, length[item[k]])
                         ok = (cov >= need) & (share >= min_share) & (cov * (3 * share - 2) >= 0.55 * need)
+                        for x in np.flatnonzero(ok & (share < 0.999) & (cov < 1.5 * need)):
+                            codes = flat[first_of[item[k][x]] + begin[x] :][: cov[x]]
+                            ok[x] = _own_phrases(s, codes, s.doc_starts[doc[k][x]], s.doc_starts[doc[k][x] + 1], base[k][x] + begin[x]) >= 3
                         rows.append(pd.DataFrame({"doc_id": s.doc_ids[doc[k][ok]], "item_id": ids[item[k][ok]], "words": cov[ok], "matched": hit[ok], "share": share[ok], "first_word": begin[ok]}))
                     hits = pd.concat(rows)
                     if len(hits):

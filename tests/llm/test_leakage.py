@@ -20,6 +20,7 @@ def found(spark, docs, items, **kw):
 def test_words():
     assert words("The “Quick” brown-ish f­ox, it’s\nre-\n loaded!") == ["the", "quick", "brownish", "fox", "its", "reloaded"]
     assert words("thе nіght ÉTÉ ﬁne") == ["the", "night", "ete", "fine"]
+    assert words("The <b>quick</b>&nbsp; **brown** `fox` is <1 & >2") == ["the", "quick", "brown", "fox", "is", "1", "2"]
     assert words("") == [] and words("- — …") == []
 
 
