@@ -6,12 +6,14 @@ read, so building the index shuffles nothing, and any number of test sets can be
 
 A search takes windows of words from each test item, starts from the postings of a window's rarest terms, intersects them
 with the offset-adjusted postings of the other terms (exactly, or within a few places for proximity), and aligns
-what is left word by word. Test items go to all shards in blocks of bounded size.
+what is left word by word. Test items go to all shards in blocks of bounded size. How common the items' phrases are is
+counted over all shards first, so no verdict hangs on the shard in which a document stands.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.words import words
+from sluice.session import stored
 
 INDEX = "doc_ids array<bigint>, doc_starts array<int>, terms array<string>, term_starts array<int>, postings binary"
 #: Words of a shard. A document is never split; one that is longer makes a shard of its own.
@@ -28,6 +31,11 @@ SHARD_WORDS = 400_000
 BLOCK_WORDS = 200_000
 #: Words of a block, of which the rarest is looked up; words around it that are compared; places they may be off; band of the alignment.
 BLOCK, DRIFT, BAND = 6, 2, 12
+#: Words of a run; documents a SHARD_WORDS of the index, and three at least, in which a passage's own run may stand without the passage.
+RUN, OWN = 4, 3
+#: What search() knows of a passage before runs are compared over all shards. runs: of an inexact short passage, with the documents
+#: that have them. places, filler: the item's words that it lacks and what stands there instead. carried: the item's runs in the document.
+HITS = "doc_id bigint, item_id bigint, words int, matched int, share float, first_word int, runs array<struct<run:int,docs:bigint>>, places string, filler string, carried array<int>"
 
 
 def _shard(ids: list[int], sizes: list[int], tokens: list[str]) -> list:
@@ -69,6 +77,43 @@ def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, INDEX)
 
 
+def _lookup(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where keys stand in a sorted array, -1 for those that don't."""
+    if not len(known):
+        return np.full(len(keys), -1, np.int64)
+    k = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[k] == keys, k, -1)
+
+
+class _Block:
+    """Test items sent at once: their words in a row, their distinct terms, and their distinct runs of RUN words, numbered."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
+        self.ids = np.array([i for i, _ in items], np.int64)
+        self.length = np.array([len(w) for _, w in items], np.int64)
+        self.first_of = np.cumsum(self.length) - self.length
+        self.everything = [w for _, ws in items for w in ws]
+        self.item_of = np.repeat(np.arange(len(self.ids)), self.length)
+        self.terms: dict[str, int] = {}
+        self.term_of = np.fromiter((self.terms.setdefault(w, len(self.terms)) for w in self.everything), np.int64, len(self.everything))
+        self.pairs = np.unique(self.term_of[:-1] * len(self.terms) + self.term_of[1:])
+        four = self._fours(self.term_of)
+        self.runs = np.unique(four[self.item_of[: len(four)] == self.item_of[len(self.item_of) - len(four) :]])
+        self.run_of = self.run_at(self.term_of)
+
+    def _fours(self, terms: np.ndarray) -> np.ndarray:
+        if len(terms) < RUN:
+            return np.zeros(0, np.int64)
+        a, b = terms[:-1], terms[1:]
+        two = _lookup(self.pairs, np.where((a >= 0) & (b >= 0), a * len(self.terms) + b, -1))
+        a, b = two[:-2], two[2:]
+        return np.where((a >= 0) & (b >= 0), a * len(self.pairs) + b, -1)
+
+    def run_at(self, terms: np.ndarray) -> np.ndarray:
+        """The run that begins at each place of a row of terms, -1 where none of the items' does."""
+        return _lookup(self.runs, self._fours(terms))
+
+
 class _Shard:
     def __init__(self, row: dict) -> None:
         self.doc_ids, self.doc_starts = np.asarray(row["doc_ids"], np.int64), np.asarray(row["doc_starts"], np.int64)
@@ -171,18 +216,36 @@ def _candidates(s: _Shard, flat: np.ndarray, item_of: np.ndarray, first_of: np.n
     return np.unique(np.stack([doc[good], item[good], base[good]], axis=1), axis=0)
 
 
-def _own_phrases(s: _Shard, codes: np.ndarray, lo: int, hi: int, base: int) -> int:
-    """How many runs of four of the item's words stand exactly, near their place in the document ``lo..hi``, and in at most
-    three documents of the shard: what a passage has beyond set phrases."""
-    own = 0
-    for i in range(len(codes) - 3):
-        p = s.phrase(codes[i : i + 4])
+def _carried(s: _Shard, block: _Block) -> tuple[np.ndarray, np.ndarray]:
+    """(document, run): each run of the items' words that stands in a document, once, in order."""
+    term_of = np.fromiter((block.terms.get(t, -1) for t in s.terms), np.int64, len(s.terms))
+    run = block.run_at(term_of[s.at[s.pad : s.pad + s.size]]) if s.size else np.zeros(0, np.int64)
+    place = np.flatnonzero(run >= 0)
+    doc = np.searchsorted(s.doc_starts, place, "right") - 1
+    inside = place + RUN <= s.doc_starts[doc + 1]
+    return np.divmod(np.unique(doc[inside] * max(1, len(block.runs)) + run[place[inside]]), max(1, len(block.runs)))
+
+
+def _own_runs(s: _Shard, codes: np.ndarray, lo: int, hi: int, base: int) -> list[int]:
+    """Which of a passage's runs stand exactly, near their place in the document ``lo..hi``."""
+    own = []
+    for i in range(len(codes) - RUN + 1):
+        p = s.phrase(codes[i : i + RUN])
         near = p[(p >= lo) & (p < hi)]
-        if len(near) and np.abs(near - (base + i)).min() <= BAND and len(np.unique(np.searchsorted(s.doc_starts, p, "right"))) <= 3:
-            own += 1
+        if len(near) and np.abs(near - (base + i)).min() <= BAND:
+            own.append(i)
     return own
 
 
+def _replaced(s: _Shard, terms: list[str], codes: np.ndarray, lo: int, hi: int, base: int) -> tuple[list[int], str]:
+    """Which of a passage's words the document ``lo..hi`` lacks, and the words that stand between those it has."""
+    there = s.at[s.pad + max(lo, base - BAND) : s.pad + min(hi, base + len(codes) + BAND)]
+    same = SequenceMatcher(None, there.tolist(), codes.tolist(), autojunk=False).get_matching_blocks()[:-1]
+    has = {m.b + k for m in same for k in range(m.size)}
+    between = [terms[c] for a, b in zip(same, same[1:]) for c in there[a.a + a.size : b.a]]
+    return [i for i in range(len(codes)) if i not in has], " ".join(between)
+
+
 def align(item: np.ndarray, weight: np.ndarray, at: np.ndarray, base: np.ndarray, lo: np.ndarray, hi: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignments of items (rows, padded with -3) with the words around places ``base + row position``, in a band.
 
@@ -251,8 +314,10 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     share is how much of the passage stands there unchanged and in order, with each word weighing the logarithm of its
     rarity: sentences alike in all but their rare words don't reach it. It must be ``min_share``, and more in short passages:
     words * (3 * share - 2) must reach 0.55 * ``min_words``, which lets one word in seven of the shortest be replaced or lost.
-    A passage of less than 1.5 * ``min_words`` with a word replaced or lost must also have three runs of four words that stand
-    in hardly any other document: sentences made of the same set phrases with other contents haven't.
+    A passage of less than 1.5 * ``min_words`` with a word replaced or lost must also have three runs of four words of its own:
+    sentences made of the same set phrases with other contents haven't. A run is a set phrase if, over the whole index, it stands in
+    more than OWN documents a SHARD_WORDS (and more than OWN) that don't carry the item. Documents that carry it never count, however
+    many they are, but for those in which the very same places hold other words: contents, not words replaced.
 
     ``items`` is a held-out test set; it is read to the driver in blocks of at most BLOCK_WORDS words, and each block is
     searched in all shards. Items shorter than ``min_words`` words must stand there whole. Null and empty texts leak
@@ -275,17 +340,28 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     for block in blocks:
         sent = spark.sparkContext.broadcast(block)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pd.DataFrame]:
-            ids = np.array([i for i, _ in sent.value], np.int64)
-            lists = [w for _, w in sent.value]
-            length = np.array([len(w) for w in lists], np.int64)
-            first_of = np.cumsum(length) - length
-            everything = [w for ws in lists for w in ws]
-            item_of = np.repeat(np.arange(len(ids)), length)
+        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            block = _Block(sent.value)
+            docs, size = np.zeros(len(block.runs), np.int64), 0
+            for batch in batches:
+                for row in batch.to_pylist():
+                    s = _Shard(row)
+                    docs += np.bincount(_carried(s, block)[1], minlength=len(docs))
+                    size += s.size
+            k = np.flatnonzero(docs)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(k, -1)), pa.array(np.append(docs[k], size))], ["k", "n"])
+
+        counts = {r["k"]: r["n"] for r in index.mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()}
+        size = counts.pop(-1, 0)
+        sent_counts = spark.sparkContext.broadcast(counts)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, sent_counts=sent_counts) -> Iterator[pd.DataFrame]:
+            block, docs_of = _Block(sent.value), sent_counts.value
+            ids, length, first_of, item_of = block.ids, block.length, block.first_of, block.item_of
             for batch in batches:
                 for row in batch.to_pylist():
                     s = _Shard(row)
-                    flat = s.codes(everything)
+                    flat = s.codes(block.everything)
                     c = _candidates(s, flat, item_of, first_of, length) if len(ids) and s.size else np.zeros((0, 3), np.int64)
                     if not len(c):
                         continue
@@ -303,20 +379,43 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
                         cov, hit, share, begin = align(grid, rare, s.at, base[k], s.doc_starts[doc[k]], s.doc_starts[doc[k] + 1], s.pad)
                         need = np.minimum(min_words, length[item[k]])
                         ok = (cov >= need) & (share >= min_share) & (cov * (3 * share - 2) >= 0.55 * need)
-                        for x in np.flatnonzero(ok & (share < 0.999) & (cov < 1.5 * need)):
-                            codes = flat[first_of[item[k][x]] + begin[x] :][: cov[x]]
-                            ok[x] = _own_phrases(s, codes, s.doc_starts[doc[k][x]], s.doc_starts[doc[k][x] + 1], base[k][x] + begin[x]) >= 3
-                        rows.append(pd.DataFrame({"doc_id": s.doc_ids[doc[k][ok]], "item_id": ids[item[k][ok]], "words": cov[ok], "matched": hit[ok], "share": share[ok], "first_word": begin[ok]}))
-                    hits = pd.concat(rows)
-                    if len(hits):
-                        yield hits.sort_values(["words", "matched"], ascending=False).drop_duplicates(["doc_id", "item_id"])
+                        unsure = ok & (share < 0.999) & (cov < 1.5 * need)
+                        for x in np.flatnonzero(ok):
+                            d, i = doc[k][x], item[k][x]
+                            hit_row = {"doc_id": s.doc_ids[d], "item_id": ids[i], "words": cov[x], "matched": hit[x], "share": share[x], "first_word": begin[x], "runs": None, "places": None, "filler": None, "pair": (d, i)}
+                            if unsure[x]:
+                                first = first_of[i] + begin[x]
+                                place = (flat[first:][: cov[x]], s.doc_starts[d], s.doc_starts[d + 1], base[k][x] + begin[x])
+                                runs = [int(block.run_of[first + j]) for j in _own_runs(s, *place)]
+                                lacks, filler = _replaced(s, row["terms"], *place)
+                                hit_row |= {"runs": [{"run": r, "docs": docs_of[r]} for r in dict.fromkeys(runs)], "places": " ".join(str(begin[x] + j) for j in lacks), "filler": filler}
+                            rows.append(hit_row)
+                    if rows:
+                        hits = pd.DataFrame(rows).sort_values(["words", "matched"], ascending=False, kind="stable")
+                        # Of passages that are sure, the longest of a pair is enough; the runs in its document count once a pair.
+                        hits = hits[hits["runs"].notna() | ~hits.assign(sure=hits["runs"].isna()).duplicated(["pair", "sure"])]
+                        docs, run_in = _carried(s, block)
+                        carried, again = [], hits.duplicated(["pair"]).to_numpy()
+                        for (d, i), seen in zip(hits["pair"], again):
+                            own = block.run_of[first_of[i] : max(first_of[i], first_of[i] + length[i] - RUN + 1)]
+                            carried.append([] if seen else np.intersect1d(run_in[np.searchsorted(docs, d) : np.searchsorted(docs, d, "right")], own).tolist())
+                        yield hits.drop(columns="pair").assign(carried=carried)
 
         def run_arrow(batches: Iterator[pa.RecordBatch], run=run) -> Iterator[pa.RecordBatch]:
-            types = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("matched", pa.int32()), ("share", pa.float32()), ("first_word", pa.int32())])
+            runs = pa.list_(pa.struct([("run", pa.int32()), ("docs", pa.int64())]))
+            types = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("matched", pa.int32()), ("share", pa.float32()), ("first_word", pa.int32()), ("runs", runs), ("places", pa.string()), ("filler", pa.string()), ("carried", pa.list_(pa.int32()))])
             for pdf in run(batches):
                 yield pa.RecordBatch.from_pandas(pdf, types, preserve_index=False)
 
-        part = index.mapInArrow(run_arrow, out)
+        hits = stored(index.mapInArrow(run_arrow, HITS), "p7-hits")
+        cols = ["doc_id", "item_id", "words", "matched", "share", "first_word"]
+        unsure = hits.where(F.col("runs").isNotNull()).withColumn("__row", F.monotonically_increasing_id())
+        rivals = unsure.groupBy("item_id", "places").agg((F.count_distinct("filler") - 1).alias("rivals"))
+        having = hits.select("item_id", F.explode("carried").alias("run")).groupBy("item_id", "run").agg(F.count(F.lit(1)).alias("having"))
+        x = unsure.select("__row", *cols, "places", F.explode("runs").alias("r")).select("*", "r.run", "r.docs").join(rivals, ["item_id", "places"]).join(having, ["item_id", "run"], "left")
+        apart = F.col("docs") - F.coalesce("having", F.lit(0)) + F.col("rivals")
+        own = x.groupBy("__row", *cols).agg(F.count_if(apart <= max(OWN, OWN * size / SHARD_WORDS)).alias("own")).where("own >= 3")
+        part = hits.where(F.col("runs").isNull()).select(cols).unionByName(own.select(cols))
         found = part if found is None else found.unionByName(part)
     # A document id may stand in several rows of the input, and so in several shards.
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("words", "matched", (-F.col("first_word")).alias("f"), "share")).alias("m")).select("doc_id", "item_id", "m.words", "m.matched", "m.share", (-F.col("m.f")).alias("first_word"))

@@ -59,6 +59,32 @@ def test_template_sentences_are_no_leaks(spark):
     assert found(spark, docs, [(1, " ".join(fill()))]) == {}
 
 
+def test_a_short_passage_may_leak_often(spark):
+    rng = random.Random(5)
+    items = [(k, text(rng, 60)) for k in (1, 2, 3)]
+    docs, want = [], set()
+
+    def add(item, passage):
+        want.add((len(docs), item))
+        docs.append((len(docs), " ".join(text(rng, 20) + passage + text(rng, 20))))
+
+    for k in range(9):  # a hot item, another word replaced in each
+        add(1, [w if j != 4 + k else f"other{k}" for j, w in enumerate(items[0][1][10:34])])
+        add(2, [w if j != 11 else "same" for j, w in enumerate(items[1][1][10:34])])  # near-copies
+        add(3, items[2][1][10:34] if k else [w if j != 11 else "one" for j, w in enumerate(items[2][1][10:34])])  # copies and one inexact
+    items = [(i, " ".join(w)) for i, w in items]
+    for shard_words in (300, 10**9):
+        assert set(found(spark, docs, items, shard_words=shard_words)) == want
+
+
+def test_the_same_places_with_other_contents_are_no_leaks(spark):
+    rng = random.Random(6)
+    frame = text(rng, 24)
+    docs = [(k, " ".join(text(rng, 10) + [w if j not in (8, 16) else f"other{k}" for j, w in enumerate(frame)] + text(rng, 10))) for k in range(9)]
+    for shard_words in (80, 10**9):
+        assert found(spark, docs, [(1, " ".join(frame + text(rng, 30)))], shard_words=shard_words) == {}
+
+
 def test_against_brute_force_over_shards(spark):
     rng = random.Random(3)
     items = [(k, " ".join(text(rng, rng.randrange(25, 90)))) for k in range(12)]
