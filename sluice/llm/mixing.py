@@ -98,15 +98,15 @@ def fit(lengths: np.ndarray, available: np.ndarray, budget: int, leftover: int =
 def budgets(histogram: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """(source, target_share, max_repeats, available_tokens, budget) for each target.
 
-    Without ``total_tokens``, the total is the largest at which every source that has any text reaches its share when its
-    texts are used up to ``max_repeats`` times. Sources without text have a budget but nothing to fill it with. Null or
+    Without ``total_tokens``, the total is that of all texts of the targets that may be used, each text once. It so hangs on
+    no single source: one with too little text, or none, falls short of its budget and takes nothing from the others. Null or
     non-positive shares and repeats count as 0. A source named twice counts once: largest share, then largest repeats.
     """
     have = histogram.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("texts")).alias("available_tokens"))
     t = targets.where(F.col("source").isNotNull()).groupBy("source").agg(F.max(F.struct(F.greatest(F.coalesce("target_share", F.lit(0.0)), F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).alias("max_repeats"))).alias("m"))
     t = t.select("source", "m.*").join(have, "source", "left").withColumn("available_tokens", F.coalesce("available_tokens", F.lit(0)))
-    room = F.col("available_tokens") * F.col("max_repeats") / F.nullif(F.col("target_share"), F.lit(0.0))
-    total = F.lit(total_tokens) if total_tokens is not None else F.coalesce(F.min(F.when(F.col("available_tokens") * F.col("max_repeats") > 0, room)).over(Window.partitionBy(F.lit(1))), F.lit(0))  # as few rows as targets
+    usable = F.when((F.col("target_share") > 0) & (F.col("max_repeats") > 0), F.col("available_tokens"))
+    total = F.lit(total_tokens) if total_tokens is not None else F.coalesce(F.sum(usable).over(Window.partitionBy(F.lit(1))), F.lit(0))  # as few rows as targets
     return t.withColumn("budget", F.floor(F.col("target_share") * total + 1e-6).cast("bigint"))
 
 

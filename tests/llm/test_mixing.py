@@ -61,6 +61,17 @@ def test_scarce_source_gives_all_it_has(spark):
     assert len(rows) == 150 and all(r["copies"] == 3 for r in rows)
 
 
+def test_one_poor_source_does_not_shrink_the_mix(spark):
+    docs, targets = frames(spark)
+    whole = {r["source"]: r["tokens"] for r in mixing.shares(mixing.mix(docs, targets), targets).collect()}
+    more = docs.union(spark.createDataFrame([(9100, "absent", "the only text of a poor source")], docs.schema))
+    mixed = mixing.mix(more, targets).cache()
+    got = {r["source"]: r for r in mixing.shares(mixed, targets).collect()}
+    size = mixing.count_tokens(more, ["doc_id", "source"]).where("doc_id = 9100").first()["n_tokens"]
+    assert got["absent"]["tokens"] == 5 * size and got["absent"]["actual_share"] < 0.05 and got["absent"]["most_repeats"] == 5
+    assert all(0 <= got[s]["tokens"] - whole[s] <= size for s in ("wiki", "chat", "tiny"))
+
+
 def test_a_text_under_two_ids_is_one_text(spark):
     docs = spark.createDataFrame([(1, "a", "same text"), (2, "a", "same text"), (3, "b", "same text"), (4, "a", "another one")], "doc_id bigint, source string, text string")
     targets = spark.createDataFrame([("a", 1.0, 2), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
