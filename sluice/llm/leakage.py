@@ -6,8 +6,8 @@ read, so building the index shuffles nothing, and any number of test sets can be
 
 A search takes windows of words from each test item, starts from the postings of a window's rarest terms, intersects them
 with the offset-adjusted postings of the other terms (exactly, or within a few places for proximity), and aligns
-what is left word by word. Test items go to all shards in blocks of bounded size. How common the items' phrases are is
-counted over all shards first, so no verdict hangs on the shard in which a document stands.
+what is left word by word. Test items go to all shards in blocks of bounded size. How common the items' words and phrases are
+is counted over all shards first, so no verdict hangs on the shard in which a document stands.
 """
 
 from __future__ import annotations
@@ -226,6 +226,12 @@ def _carried(s: _Shard, block: _Block) -> tuple[np.ndarray, np.ndarray]:
     return np.divmod(np.unique(doc[inside] * max(1, len(block.runs)) + run[place[inside]]), max(1, len(block.runs)))
 
 
+def _times(s: _Shard, block: _Block) -> np.ndarray:
+    """How often each term of the items stands in the shard."""
+    codes = s.codes(list(block.terms))
+    return np.where(codes >= 0, s.count[np.maximum(codes, 0)], 0) if len(s.count) else np.zeros(len(codes), np.int64)
+
+
 def _own_runs(s: _Shard, codes: np.ndarray, lo: int, hi: int, base: int) -> list[int]:
     """Which of a passage's runs stand exactly, near their place in the document ``lo..hi``."""
     own = []
@@ -312,7 +318,7 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     item, the longest such passage of each pair.
 
     share is how much of the passage stands there unchanged and in order, with each word weighing the logarithm of its
-    rarity: sentences alike in all but their rare words don't reach it. It must be ``min_share``, and more in short passages:
+    rarity in the whole index: sentences alike in all but their rare words don't reach it. It must be ``min_share``, and more in short passages:
     words * (3 * share - 2) must reach 0.55 * ``min_words``, which lets one word in seven of the shortest be replaced or lost.
     A passage of less than 1.5 * ``min_words`` with a word replaced or lost must also have three runs of four words of its own:
     sentences made of the same set phrases with other contents haven't. A run is a set phrase if, over the whole index, it stands in
@@ -342,22 +348,26 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = _Block(sent.value)
-            docs, size = np.zeros(len(block.runs), np.int64), 0
+            terms, docs, size = np.zeros(len(block.terms), np.int64), np.zeros(len(block.runs), np.int64), 0
             for batch in batches:
                 for row in batch.to_pylist():
                     s = _Shard(row)
                     docs += np.bincount(_carried(s, block)[1], minlength=len(docs))
+                    terms += _times(s, block)
                     size += s.size
-            k = np.flatnonzero(docs)
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(k, -1)), pa.array(np.append(docs[k], size))], ["k", "n"])
+            # Runs from 0 up, terms from -2 down, -1 for all words.
+            k, t = np.flatnonzero(docs), np.flatnonzero(terms)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k, -2 - t, [-1]])), pa.array(np.concatenate([docs[k], terms[t], [size]]))], ["k", "n"])
 
         counts = {r["k"]: r["n"] for r in index.mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()}
-        size = counts.pop(-1, 0)
+        size = counts.get(-1, 0)
         sent_counts = spark.sparkContext.broadcast(counts)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, sent_counts=sent_counts) -> Iterator[pd.DataFrame]:
             block, docs_of = _Block(sent.value), sent_counts.value
             ids, length, first_of, item_of = block.ids, block.length, block.first_of, block.item_of
+            times = np.array([docs_of.get(-2 - t, 0) for t in range(len(block.terms))], np.int64)
+            weight = np.log((docs_of.get(-1, 0) + 1) / (1 + times[block.term_of])).astype(np.float32)
             for batch in batches:
                 for row in batch.to_pylist():
                     s = _Shard(row)
@@ -375,7 +385,7 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
                         wide = int(length[item[k]].max())
                         col = np.arange(wide)
                         grid = np.where(col < length[item[k]][:, None], flat[np.minimum(first_of[item[k]][:, None] + col, len(flat) - 1)], -3)
-                        rare = np.where(grid == -3, 0, np.log((s.size + 1) / (1 + np.where(grid >= 0, s.count[np.maximum(grid, 0)], 0)))).astype(np.float32)
+                        rare = np.where(grid == -3, 0, weight[np.minimum(first_of[item[k]][:, None] + col, len(flat) - 1)])
                         cov, hit, share, begin = align(grid, rare, s.at, base[k], s.doc_starts[doc[k]], s.doc_starts[doc[k] + 1], s.pad)
                         need = np.minimum(min_words, length[item[k]])
                         ok = (cov >= need) & (share >= min_share) & (cov * (3 * share - 2) >= 0.55 * need)

@@ -85,6 +85,16 @@ def test_the_same_places_with_other_contents_are_no_leaks(spark):
         assert found(spark, docs, [(1, " ".join(frame + text(rng, 30)))], shard_words=shard_words) == {}
 
 
+def test_words_weigh_the_same_in_every_shard(spark):
+    rng = random.Random(7)
+    item = text(rng, 60)
+    passage = [w if j not in (5, 10, 15) else f"other{j}" for j, w in enumerate(item[10:32])]
+    # The replaced words are common in the corpus, but not in the document's own shard; the others are rarer.
+    docs = [(0, " ".join(text(rng, 5) + passage + text(rng, 5)))] + [(k, " ".join([item[15], item[20], item[25]] * 20)) for k in range(1, 30)]
+    shares = [{k: r["share"] for k, r in found(spark, docs, [(1, " ".join(item))], shard_words=n).items()} for n in (30, 300, 10**9)]
+    assert set(shares[0]) == {(0, 1)} and shares[0] == shares[1] == shares[2]
+
+
 def test_against_brute_force_over_shards(spark):
     rng = random.Random(3)
     items = [(k, " ".join(text(rng, rng.randrange(25, 90)))) for k in range(12)]
