@@ -30,6 +30,8 @@ _DOTS = re.compile(r"\s*(?:…|\.{3,})[\"'”»)]*$")
 _MARK = re.compile(r"[.!?。！？]['\"”’»)\]*_`]*$")
 _EDGE = "\"'“”‘’«»()[]{}<>*_`,;:"
 _HEX = re.compile(r"(?=[a-f]*\d)[0-9a-f]{2,}")
+#: Characters up to which the trie holds every prefix.
+STEM = 40
 _DIGITS = str.maketrans("0123456789", "9999999999")
 
 
@@ -162,9 +164,17 @@ def profile(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", so
     return documents.select(F.col(doc_id).cast("bigint"), F.col(text), F.col(source)).mapInArrow(_profile, _STATS)
 
 
-def trie(words: DataFrame) -> DataFrame:
-    """The vocabulary trie as a table: for each prefix, ``below``, how often known words run through it and on."""
-    prefixes = words.where(F.length("word") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("prefix"), "n")
+def trie(words: DataFrame, finals: DataFrame | None = None) -> DataFrame:
+    """The vocabulary trie as a table: for each prefix, ``below``, how often known words run through it and on.
+
+    Prefixes of over STEM characters are made only for the ``finals`` (column ``last``) that have them, so that long words
+    don't grow the table by the square of their length; without ``finals``, for none."""
+    prefixes = words.where(F.length("word") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("word") - 1, F.lit(STEM))), lambda k: F.substring(F.col("word"), F.lit(1), k))).alias("prefix"), "n")
+    if finals is not None:
+        stem = lambda c: F.substring(F.col(c), 1, STEM).alias("stem")
+        long = finals.where(F.length("last") > STEM).select("last", stem("last")).distinct()
+        runs = words.where(F.length("word") > STEM + 1).select("word", "n", stem("word")).join(long, "stem")
+        prefixes = prefixes.unionByName(runs.where(F.col("word").startswith(F.col("last")) & (F.length("word") > F.length("last"))).select(F.col("last").alias("prefix"), "n"))
     return prefixes.groupBy("prefix").agg(F.sum("n").alias("below"))
 
 
@@ -193,7 +203,7 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     # A kind of line is rigid if nearly all its lines end in words that do little else: log lines, not list items.
     closing = F.try_divide(F.sum(F.when(F.col("bare") >= 0.9 * F.col("n"), F.col("bare")).otherwise(0)), F.sum("bare"))
     rigid = words.groupBy("kind").agg((closing >= 0.9).alias("rigid"), F.sum("bare").alias("kind_bare"))
-    vocabulary = known.where(F.length("word").between(2, 40)).select("word", F.col("inner").alias("n"))
+    vocabulary = known.where(F.length("word") >= 2).select("word", F.col("inner").alias("n"))
     style = profiled.where(F.col("tag") == "style").groupBy("source", "kind").agg((F.sum("bare") / F.sum("n")).alias("bare_style"))
     short = profiled.where(F.col("tag") == "short").groupBy(F.col("word").alias("message")).agg(F.sum("n").alias("times"))
     lengths = docs.where(F.col("ending") == "bare").select("source", F.explode(F.array_distinct(F.array("chars", "bytes"))).alias("length")).groupBy("source", "length").agg(F.count(F.lit(1)).alias("here"))
@@ -202,7 +212,7 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
 
     open_ = docs.where((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))
     x = open_.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), "inner", "all", "all_ends"), "last", "left").join(rigid, "kind", "left")
-    x = x.join(trie(vocabulary).withColumnRenamed("prefix", "last"), "last", "left").join(style, ["source", "kind"], "left").join(short, "message", "left")
+    x = x.join(trie(vocabulary, open_).withColumnRenamed("prefix", "last"), "last", "left").join(style, ["source", "kind"], "left").join(short, "message", "left")
     for c in ("chars", "bytes"):
         x = x.join(limits.select("source", F.col("length").alias(c), F.col("at_limit").alias(f"at_{c}")), ["source", c], "left")
     n, bare, dotted = (F.greatest(F.coalesce(c, F.lit(0)) - own, F.lit(0)) for c, own in (("n", 1), ("bare", F.when(F.col("ending") == "bare", 1).otherwise(0)), ("dotted", F.when(F.col("ending") == "dotted", 1).otherwise(0))))

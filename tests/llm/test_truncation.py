@@ -77,3 +77,17 @@ def test_empty(spark):
 def test_trie(spark):
     w = spark.createDataFrame([("ab", 2), ("abc", 3), ("x", 1)], "word string, n bigint")
     assert {r["prefix"]: r["below"] for r in truncation.trie(w).collect()} == {"a": 5, "ab": 3}
+
+
+def test_trie_of_long_words(spark):
+    long = "store/" + "verylongfolder/" * 5 + "part"
+    w = spark.createDataFrame([(long, 3), (long[:60], 2)], "word string, n bigint")
+    got = {r["prefix"]: r["below"] for r in truncation.trie(w, spark.createDataFrame([(long[:55],), (long[:60],), (long,), ("other" * 20,)], "last string")).collect()}
+    assert got[long[:40]] == 5 and got[long[:55]] == 5 and got[long[:60]] == 3 and long not in got and len(got) == 42
+
+
+def test_cut_in_a_long_word(spark):
+    long = "store/" + "verylongfolder/" * 5 + "part"
+    rows = [(k, f"* Copied {long} to the lake\n* Moved {long} again", "log") for k in range(20)] + [(99, f"* Copied {long[:55]}", "log")]
+    got = truncation.detect(truncation.profile(spark.createDataFrame(rows, "doc_id bigint, text string, source string")))
+    assert {(r["doc_id"], r["cause"]) for r in got.collect()} == {(99, "word")}
