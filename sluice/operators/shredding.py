@@ -6,7 +6,9 @@ which form (list, lone value, list written as text); its records are routed on t
 its structural variant. Transitions are kept in a table, so a shape seen before costs one lookup; states are named by a
 hash of their definition, so all tasks agree without talking to each other.
 
-One narrow pass over the documents, no shuffle. Numbers keep their digits as written.
+``shred`` is one narrow pass over the documents, no shuffle. ``route`` writes its records to their subtypes' tables: a folder
+for each kind, in which the records of a variant lie together, and a table of definitions, from which the fields get their
+types. Numbers keep their digits as written. Nothing recurses, so no depth is too great.
 """
 
 from __future__ import annotations
@@ -15,76 +17,87 @@ import hashlib
 import json
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-CHILD_MEMBERS = ("lines", "modifiers", "components", "tenders", "breaks", "hops")
-SUPERTYPE = "root string, kind string, record_path string, parent_path string, ordinal int, depth int, carrier string, variant string, definition string, fields map<string,string>"
-
+from sluice.functions.jsontext import Number, plain, read, write
 
-class _Number(str):
-    """A number as written."""
+CHILD_MEMBERS = ("lines", "modifiers", "components", "tenders", "breaks", "hops")
+SUPERTYPE = "root string, kind string, record_no int, parent_no int, record_path string, parent_path string, ordinal int, depth int, carrier string, variant string, definition string, fields map<string,string>"
+_TYPES = {"int": pa.int32(), "string": pa.string(), "map<string,string>": pa.map_(pa.string(), pa.string())}
+_FIELDS = [(c.split()[0], _TYPES[c.split()[1]]) for c in SUPERTYPE.split(", ")]
 
 
 class Automaton:
-    """The transition table: (label, children's states) to state."""
+    """The transition table: (label, children's states) to state. States are numbers within a task; names come from hashes."""
 
     def __init__(self) -> None:
-        self.states: dict[object, tuple[str, str]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[object, int] = {}
+        self.made: list[tuple[str, object]] = []
+        self.marks: list[str] = []  # names of states, the same in all tasks
+        self.variants: dict[tuple[str, int], str] = {}
 
-    def to(self, key: object, definition: str) -> tuple[str, str]:
-        got = self.states.get(key)
+    def to(self, label: str, kids: object) -> int:
+        """label: ``{`` with ((member, state), ...) by name, ``[`` with a sorted tuple of states, or '' with a leaf's name."""
+        got = self.numbers.get((label, kids))
         if got is None:
-            if len(self.states) > 200_000:  # shapes are few; this bounds memory where member names are data
-                self.states.clear()
-            got = self.states[key] = (hashlib.blake2b(definition.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest(), definition)
+            if label == "":
+                mark = kids
+            else:
+                inner = ",".join(f"{json.dumps(k)}:{self.marks[s]}" for k, s in kids) if label == "{" else "|".join(sorted(self.marks[s] for s in kids))
+                mark = "~" + hashlib.blake2b(f"{label}{inner}".encode(), digest_size=16).hexdigest()
+            got = self.numbers[label, kids] = len(self.made)
+            self.made.append((label, kids))
+            self.marks.append(mark)
         return got
 
-    def leaf(self, v: object) -> str:
+    def leaf(self, v: object) -> int:
         if v is None:
-            return "null"
+            return self.to("", "null")
         if v is True or v is False:
-            return "bool"
-        if isinstance(v, _Number):
-            return "int" if v.lstrip("-").isdigit() else "decimal"
-        return "string"
-
-    def state(self, v: object) -> str:
-        """The definition of a value below a record that holds no child records itself."""
-        if isinstance(v, dict):
-            kids = tuple((k, self.state(x)) for k, x in sorted(v.items()))
-            got = self.states.get(kids)
-            return got[1] if got else self.to(kids, "{" + ",".join(f"{json.dumps(k)}:{s}" for k, s in kids) + "}")[1]
-        if isinstance(v, list):
-            kinds = tuple(sorted({self.state(x) for x in v}))
-            return self.to(("[]", kinds), "[" + "|".join(kinds) + "]")[1]
-        return self.leaf(v)
-
-
-def _text(v: object) -> str | None:
-    """A leaf as text, numbers as written; an array or object as JSON."""
-    if v is None or type(v) is str:
-        return v
-    if isinstance(v, _Number):
-        return str(v)
-    if v is True or v is False:
-        return "true" if v else "false"
-    return _json(v)
-
-
-def _json(v: object) -> str:
-    if isinstance(v, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_json(x)}" for k, x in v.items()) + "}"
-    if isinstance(v, list):
-        return "[" + ",".join(map(_json, v)) + "]"
-    if isinstance(v, _Number):
-        return str(v)
-    return json.dumps(v, ensure_ascii=False)
-
-
-def _decode(text: str) -> object:
-    return json.loads(text, parse_float=_Number, parse_int=_Number, parse_constant=_Number)
+            return self.to("", "bool")
+        if isinstance(v, Number):
+            return self.to("", "int" if v.lstrip("-").isdigit() else "decimal")
+        return self.to("", "string")
+
+    def definition(self, state: int) -> str:
+        """What a state stands for, written out."""
+        out: list[str] = []
+        todo: list[int | str] = [state]
+        while todo:
+            s = todo.pop()
+            if isinstance(s, str):
+                out.append(s)
+                continue
+            label, kids = self.made[s]
+            if label == "":
+                out.append(kids)
+            elif label == "{":
+                pieces: list[int | str] = []
+                for k, x in kids:
+                    pieces += [("," if pieces else "") + json.dumps(k) + ":", x]
+                todo += ["}", *reversed(pieces), "{"]
+            else:
+                pieces = []
+                for x in sorted(kids, key=self.marks.__getitem__):
+                    pieces += ["|", x] if pieces else [x]
+                todo += ["]", *reversed(pieces), "["]
+        return "".join(out)
+
+    def variant(self, kind: str, state: int) -> tuple[str, str | None]:
+        """A record's structural variant, and its definition where this task hasn't given it yet."""
+        got = self.variants.get((kind, state))
+        if got is not None:
+            return got, None
+        definition = kind + self.definition(state)
+        got = self.variants[kind, state] = hashlib.blake2b(definition.encode(), digest_size=8).hexdigest()
+        return got, definition
 
 
 def _array(cells: list, kind: pa.DataType) -> pa.Array:
@@ -96,6 +109,28 @@ def _array(cells: list, kind: pa.DataType) -> pa.Array:
         return pa.array(list(map(clean, cells)), kind)
 
 
+def _spelled(link: tuple | None) -> str:
+    """A chain of (chain before, piece) as text. Chains make a path cost its length only where it is needed."""
+    pieces = []
+    while link:
+        pieces.append(link[1])
+        link = link[0]
+    return "".join(reversed(pieces))
+
+
+class _Open:
+    """A container whose state isn't known yet."""
+
+    __slots__ = ("value", "key", "rest", "kids", "path", "name", "fields", "outer", "before")
+
+    def __init__(self, value: dict | list, key: object, path: tuple | None, name: str | tuple | None, fields: list | None, before: int) -> None:
+        self.value, self.key, self.path, self.name, self.outer, self.before = value, key, path, name, fields, before
+        if isinstance(value, dict):
+            self.rest, self.kids, self.fields = iter(value.items()), [], fields
+        else:  # an array's own fields count only if it holds child records; else it is one field
+            self.rest, self.kids, self.fields = iter(enumerate(value)), set(), None if fields is None else []
+
+
 class _Shredder:
     def __init__(self, members: frozenset[str], fields: bool) -> None:
         self.members, self.fields, self.automaton = members, fields, Automaton()
@@ -106,81 +141,107 @@ class _Shredder:
             return "list", value
         if type(value) is str and value.lstrip()[:1] == "[":
             try:
-                decoded = _decode(value)
+                decoded = read(value)
             except ValueError:
                 return "lone", [value]
             if isinstance(decoded, list):
                 return "text", decoded
         return "lone", [value]
 
-    def record(self, root: str, kind: str, path: str, parent: str | None, ordinal: int | None, carrier: str, top: object, out: list) -> None:
-        """Emits a record and then its child records, depth first with a stack of its own: depth isn't limited."""
-        stack = [(kind, path, parent, ordinal, 0, carrier, top)]
+    def document(self, root: str, top: object, out: list) -> None:
+        """Emits the document's own record and then its child records, depth first."""
+        if len(self.automaton.made) > 200_000:  # shapes are few; this bounds memory where member names are data
+            self.automaton.clear()
+        number = 0
+        stack = [(root, root, None, None, None, 0, "root", top)]
         while stack:
-            kind, path, parent, ordinal, depth, carrier, value = stack.pop()
-            fields: list[tuple[str, str | None]] = []
+            kind, path, parent, parent_no, ordinal, depth, carrier, value = stack.pop()
+            fields: list[tuple[str, str | None]] | None = [] if self.fields else None
             later: list = []
-            definition = self.scan(value, path, "", depth, fields, later, path)
-            state = self.automaton.to(("#", kind, definition), f"{kind}{definition}")
-            out.append((root, kind, path, parent, ordinal, depth, carrier, *state, fields if self.fields else []))
+            state = self.scan(value, path, number, depth + 1, fields, later)
+            out.append((root, kind, number, parent_no, path, parent, ordinal, depth, carrier, *self.automaton.variant(kind, state), fields or []))
+            number += 1
             stack.extend(reversed(later))
 
-    def scan(self, value: object, path: str, prefix: str, depth: int, fields: list, later: list, owner: str) -> str:
-        """The definition of a record's own part of the tree; its leaves go to fields, its child records to later."""
-        if isinstance(value, dict):
-            kids = []
-            for k, x in value.items():
-                at, name = f"{path}.{k}", f"{prefix}{k}"
-                if k in self.members:
+    def scan(self, top: object, path: str, number: int, depth: int, fields: list | None, later: list) -> int:
+        """The state of a record's own part of the tree; its leaves go to fields, its child records to later."""
+        a = self.automaton
+        if not isinstance(top, (dict, list)):
+            if fields is not None:
+                fields.append(("value", plain(top)))
+            return a.leaf(top)
+        stack = [_Open(top, None, None, None, fields, 0)]
+        while True:
+            o = stack[-1]
+            is_list = isinstance(o.value, list)
+            deeper = None
+            for k, x in o.rest:
+                if not is_list and k in self.members:
                     if x is None:
-                        kids.append((k, "null"))
+                        o.kids.append((k, a.to("", "null")))
                         continue
                     carrier, items = self.children(x)
-                    kids.append((k, f"<{k}:{carrier}>"))
-                    for i, item in enumerate(items):
-                        if item is not None:
-                            later.append((k, f"{at}[{i}]", owner, i, depth + 1, carrier, item))
+                    o.kids.append((k, a.to("", f"<{k}:{carrier}>")))
+                    at = f"{path}{_spelled(o.path)}.{k}"
+                    later += [(k, f"{at}[{i}]", path, number, i, depth, carrier, item) for i, item in enumerate(items) if item is not None]
                 elif isinstance(x, (dict, list)):
-                    kids.append((k, self.scan(x, at, name + ".", depth, fields, later, owner)))
+                    piece = f"[{k}]" if is_list else f".{k}"
+                    deeper = _Open(x, k, (o.path, piece), (o.name, piece if is_list or o.name else k), o.fields, len(later))
+                    break
                 else:
-                    kids.append((k, self.automaton.leaf(x)))
-                    fields.append((name, _text(x)))
-            kids.sort()
-            key = tuple(kids)
-            got = self.automaton.states.get(key)
-            return got[1] if got else self.automaton.to(key, "{" + ",".join(f"{json.dumps(k)}:{s}" for k, s in kids) + "}")[1]
-        if isinstance(value, list):
-            before = len(later)
-            states = sorted({self.scan(x, f"{path}[{i}]", "", depth, [], later, owner) if isinstance(x, (dict, list)) else self.automaton.leaf(x) for i, x in enumerate(value)})
-            if len(later) == before:
-                fields.append((prefix.rstrip(".") or "value", _json(value)))
-            return self.automaton.to(("[]", tuple(states)), "[" + "|".join(states) + "]")[1]
-        fields.append((prefix.rstrip(".") or "value", _text(value)))
-        return self.automaton.leaf(value)
+                    if is_list:
+                        o.kids.add(a.leaf(x))
+                    else:
+                        o.kids.append((k, a.leaf(x)))
+                    if o.fields is not None:
+                        before = _spelled(o.name)
+                        o.fields.append((f"{before}[{k}]" if is_list else f"{before}.{k}" if before else k, plain(x)))
+            if deeper is not None:
+                stack.append(deeper)
+                continue
+            stack.pop()
+            if is_list:
+                state = a.to("[", tuple(sorted(o.kids)))
+                if o.outer is not None:
+                    if len(later) == o.before:
+                        o.outer.append((_spelled(o.name) or "value", write(o.value)))
+                    else:
+                        o.outer.extend(o.fields)
+            else:
+                o.kids.sort()
+                state = a.to("{", tuple(o.kids))
+            if not stack:
+                return state
+            up = stack[-1]
+            if isinstance(up.value, list):
+                up.kids.add(state)
+            else:
+                up.kids.append((o.key, state))
 
 
 def shred(df: DataFrame, keys: list[str], documents: dict[str, str], children: tuple[str, ...] = CHILD_MEMBERS, without: dict[str, tuple[str, ...]] | None = None,
           roots: bool = True, fields: bool = True) -> DataFrame:
     """The supertype table: one row for each record of the JSON documents, with the columns ``keys`` of its row and
 
-    root, kind (the root's name, or the member's), record_path, parent_path (null for a root), ordinal (null for a root),
-    depth, carrier (``list``, ``lone``, ``text``; ``root``), variant, definition, fields (leaves by dotted name, as written;
-    a scalar record has one field ``value``; arrays without child records are JSON text).
+    root, kind (the root's name, or the member's), record_no (unique in the document, from 0), parent_no, record_path, parent_path (both
+    null for a root), ordinal (null for a root), depth, carrier (``list``, ``lone``, ``text``; ``root``), variant, definition (on
+    the first record of a variant in each task, else null), fields (leaves by dotted name, as written; a scalar record has one
+    field ``value``; an array is JSON text, or its leaves by index where it holds child records). Paths use names as written, so
+    members with dots in their names can share a path; numbers never do.
 
     documents: root name to string column. children: members that hold child records, at any depth, as a list, a lone value
     (ordinal 0) or a list written as JSON text. without: members of the top object that don't count, by root. roots, fields:
     False leaves root records out or fields empty.
 
     A null or empty document gives no rows. Null members and items are no records, but keep their ordinal. A document
-    that isn't JSON, or nests plain objects hundreds of levels deep, gives one root record with kind ``<root>!``, no children. Repeated rows give repeated records; an empty
-    table gives an empty table. Key columns may have any names, also those of the supertype; they come first in order.
+    that isn't JSON gives one root record with kind ``<root>!``, no children; a member's text that isn't a JSON list is one lone
+    value. Depth doesn't matter. Repeated rows give repeated records; an empty table gives an empty table. Key columns may have
+    any names, also those of the supertype; they come first in order.
     """
     drop = {r: frozenset(m) for r, m in (without or {}).items()}
     members, names, n = frozenset(children), list(documents), len(keys)
     part = df.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{c}`").cast("string") for c in documents.values()]).toDF(*[f"k{i}" for i in range(n)], *[f"d{i}" for i in range(len(names))])
     key_schema = part.select(*part.columns[:n]).schema
-    out_fields = [("root", pa.string()), ("kind", pa.string()), ("record_path", pa.string()), ("parent_path", pa.string()), ("ordinal", pa.int32()), ("depth", pa.int32()),
-                  ("carrier", pa.string()), ("variant", pa.string()), ("definition", pa.string()), ("fields", pa.map_(pa.string(), pa.string()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shredder = _Shredder(members, fields)
@@ -196,91 +257,151 @@ def shred(df: DataFrame, keys: list[str], documents: dict[str, str], children: t
                             continue
                         start = len(rows)
                         try:
-                            doc = _decode(text)
+                            doc = read(text)
+                        except ValueError:
+                            rows.append((root, f"{root}!", 0, None, root, None, None, 0, "root", "", None, [("value", text)] if fields else []))
+                        else:
                             if isinstance(doc, dict) and root in drop:
                                 doc = {k: v for k, v in doc.items() if k not in drop[root]}
-                            shredder.record(root, root, root, None, None, "root", doc, rows)
-                        except (ValueError, RecursionError):
-                            del rows[start:]
-                            rows.append((root, f"{root}!", root, None, None, 0, "root", "", "", [("value", text)] if fields else []))
+                            shredder.document(root, doc, rows)
                         if not roots:
                             del rows[start]
                         of.extend([i] * (len(rows) - start))
                 idx = pa.array(of, pa.int32())
-                cols = list(zip(*rows)) if rows else [[]] * len(out_fields)
-                # A repeated member name keeps its last value, as in JSON objects read elsewhere.
+                cols = list(zip(*rows)) if rows else [[]] * len(_FIELDS)
+                # A repeated name keeps its last value.
                 cols[-1] = [list(dict(f).items()) for f in cols[-1]] if fields else [()] * len(rows)
-                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(idx) for j in range(n)), *(_array(c, t) for c, (_, t) in zip(cols, out_fields))],
-                                                 [*(f"k{j}" for j in range(n)), *(k for k, _ in out_fields)])
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).take(idx) for j in range(n)), *(_array(c, t) for c, (_, t) in zip(cols, _FIELDS))],
+                                                 [*(f"k{j}" for j in range(n)), *(k for k, _ in _FIELDS)])
 
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in key_schema), SUPERTYPE])
-    done = part.mapInArrow(run, schema)
-    return done.toDF(*keys, *[k for k, _ in out_fields])
+    return part.mapInArrow(run, schema).toDF(*keys, *[k for k, _ in _FIELDS])
 
 
 def variants(records: DataFrame) -> DataFrame:
-    """The structural variants: kind, variant, definition and how many records have it."""
-    return records.groupBy("kind", "variant", "definition").agg(F.count(F.lit(1)).alias("records"))
+    """The structural variants: kind, variant, definition and how many records have it. A definition on a root that was left out is
+    null here."""
+    return records.groupBy("kind", "variant").agg(F.max("definition").alias("definition"), F.count(F.lit(1)).alias("records"))
 
 
 def subtype(records: DataFrame, kind: str, typed: dict[str, str], keys: list[str], variant: str | None = None) -> DataFrame:
     """The typed table of one kind (and one structural variant): supertype keys, parent link, then ``typed`` fields.
 
-    typed: field to SQL type. A value that the type can't hold is null there; ``other_fields`` keeps it, together with
+    typed: field to SQL type. A value that the type can't hold whole is null there; ``other_fields`` keeps it, together with
     fields that aren't listed, so nothing is lost.
     """
     own = records.where((F.col("kind") == kind) & (F.lit(True) if variant is None else F.col("variant") == variant))
-    cast: dict[str, Column] = {f: F.col("fields")[f].try_cast(t) for f, t in typed.items()}
-    lost = F.map_filter("fields", lambda k, v: ~k.isin(*typed) | F.coalesce(*[F.when((k == f) & v.isNotNull(), v.try_cast(t).isNull()) for f, t in typed.items()], F.lit(False)))
-    return own.select(*keys, "record_path", "parent_path", "ordinal", "depth", "variant", *[c.alias(f) for f, c in cast.items()], lost.alias("other_fields"))
+    cast: dict[str, Column] = {f: _held(F.col("fields")[f], t) for f, t in typed.items()}
+    lost = F.map_filter("fields", lambda k, v: ~k.isin(*typed) | F.coalesce(*[F.when((k == f) & v.isNotNull(), _held(v, t).isNull()) for f, t in typed.items()], F.lit(False))) if typed else F.col("fields")
+    return own.select(*[F.col(f"`{k}`") for k in keys], "record_no", "parent_no", "record_path", "parent_path", "ordinal", "depth", "carrier", "variant", *[c.alias(f) for f, c in cast.items()], lost.alias("other_fields"))
+
+
+def _held(text: Column, kind: str) -> Column:
+    """The text as a type; null where that would lose digits."""
+    got = text.try_cast(kind)
+    if not kind.startswith("decimal"):
+        return got
+    scale = int(kind[kind.index(",") + 1 : -1])
+    return F.when(F.length(F.rtrim(F.regexp_extract(text, r"^[^.eE]*\.?(\d*)", 1), F.lit("0"))) - F.coalesce(F.nullif(F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1), F.lit("")).cast("int"), F.lit(0)) <= scale, got)
 
 
 #: SQL type of each leaf state. Fixed values.
-LEAF_TYPES = {"int": "decimal(38,0)", "decimal": "decimal(38,19)", "bool": "boolean", "string": "string", "null": "string"}
+LEAF_TYPES = {"int": "decimal(38,0)", "decimal": "decimal(38,19)", "bool": "boolean", "string": "string", "null": "void"}
 
 
 def variant_fields(definition: str) -> dict[str, str]:
-    """The typed fields of a structural variant, by dotted name, from its definition; arrays are JSON text."""
-    at, out = definition.index("{") if "{" in definition else len(definition), {}
+    """The typed fields of a structural variant, by dotted name, from its definition; ``void`` for a field that is always null.
 
-    def value(i: int, name: str) -> int:
-        if definition[i] == "{":
+    Arrays are JSON text; leaves of arrays that hold child records have no place in a definition and stay in ``other_fields``.
+    """
+    out: dict[str, str] = {}
+    decode = json.JSONDecoder().raw_decode
+    i = next((k for k in range(len(definition)) if definition[k] in "{["), -1)
+    if i < 0:
+        kinds = [k for k in LEAF_TYPES if definition.endswith(k)]
+        return {"value": LEAF_TYPES[kinds[0]]} if kinds else {}
+    names: list[str] = []
+    name = ""
+    while i < len(definition):
+        c = definition[i]
+        if c == "{":
+            names.append(name)
+            i += 1
+        elif c == "}":
+            name = names.pop()
             i += 1
-            while definition[i] != "}":
-                key, end = json.JSONDecoder().raw_decode(definition, i)
-                i = value(end + 1, f"{name}.{key}" if name else key)
-                i += definition[i] == ","
-            return i + 1
-        if definition[i] in "[<":
+        elif c == ",":
+            i += 1
+        elif c == '"':
+            key, end = decode(definition, i)
+            name = f"{names[-1]}.{key}" if names[-1] else key
+            i = end + 1
+        elif c == "[":
             depth, start = 0, i
             while True:
-                c = definition[i]
-                if c == '"':
-                    _, i = json.JSONDecoder().raw_decode(definition, i)
+                if definition[i] == '"':
+                    _, i = decode(definition, i)
                     continue
-                depth += (c in "[<{") - (c in "]>}")
+                depth += (definition[i] == "[") - (definition[i] == "]")
                 i += 1
                 if not depth:
                     break
-            if definition[start] == "[":
+            if "<" not in definition[start:i]:
                 out[name or "value"] = "string"
-            return i
-        end = next((k for k in range(i, len(definition)) if definition[k] in ",}"), len(definition))
-        out[name or "value"] = LEAF_TYPES[definition[i:end]]
-        return end
-
-    if at < len(definition):
-        value(at, "")
+        elif c == "<":
+            i = definition.index(">", i) + 1
+        else:
+            end = next((k for k in range(i, len(definition)) if definition[k] in ",}"), len(definition))
+            out[name or "value"] = LEAF_TYPES[definition[i:end]]
+            i = end
     return out
 
 
-def write_subtypes(records: DataFrame, keys: list[str], folder: str) -> None:
-    """Routes every record to its subtype's table: Parquet below ``folder``, by kind and structural variant, with the supertype's
-    keys and parent link. One pass, no shuffle; ``subtype`` gives the fields their types when a table is read."""
-    columns = [*keys, "record_path", "parent_path", "ordinal", "depth", "carrier", "fields"]
-    records.select("kind", "variant", *columns).write.partitionBy("kind", "variant").parquet(folder)
+def _one_type(types: set[str]) -> str:
+    """The type that holds all of a field's types: numbers of both sorts are decimals, other mixtures text."""
+    types = types - {"void"}
+    return next(iter(types)) if len(types) == 1 else "decimal(38,19)" if types == {"decimal(38,0)", "decimal(38,19)"} else "string"
+
+
+class Routed:
+    """The subtypes' tables below a folder, as ``route`` writes them."""
+
+    def __init__(self, spark: SparkSession, folder: str, keys: list[str], schema: T.StructType) -> None:
+        self.records, self.keys = spark.read.schema(schema).parquet(f"{folder}/records"), keys
+
+    def supertype(self) -> DataFrame:
+        """What all records have: the keys of their row, the numbers and paths of record and parent, kind and variant."""
+        return self.records.select(*[F.col(f"`{k}`") for k in self.keys], *[c for c, _ in _FIELDS if c not in ("definition", "fields")])
+
+    def definitions(self) -> DataFrame:
+        """The table of definitions: (kind, variant, definition, records)."""
+        return variants(self.records)
+
+    def fields(self, kind: str, variant: str | None = None) -> dict[str, str]:
+        """The typed fields of a kind, or one of its variants, by name. As wide as the kind's schema, whatever the rows."""
+
+        def taken_apart(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield pd.DataFrame([(f, t) for d in pdf["definition"] for f, t in variant_fields(d).items()], columns=["field", "type"])
+
+        own = self.records.where((F.col("kind") == kind) & F.col("definition").isNotNull() & (F.lit(True) if variant is None else F.col("variant") == variant)).select("definition").distinct()
+        rows = own.mapInPandas(taken_apart, "field string, type string").distinct().collect()
+        types: dict[str, set[str]] = {}
+        for r in rows:
+            types.setdefault(r["field"], set()).add(r["type"])
+        return {f: _one_type(types[f]) for f in sorted(types)}
+
+    def subtype(self, kind: str, variant: str | None = None, wanted: list[str] | None = None) -> DataFrame:
+        """The typed table of a kind or of one structural variant, with the types that the definitions give; only its own
+        folder is read, and of that the row groups that hold the variant. wanted: these fields only, null where no definition has them."""
+        known = self.fields(kind, variant)
+        return subtype(self.records, kind, known if wanted is None else {f: known.get(f, "string") for f in wanted}, self.keys, variant)
 
 
-def read_subtype(spark, folder: str, kind: str, variant: str, definition: str, keys: list[str]) -> DataFrame:
-    """One variant's table with the types its definition gives; only its own folder is read."""
-    return subtype(spark.read.parquet(folder).where((F.col("kind") == kind) & (F.col("variant") == variant)), kind, variant_fields(definition) or {"value": "string"}, keys)
+def route(records: DataFrame, keys: list[str], folder: str) -> Routed:
+    """Routes every record to its subtype's table: Parquet below ``folder``, a folder for each kind, the records of a structural
+    variant side by side in each file, with the supertype's keys and parent links. One pass, no shuffle; a task writes one
+    file a kind, however many variants there are."""
+    named = records.select(*[F.col(f"`{k}`") for k in keys], *[c for c, _ in _FIELDS])
+    named.sortWithinPartitions("kind", "variant").write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/records")
+    return Routed(records.sparkSession, folder, keys, named.schema)

@@ -88,18 +88,19 @@ _NAMES = "('lines', 'modifiers', 'components', 'tenders', 'breaks', 'hops')"
 _MEMBER = "json_extract(w.node, '$.\"' || k || '\"')"
 _HELD = f"""case when json_type({_MEMBER}) = 'ARRAY' then {_MEMBER}
   when json_type({_MEMBER}) = 'VARCHAR' and json_extract_string({_MEMBER}, '$') like '[%' then cast(json_extract_string({_MEMBER}, '$') as json) else json_array({_MEMBER}) end"""
+_FORM = f"case when json_type({_MEMBER}) = 'ARRAY' then 'list' when json_type({_MEMBER}) = 'VARCHAR' and json_extract_string({_MEMBER}, '$') like '[%' then 'text' else 'lone' end"
 _WALK = f"""
 recursive walk as (
-  select landed_no, 'payload' as root, 'payload' as path, cast(payload_json as json) as node, cast(null as varchar) as kind, 0 as ordinal, cast(null as varchar) as parent, 'payload' as owner from feed_landing
+  select landed_no, 'payload' as root, 'payload' as path, cast(payload_json as json) as node, cast(null as varchar) as kind, 0 as ordinal, cast(null as varchar) as parent, 'payload' as owner, 'root' as carrier from feed_landing
   union all
-  select landed_no, 'envelope', 'envelope', json_merge_patch(cast(envelope_json as json), '{{"data": null, "data_base64": null}}'), null, 0, null, 'envelope' from feed_landing
+  select landed_no, 'envelope', 'envelope', json_merge_patch(cast(envelope_json as json), '{{"data": null, "data_base64": null}}'), null, 0, null, 'envelope', 'root' from feed_landing
   union all
-  select landed_no, root, e.path, e.node, e.kind, e.ordinal, e.parent, case when e.kind is null then owner else e.path end from (
+  select landed_no, root, e.path, e.node, e.kind, e.ordinal, e.parent, case when e.kind is null then owner else e.path end, e.carrier from (
     select w.landed_no, w.root, w.owner, unnest(case json_type(w.node)
       when 'OBJECT' then flatten(list_transform(json_keys(w.node), lambda k: case
-        when k in {_NAMES} then list_transform(range(cast(json_array_length({_HELD}) as bigint)), lambda i: struct_pack(path := w.path || '.' || k || '[' || i || ']', node := json_extract({_HELD}, '$[' || i || ']'), kind := k, ordinal := i, parent := w.owner))
-        else [struct_pack(path := w.path || '.' || k, node := {_MEMBER}, kind := cast(null as varchar), ordinal := 0::bigint, parent := w.owner)] end))
-      when 'ARRAY' then list_transform(range(cast(json_array_length(w.node) as bigint)), lambda i: struct_pack(path := w.path || '[' || i || ']', node := json_extract(w.node, '$[' || i || ']'), kind := cast(null as varchar), ordinal := 0::bigint, parent := w.owner))
+        when k in {_NAMES} then list_transform(range(cast(json_array_length({_HELD}) as bigint)), lambda i: struct_pack(path := w.path || '.' || k || '[' || i || ']', node := json_extract({_HELD}, '$[' || i || ']'), kind := k, ordinal := i, parent := w.owner, carrier := {_FORM}))
+        else [struct_pack(path := w.path || '.' || k, node := {_MEMBER}, kind := cast(null as varchar), ordinal := 0::bigint, parent := w.owner, carrier := ''::varchar)] end))
+      when 'ARRAY' then list_transform(range(cast(json_array_length(w.node) as bigint)), lambda i: struct_pack(path := w.path || '[' || i || ']', node := json_extract(w.node, '$[' || i || ']'), kind := cast(null as varchar), ordinal := 0::bigint, parent := w.owner, carrier := ''::varchar))
       end) as e from walk w where json_type(w.node) in ('OBJECT', 'ARRAY')) where json_type(e.node) <> 'NULL'
 )
 """
@@ -107,6 +108,14 @@ recursive walk as (
 SQL = {
     "p1_found": f"with {_WALK} select landed_no, path as child_path from walk where kind is not null",
     "p1_hops": f"""with {_WALK} select landed_no, path as record_path, parent as parent_path, cast(ordinal as int) as ordinal, 1 as depth, node ->> '$.relay' as relay, try_cast(node ->> '$.lag' as bigint) as lag from walk where kind = 'hops'""",
+    "p1_kinds": f"""with {_WALK}, paths as (select landed_no, root, path, kind, parent, carrier from walk where kind is not null),
+      deep as (select landed_no, root, path, 1 as depth from paths where parent = root union all select p.landed_no, p.root, p.path, d.depth + 1 from paths p join deep d on p.landed_no = d.landed_no and p.root = d.root and p.parent = d.path)
+      select p.root, kind, carrier, cast(depth as int) as depth, count(*) as records from paths p join deep d using (landed_no, root, path) group by all
+      union all select 'payload', 'payload', 'root', 0, count(*) from feed_landing where payload_json <> '' having count(*) > 0 union all select 'envelope', 'envelope', 'root', 0, count(*) from feed_landing where envelope_json <> '' having count(*) > 0""",
+    "p1_lines": f"""with {_WALK}, deep as (select landed_no, path, 1 as depth from walk where kind is not null and parent in ('payload', 'envelope') union all
+      select w.landed_no, w.path, d.depth + 1 from walk w join deep d on w.landed_no = d.landed_no and w.parent = d.path where w.kind is not null)
+      select w.landed_no, w.path as record_path, parent as parent_path, cast(ordinal as int) as ordinal, cast(depth as int) as depth, case when json_type(node) = 'OBJECT' then node ->> '$.sku' end as sku,
+      case when json_type(node) = 'OBJECT' then try_cast(node ->> '$.qty' as bigint) end as qty, case when json_type(node) = 'OBJECT' then try_cast(node ->> '$.price' as double) end as price from walk w join deep d using (landed_no, path) where kind = 'lines'""",
     "p2_instants": f"with {_TIMES} select table_name, row_no, micros from instants where micros is not null",
     "p2_found": f"with {_TIMES} select table_name, row_no from instants where micros is null",
     "p3_found": """

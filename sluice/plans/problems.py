@@ -12,39 +12,46 @@ from pyspark.sql import functions as F
 from sluice.functions.instants import normalise, utc_instant
 from sluice.operators import compaction, drift, lateness, quotient, shredding
 from sluice.plans import oracles
-from sluice.session import shared_dir, table
+from sluice.session import fresh, table
 
 DOCUMENTS = {"payload": "payload_json", "envelope": "envelope_json"}
 WITHOUT = {"envelope": ("data", "data_base64")}
-LINE = {"sku": "string", "qty": "bigint", "price": "decimal(38,19)"}
 
 
 # --- 1 nested records ------------------------------------------------------------------------------------------------
 
 
-def records(spark: SparkSession, d: str, roots: bool = True, fields: bool = True) -> DataFrame:
-    """The supertype table of all records in feed_landing."""
-    return shredding.shred(table(spark, d, "feed_landing"), ["landed_no"], DOCUMENTS, without=WITHOUT, roots=roots, fields=fields)
+def routed(spark: SparkSession, d: str) -> shredding.Routed:
+    """All records of feed_landing, each routed to its subtype's table."""
+    records = shredding.shred(table(spark, d, "feed_landing"), ["landed_no"], DOCUMENTS, without=WITHOUT)
+    return shredding.route(records, ["landed_no"], fresh(spark, "p1"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    """One row for each child record."""
-    return records(spark, d, roots=False, fields=False).select("landed_no", F.col("record_path").alias("child_path"))
+    """One row for each child record, of all subtypes' tables."""
+    return routed(spark, d).supertype().where(F.col("parent_no").isNotNull()).select("landed_no", F.col("record_path").alias("child_path"))
 
 
 def p1_variants(spark: SparkSession, d: str) -> DataFrame:
-    """How many records have each structural variant."""
-    return shredding.variants(records(spark, d, fields=False))
+    """The table of definitions: each structural variant and how many records have it."""
+    return routed(spark, d).definitions()
+
+
+def p1_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """How many records each kind has, by the form in which their member holds them and by depth."""
+    return routed(spark, d).supertype().groupBy("root", "kind", "carrier", "depth").agg(F.count(F.lit(1)).alias("records"))
 
 
 def p1_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The typed table of order lines, of all variants."""
-    return shredding.subtype(records(spark, d), "lines", LINE, ["landed_no"]).withColumn("price", F.col("price").cast("string")).drop("variant", "other_fields")
+    """The typed table of order lines, of all variants, with types from their definitions."""
+    lines = routed(spark, d).subtype("lines", wanted=["sku", "qty", "price"])
+    return lines.select("landed_no", "record_path", "parent_path", "ordinal", "depth", "sku", F.col("qty").cast("bigint").alias("qty"), F.col("price").cast("double").alias("price"))
 
 
 def p1_hops(spark: SparkSession, d: str) -> DataFrame:
-    """The typed table of routing hops."""
-    return shredding.subtype(records(spark, d), "hops", {"relay": "string", "lag": "bigint"}, ["landed_no"]).drop("variant", "other_fields")
+    """The typed table of routing hops, with types from their definitions."""
+    hops = routed(spark, d).subtype("hops", wanted=["relay", "lag"])
+    return hops.select("landed_no", "record_path", "parent_path", "ordinal", "depth", "relay", F.col("lag").cast("bigint").alias("lag"))
 
 
 # --- 2 times ---------------------------------------------------------------------------------------------------------
@@ -99,7 +106,7 @@ def p3_plan(spark: SparkSession, d: str) -> DataFrame:
 def p3_joined(spark: SparkSession, d: str) -> DataFrame:
     """The feed's small committed files, written as line files with their landed rows, joined byte by byte and read back:
     landed_no and a checksum of each record that the joined files hold."""
-    base = f"{shared_dir(spark)}/p3-{os.urandom(8).hex()}"
+    base = fresh(spark, "p3")
     place = base.removeprefix("file://")  # other addresses are used as they are
     p = compaction_plan(spark, d).where(F.col("first_landed_no").isNotNull())
     rows = table(spark, d, "feed_landing").select("landed_no", F.to_json(F.struct("landed_no", "payload_json")).alias("line"))
@@ -187,4 +194,4 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL = oracles.SQL
-QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p5_found, p5_changes, p5_totals, p6_found, p6_once)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p5_found, p5_changes, p5_totals, p6_found, p6_once)}

@@ -93,23 +93,55 @@ def test_nulls_empty_broken_deep_and_clashing(spark):
     rows = [tuple(r)[:4] for r in out.collect()]
     assert sum(1 for r in rows if r[0] == 5) == 201
     assert [r[3] for r in rows if r[0] == 3] == ["payload!"] and sum(1 for r in rows if r[0] == 6) == 2
-    assert [r[3] for r in rows if r[0] == 7] == ["payload!"] and sum(1 for r in rows if r[0] == 8) == 2
+    assert [r[3] for r in rows if r[0] == 7] == ["payload"] and sum(1 for r in rows if r[0] == 8) == 2
     assert not [r for r in rows if r[0] in (1, 2)]
     assert shred(df.limit(0), ["kind"], {"payload": "variant"}).count() == 0
 
 
+def test_depth_loses_nothing(spark):
+    far = '{"a":' * 5000 + '{"lines":[{"sku":"x"},2]}' + "}" * 5000
+    text = json.dumps('[{"b":' + "[" * 4000 + "]" * 4000 + '}, {"sku":"y"}]')
+    data = [(1, far), (2, f'{{"breaks":[1],"lines":{text},"hops":{{"r":1}}}}'), (3, '{"lines":"[{","hops":"[1"}')]
+    out = shred(spark.createDataFrame(data, "no int, d string"), ["no"], {"payload": "d"}).collect()
+    kinds = lambda no: sorted((r["kind"], r["carrier"], r["ordinal"]) for r in out if r["no"] == no and r["ordinal"] is not None)
+    assert kinds(1) == [("lines", "list", 0), ("lines", "list", 1)]
+    assert kinds(2) == [("breaks", "list", 0), ("hops", "lone", 0), ("lines", "text", 0), ("lines", "text", 1)]
+    assert kinds(3) == [("hops", "lone", 0), ("lines", "lone", 0)]
+
+
+def test_numbers_link_where_names_are_ambiguous(spark):
+    df = spark.createDataFrame([(1, '{"a.b":{"lines":[1]},"a":{"b":{"lines":[2,{"modifiers":[3]}]}}}')], "no int, d string")
+    out = shred(df, ["no"], {"payload": "d"}).collect()
+    assert sorted(r["record_path"] for r in out if r["kind"] == "lines") == ["payload.a.b.lines[0]", "payload.a.b.lines[0]", "payload.a.b.lines[1]"]
+    by = {r["record_no"]: r for r in out}
+    assert len(by) == len(out) and by[next(r for r in out if r["kind"] == "modifiers")["parent_no"]]["record_path"] == "payload.a.b.lines[1]"
+
+
+def test_leaves_beside_child_records_in_arrays(spark):
+    df = spark.createDataFrame([(1, '{"k":[{"x":1,"lines":[5]},7,{"y":{"z":"t"}}],"m":[[1,2]]}')], "no int, d string")
+    top = next(r for r in shred(df, ["no"], {"payload": "d"}).collect() if r["kind"] == "payload")
+    assert top["fields"] == {"k[0].x": "1", "k[1]": "7", "k[2].y.z": "t", "m": "[[1,2]]"}
+
+
 def test_routing_to_typed_subtype_tables(spark, tmp_path):
     from sluice.operators import shredding as s
 
     df = spark.createDataFrame([(1, DOC), (2, '{"order":{"lines":[{"sku":"q","price":2,"o":{"a":[1,"]"],"b":true}}]}}')], "landed_no bigint, p string")
     rec = shred(df, ["landed_no"], {"payload": "p"})
-    s.write_subtypes(rec, ["landed_no"], str(tmp_path / "t"))
+    tables = s.route(rec, ["landed_no"], str(tmp_path / "t"))
     seen = 0
-    for v in variants(rec).collect():
-        rows = s.read_subtype(spark, str(tmp_path / "t"), v["kind"], v["variant"], v["definition"], ["landed_no"])
-        assert rows.count() == v["records"]
+    for v in tables.definitions().collect():
+        rows = tables.subtype(v["kind"], v["variant"])
+        assert rows.count() == v["records"] and v["definition"].startswith(v["kind"])
         assert not [r for r in rows.collect() if r["other_fields"] and v["kind"] != "lines"]
         seen += v["records"]
-    assert seen == rec.count()
+    assert seen == rec.count() == tables.supertype().count()
+    assert tables.fields("lines") == {"o.a": "string", "o.b": "boolean", "price": "decimal(38,19)", "sku": "string"}
+    lines = {(r["landed_no"], r["record_path"]): r for r in tables.subtype("lines").collect()}
+    assert str(lines[2, "payload.order.lines[0]"]["price"]).startswith("2.0") and lines[2, "payload.order.lines[0]"]["o.a"] == '[1,"]"]'
+    assert tables.subtype("absent").count() == 0 and set(tables.subtype("lines", wanted=["sku", "nothing"]).columns) >= {"sku", "nothing"}
     d = next(v["definition"] for v in variants(rec).collect() if '"o"' in v["definition"])
     assert s.variant_fields(d) == {"sku": "string", "price": "decimal(38,0)", "o.a": "string", "o.b": "boolean"}
+    assert s.variant_fields("linesint") == {"value": "decimal(38,0)"} and s.variant_fields("lines[int|string]") == {"value": "string"}
+    empty = s.route(shred(df.limit(0), ["landed_no"], {"payload": "p"}), ["landed_no"], str(tmp_path / "e"))
+    assert empty.supertype().count() == 0 and empty.fields("lines") == {}
