@@ -64,24 +64,23 @@ def feed_times(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return normalise(rows, "event_time", F.col("__tz"), F.col("__mf"), "event").drop("__tz", "__mf")
 
 
-def listing_times(spark: SparkSession, d: str) -> DataFrame:
-    """object_listing's ``_s3_last_modified`` as instants."""
-    return normalise(table(spark, d, "object_listing").select("listing_no", "_s3_last_modified", "host_time_zone"), "_s3_last_modified", F.col("host_time_zone"), None, "modified")
+def all_times(spark: SparkSession, d: str) -> DataFrame:
+    """The times of feed_landing and object_listing as instants, in one plan: (table_name, row_no, t_instant, t_nanos, t_status)."""
+    sources = table(spark, d, "feed_sources").select("event_source", F.col("time_zone").alias("zone"), (F.col("locale_tag") == "en-US").alias("month_first"))
+    feed = table(spark, d, "feed_landing").select("landed_no", "event_source", "event_time").join(sources, "event_source", "left")
+    feed = feed.select(F.lit("feed_landing").alias("table_name"), F.col("landed_no").alias("row_no"), F.col("event_time").alias("value"), "zone", "month_first")
+    listing = table(spark, d, "object_listing").select(F.lit("object_listing").alias("table_name"), F.col("listing_no").alias("row_no"), F.col("_s3_last_modified").alias("value"), F.col("host_time_zone").alias("zone"), F.lit(None).cast("boolean").alias("month_first"))
+    return normalise(feed.unionByName(listing), "value", F.col("zone"), F.col("month_first")).drop("value", "zone", "month_first")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Each non-null value that doesn't denote exactly one instant."""
-    bad = lambda c: ~F.col(c).isin("ok", "null")
-    feed = feed_times(spark, d).where(bad("event_status")).select(F.lit("feed_landing").alias("table_name"), F.col("landed_no").alias("row_no"))
-    listing = listing_times(spark, d).where(bad("modified_status")).select(F.lit("object_listing").alias("table_name"), F.col("listing_no").alias("row_no"))
-    return feed.unionByName(listing)
+    return all_times(spark, d).where(~F.col("t_status").isin("ok", "null")).select("table_name", "row_no")
 
 
 def p2_instants(spark: SparkSession, d: str) -> DataFrame:
     """The instant of every readable value, in microseconds since 1970."""
-    feed = feed_times(spark, d).where(F.col("event_status") == "ok").select(F.lit("feed_landing").alias("table_name"), F.col("landed_no").alias("row_no"), F.unix_micros("event_instant").alias("micros"))
-    listing = listing_times(spark, d).where(F.col("modified_status") == "ok").select(F.lit("object_listing").alias("table_name"), F.col("listing_no").alias("row_no"), F.unix_micros("modified_instant").alias("micros"))
-    return feed.unionByName(listing)
+    return all_times(spark, d).where(F.col("t_status") == "ok").select("table_name", "row_no", F.unix_micros("t_instant").alias("micros"))
 
 
 # --- 3 small files ---------------------------------------------------------------------------------------------------

@@ -42,6 +42,20 @@ CASES = [
     ("1759268760882", None, None, "ok", 1759268760882_000),
     ("1759178013023953", None, None, "ok", 1759178013023953),
     ("1759178013023953123", None, None, "ok", 1759178013023953),
+    ("20250102030405", "UTC", None, "ok", us(2025, 1, 2, 3, 4, 5)),
+    ("20250102 030405", "Europe/Berlin", None, "ok", us(2025, 1, 2, 2, 4, 5)),
+    ("20251302030405", "UTC", None, "invalid", None),
+    ("02 Jan 2025 3:04 PM", "UTC", None, "ok", us(2025, 1, 2, 15, 4)),
+    ("2nd January 2025 3:04 p.m. EST", None, None, "ok", us(2025, 1, 2, 20, 4)),
+    ("Jan 2, 2025 3:04 PM", "UTC", None, "ok", us(2025, 1, 2, 15, 4)),
+    ("Thursday, January 2nd, 2025 at 12:04 AM", "UTC", None, "ok", us(2025, 1, 2, 0, 4)),
+    ("Thu Jan  2 03:04:05 UTC 2025", None, None, "ok", us(2025, 1, 2, 3, 4, 5)),
+    ("Thu Jan  2 03:04:05 2025", None, None, "no_zone", None),
+    ("2 Okt 2025 08:00", "UTC", None, "ok", us(2025, 10, 2, 8)), ("2. März 2025 08:00", "UTC", None, "ok", us(2025, 3, 2, 8)), ("14 juin 2025 08:00", "UTC", None, "ok", us(2025, 6, 14, 8)),
+    ("14 juil. 2025 08:00", "UTC", None, "ok", us(2025, 7, 14, 8)), ("1 AOÛT 2025 08:00", "UTC", None, "ok", us(2025, 8, 1, 8)), ("3 de enero de 2025 08:00", "UTC", None, "ok", us(2025, 1, 3, 8)),
+    ("2 Foo 2025 08:00", "UTC", None, "invalid", None), ("2025-01-02 13:04 PM", "UTC", None, "invalid", None), ("2025-01-02 03:04 PM", "UTC", None, "ok", us(2025, 1, 2, 15, 4)),
+    ("17591060411", "UTC", None, "unreadable", None),
+    ("0001-01-01T00:00:00Z", None, None, "ok", us(1, 1, 1)), ("9999-12-31T23:59:59Z", None, None, "ok", us(9999, 12, 31, 23, 59, 59)),
     ("2026-13-02T07:00:00+01:00", None, None, "invalid", None),
     ("2025-02-29 07:00:00", "UTC", None, "invalid", None),
     ("2024-02-29 07:00:00", "UTC", None, "ok", us(2024, 2, 29, 7)),
@@ -99,3 +113,9 @@ def test_clashing_names_empty_and_repeats(spark):
     assert out.columns == ["v", "__v", "c0", "t_instant", "t_nanos", "t_status"]
     assert [r["t_status"] for r in out.collect()] == ["ok", "ok"]
     assert normalise(df.limit(0), "v").count() == 0
+
+
+def test_the_zone_table_costs_no_shuffle(spark):
+    df = spark.range(100).select(F.lit("2025-01-02 03:04").alias("v"), F.lit("UTC").alias("z"))
+    plan = normalise(df, "v", F.col("z"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
