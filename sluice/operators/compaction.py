@@ -61,22 +61,29 @@ def committed_files(manifests: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def plan(committed: DataFrame, small: int = SMALL, target: int = TARGET, block: int = 4096) -> DataFrame:
-    """Small files with the file each goes into: ``output_no`` within (source_system, table_name), ``output_offset`` there.
+    """Small files with the file each goes into: ``output_no`` within (source_system, table_name), and ``position``, the bytes of the
+    table's small files before it, by which the files of an output are ordered.
 
-    Running sizes in order of address decide, in two levels: inside blocks of about ``block`` files and over the blocks' totals,
-    so the largest table is spread over as many tasks as it has blocks. A file at or above ``small`` stays as it is.
+    Running sizes decide, by day and inside a day by a hash of the address, in two levels: inside blocks of about ``block``
+    files and over the blocks' totals. A day is cut into as many blocks as its files need, so however many files a table or a day
+    has, no task sorts more than a block or the list of blocks. A file at or above ``small`` stays as it is.
     """
-    f = committed.where(F.col("size_bytes") < small)
     group = ["source_system", "table_name"]
-    # A block is a day, split by leading digits of the run's id, so blocks follow the order of the address.
-    f = f.withColumn("__block", F.concat_ws("/", "day", F.substring("run_id", 1, 1)))
-    total = f.groupBy(*group, "__block").agg(F.sum("size_bytes").alias("__bytes"))
-    before = F.coalesce(F.sum("__bytes").over(Window.partitionBy(*group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    start = total.select(*group, "__block", before.alias("__start"))
-    inside = F.sum("size_bytes").over(Window.partitionBy(*group, "__block").orderBy("file_uri")) - F.col("size_bytes")
+    f = committed.where(F.col("size_bytes") < small)
+    days = f.groupBy(*group, "day").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("bigint").alias("__blocks"))
+    f = _attach(f, days, [*group, "day"]).withColumn("__block", F.pmod(F.xxhash64("file_uri"), F.col("__blocks")))
+    unit = [*group, "day", "__block"]
+    total = f.groupBy(*unit).agg(F.sum("size_bytes").alias("__bytes"))
+    before = F.coalesce(F.sum("__bytes").over(Window.partitionBy(*group).orderBy("day", "__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = f.withColumn("__inside", F.sum("size_bytes").over(Window.partitionBy(*unit).orderBy("file_uri")) - F.col("size_bytes"))
     at = F.col("__start") + F.col("__inside")
-    return (f.withColumn("__inside", inside).join(start, [*group, "__block"]).select(*committed.columns, F.floor(at / F.lit(target)).alias("output_no"), at.alias("__at"))
-            .withColumn("output_offset", F.col("__at") - F.min("__at").over(Window.partitionBy(*group, "output_no"))).drop("__at"))
+    return _attach(inside, total.select(*unit, before.alias("__start")), unit).select(*committed.columns, F.floor(at / F.lit(target)).alias("output_no"), at.alias("position"))
+
+
+def _attach(df: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join in which null keys match; ``facts`` has one row a key."""
+    right = facts.select(*[F.col(k).alias(f"__r_{i}") for i, k in enumerate(keys)], *[c for c in facts.columns if c not in keys])
+    return df.join(right, [F.col(k).eqNullSafe(F.col(f"__r_{i}")) for i, k in enumerate(keys)]).drop(*[f"__r_{i}" for i in range(len(keys))])
 
 
 # --- joining ---------------------------------------------------------------------------------------------------------
@@ -176,41 +183,49 @@ def replace_file(path: str, pieces: Iterator[bytes]) -> tuple[int, str]:
     return length, sent.hexdigest()
 
 
+_REPORT = "path string, input string, start bigint, bytes bigint, lines bigint, sha256 string, output_bytes bigint, output_sha256 string"
+
+
 def _join_group(kind: str, header: bool, out_dir: str):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("path")
-        sizes = lines = 0
+        pdf = pdf.sort_values(["position", "path"])
+        final = f"{out_dir.rstrip('/')}/{pdf['output'].iloc[0]}"
+        rows: list[list] = []
+        length = 0
 
         def read() -> Iterator[bytes]:
-            nonlocal sizes
             for path, size in zip(pdf["path"], pdf["size_bytes"]):
                 fs, at = file_system(path)
                 with fs.open_input_stream(at, compression=None) as f:
                     data = f.read()
                 if len(data) != size:
                     raise ValueError(f"{path}: {len(data)} bytes instead of {size}")
-                sizes += size
+                rows.append([final, path, length, size, 0 if kind == "ndjson" else None, hashlib.sha256(data).hexdigest()])
                 yield data
 
         def counted() -> Iterator[bytes]:
-            nonlocal lines
+            nonlocal length
             for piece in join_bytes(read(), kind, header):
-                lines += piece.count(b"\n")
+                length += len(piece)
+                if kind == "ndjson":
+                    rows[-1][4] = piece.count(b"\n")
                 yield piece
 
-        final = f"{out_dir.rstrip('/')}/{pdf['output'].iloc[0]}"
-        length, digest = replace_file(final, counted())
-        return pd.DataFrame([[final, len(pdf), sizes, length, lines if kind == "ndjson" else None, digest]], columns=["path", "inputs", "bytes_in", "bytes_out", "lines", "sha256"])
+        done = replace_file(final, counted())
+        return pd.DataFrame([[*r, *done] for r in rows], columns=[c.split()[0] for c in _REPORT.split(", ")])
 
     return run
 
 
 def join_files(planned: DataFrame, out_dir: str, kind: str = "ndjson", header: bool = False) -> DataFrame:
-    """Writes each ``output`` of ``planned`` (output string, path string, size_bytes bigint) into ``out_dir``, a folder all
-    executors reach (mounted or by address), and reports (path, inputs, bytes_in, bytes_out, lines, sha256).
+    """Writes each ``output`` of ``planned`` (output string, path string, size_bytes bigint, and position bigint to order by, if there is
+    one) into ``out_dir``, a folder all executors reach (mounted or by address). Reports each input that went in: (path, input,
+    start in the output, bytes and lines of it, sha256 of the input, output_bytes, output_sha256).
 
-    A group is bounded by the plan's target size, so it fits a task. A file of another length than planned, cut-off frames or
-    differing headers stop the job before anything is replaced; inputs are never changed. Nothing planned, nothing written.
+    A group is bounded by the plan's target size, and a task holds one input of it at a time. A file of another length than
+    planned, cut-off frames or differing headers stop the job before anything is replaced; inputs are never changed. Nothing
+    planned, nothing written.
     """
-    rows = planned.select("output", "path", F.col("size_bytes").cast("bigint").alias("size_bytes"))
-    return rows.groupBy("output").applyInPandas(_join_group(kind, header, out_dir), "path string, inputs bigint, bytes_in bigint, bytes_out bigint, lines bigint, sha256 string")
+    position = F.col("position") if "position" in planned.columns else F.lit(0)
+    rows = planned.select("output", "path", F.col("size_bytes").cast("bigint").alias("size_bytes"), position.cast("bigint").alias("position"))
+    return rows.groupBy("output").applyInPandas(_join_group(kind, header, out_dir), _REPORT)

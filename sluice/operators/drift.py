@@ -1,8 +1,9 @@
 """Schemas that drift: one consistent table per source, each change reported, nothing lost.
 
-``changes`` compares each run's schema with the run before it. ``ingest`` enforces a target schema and keeps unknown and
-uncastable fields in a rescue column as JSON; ``promote`` adds approved fields to the target; ``replay`` moves rescued values
-that the target now takes into its typed columns.
+``ingest`` enforces a target schema and keeps unknown and uncastable fields in a rescue column as JSON; ``promote`` adds approved
+fields to the target; ``replay`` moves rescued values that the target now takes into its typed columns. Over many runs of many
+sources, ``enforce`` gives each run the target it meets, which is what was promoted from the run before it; ``changes`` reports
+how the two differ, and ``ingest_runs`` ingests their rows under that target and replays them under the last.
 """
 
 from __future__ import annotations
@@ -46,109 +47,185 @@ def run_schemas(manifests: DataFrame) -> DataFrame:
     return once.select("source_system", "source_key", "run_id", "at", F.map_from_entries(F.transform(first, lambda e: F.struct(e["key"], catalog_type(e["value"])))).alias("columns"))
 
 
-def changes(runs: DataFrame) -> DataFrame:
-    """Each column that is ``added``, ``removed`` or ``retyped`` in a run against the run before it of the same source:
-    (source_system, source_key, run_id, previous_run_id, at, column_name, change, old_type, new_type).
+def enforce(runs: DataFrame) -> DataFrame:
+    """Each run with the target it meets: (source_system, source_key, run_id, at, columns, previous_run_id, target), both maps of name to
+    catalog type. The target is the schema of the run before of the same source, as all changes are approved once a run is
+    done; null for a source's first run, which makes its table. Ties of time are ordered by run id.
 
-    The target that a run is held against is the schema of the run before: what the target doesn't know is added, what it misses
-    removed, what has another catalog type retyped. A rename is a removal and an addition. Ties of time are ordered by run id. The first run of a source has no changes.
     The run before is found in two levels, inside days and over one row a day, so no task sorts all runs of a large source.
     """
     src = ["source_system", "source_key"]
-    day = F.to_date("at")
     inside = Window.partitionBy(*src, "__day").orderBy("at", "run_id")
-    x = runs.withColumn("__day", day).select("*", F.lag(F.struct("run_id", "columns")).over(inside).alias("__before"))
+    x = runs.withColumn("__day", F.to_date("at")).select("*", F.lag(F.struct("run_id", "columns")).over(inside).alias("__before"))
     ends = x.groupBy(*src, "__day").agg(F.max_by(F.struct("run_id", "columns"), F.struct("at", "run_id")).alias("__end"))
     over = ends.select(*src, "__day", F.lag("__end").over(Window.partitionBy(*src).orderBy("__day")).alias("__earlier"))
     old = F.coalesce("__before", "__earlier")
-    pairs = x.join(over, [*src, "__day"]).select(*src, "run_id", "at", "columns", old.alias("__old")).where(F.col("__old").isNotNull())
-    names = F.array_union(F.map_keys("columns"), F.map_keys("__old.columns"))
-    each = pairs.select(*src, "run_id", F.col("__old.run_id").alias("previous_run_id"), "at", F.explode(F.transform(names, lambda k: F.struct(k.alias("column_name"), F.col("__old.columns")[k].alias("old_type"), F.col("columns")[k].alias("new_type")))).alias("c"))
+    return x.join(over, [*src, "__day"]).select(*src, "run_id", "at", "columns", old["run_id"].alias("previous_run_id"), old["columns"].alias("target"))
+
+
+def changes(enforced: DataFrame) -> DataFrame:
+    """Each column that is ``added``, ``removed`` or ``retyped`` in a run against the target it meets:
+    (source_system, source_key, run_id, previous_run_id, at, column_name, change, old_type, new_type).
+
+    What the target doesn't know (whose values go to the rescue column) is added, what it misses removed, what has another catalog type retyped. A
+    rename is a removal and an addition. The first run of a source has no changes.
+    """
+    met = enforced.where(F.col("target").isNotNull())
+    names = F.array_union(F.map_keys("columns"), F.map_keys("target"))
+    each = met.select("*", F.explode(F.transform(names, lambda k: F.struct(k.alias("column_name"), F.col("target")[k].alias("old_type"), F.col("columns")[k].alias("new_type")))).alias("c"))
     kind = F.when(F.col("c.old_type").isNull(), "added").when(F.col("c.new_type").isNull(), "removed").otherwise("retyped")
-    return each.where(~F.col("c.old_type").eqNullSafe(F.col("c.new_type"))).select(*src, "run_id", "previous_run_id", "at", "c.column_name", kind.alias("change"), "c.old_type", "c.new_type")
+    return each.where(~F.col("c.old_type").eqNullSafe(F.col("c.new_type"))).select("source_system", "source_key", "run_id", "previous_run_id", "at", "c.column_name", kind.alias("change"), "c.old_type", "c.new_type")
 
 
-def _as(value: Column, kind: str) -> Column:
-    """A JSON value's text as a catalog type; null where it isn't exactly one."""
-    if kind == "string":
-        return value
-    got = F.trim(value).try_cast(kind)
-    if kind.startswith("decimal"):  # a cast would round digits away
-        exact = F.trim(value).try_cast(T.DecimalType(38, 18))
-        return F.when(exact.isNull() | (got.cast(T.DecimalType(38, 18)) == exact), got)
-    if kind in ("bigint", "int", "smallint", "tinyint"):
-        return F.when(F.trim(value).rlike(r"^[+-]?\d+$"), got)
-    return got
+# --- values ----------------------------------------------------------------------------------------------------------
 
+_NUMBER = r"^([+-]?)(\d+)(?:\.(\d*))?(?:[eE]([+-]?\d{1,4}))?$"
+_CLOCK = r"\d{4}-\d\d-\d\d(?:[T ]\d\d:\d\d(?::\d\d(?:\.\d{1,6}0*)?)?)?"
+#: Numbers of which a parsed value may have lost digits.
+_LONG = r"[0-9.]{39,}|[0-9.]{17,}[eE]"
 
-def _members(json: Column) -> Column:
-    """The members of a JSON object; null where the text is no JSON object. Numbers of up to 38 digits stay exact."""
-    return F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>")
 
+def held(value: Column, kind: Column | str) -> Column:
+    """A value's text as text that a cast to the catalog type ``kind`` takes whole; null where that type can't hold exactly it.
 
-def _field(raw: str, name: str) -> Column:
+    Numbers are judged by their digits: none may be lost to a type's precision or scale. Whole numbers need whole number text, dates
+    no time of day, times no more than microseconds; zoned times don't fit timestamp_ntz. Binary numbers take any number
+    in their range.
+    """
+    kind = F.lit(kind) if isinstance(kind, str) else kind
+    v = F.trim(value)
+    part = lambda i: F.regexp_extract(v, _NUMBER, i)
+    zero, none = F.lit("0"), F.lit("")
+    digits = F.ltrim(F.concat(part(2), part(3)), zero)
+    core = F.rtrim(digits, zero)
+    exponent = F.coalesce(F.nullif(part(4), none).try_cast("int"), F.lit(0))
+    scale = F.when(core == "", 0).otherwise(F.length(part(3)) - exponent - F.length(digits) + F.length(core))  # digits behind the point, less zeros at the end
+    room = F.regexp_extract(kind, _DECIMAL, 2).try_cast("int")
+    whole = F.regexp_extract(kind, _DECIMAL, 1).try_cast("int") - room
+    fits = v.rlike(_NUMBER) & (scale <= room) & (F.length(core) - scale <= whole)
+    filled = F.lpad(F.concat(core, F.repeat(zero, room - scale)), F.greatest(room + 1, F.length(core) - scale + room), "0")
+    point = F.length(filled) - room
+    number = F.concat(F.when((part(1) == "-") & (core != ""), "-").otherwise(""), F.substring(filled, F.lit(1), point), F.when(room > 0, F.concat(F.lit("."), F.substring(filled, point + 1, room))).otherwise(""))
+    out = F.when(kind == "string", value).when(kind.rlike(_DECIMAL), F.when(fits, number))
+    for t in ("bigint", "int", "smallint", "tinyint"):
+        out = out.when(kind == t, F.when(v.rlike(r"^[+-]?\d+$"), v.try_cast(t).cast("string")))
+    for t in ("double", "float"):
+        out = out.when(kind == t, F.when(v.rlike(_NUMBER) & (F.abs(v.try_cast(t)) < F.lit("Infinity").cast(t)), v))
+    out = out.when(kind == "boolean", F.when(F.lower(v).isin("true", "false"), F.lower(v)))
+    out = out.when(kind == "date", F.when(v.rlike(r"^\d{4}-\d\d-\d\d$") & v.try_cast("date").isNotNull(), v))
+    out = out.when(kind == "timestamp", F.when(v.rlike(f"^{_CLOCK}\\s*(?:[zZ]|[+-]\\d\\d:?\\d\\d)?$") & v.try_cast("timestamp").isNotNull(), v))
+    out = out.when(kind == "timestamp_ntz", F.when(v.rlike(f"^{_CLOCK}$") & v.try_cast("timestamp_ntz").isNotNull(), v))
+    return out.when(kind == "binary", value)
+
+
+def _entries(json: Column, exact: Column) -> Column:
+    """The members of a JSON object in order of their names: array of (name, text, value variant, last); null where the text is
+    no JSON object or has a member twice. last: no later name is the same in lower case. Where not ``exact``, the text of numbers
+    that may have lost digits is null."""
+    known = F.map_entries(F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>"))
+    text = lambda v: F.when(exact | (F.schema_of_variant(v) != "DOUBLE"), v.cast("string"))
+    last = lambda e, i: ~F.exists(F.slice(known, i + 2, F.size(known)), lambda x: F.lower(x["key"]) == F.lower(e["key"]))
+    return F.transform(known, lambda e, i: F.struct(F.lower(e["key"]).alias("low"), e["key"].alias("name"), text(e["value"]).alias("text"), e["value"].alias("value"), last(e, i).alias("last")))
+
+
+def _field(entries: str, name: str) -> Column:
     """A member's text by name without letter case; of names that differ in case only, the last. A JSON null is null."""
-    return F.try_element_at(F.transform(F.filter(F.map_entries(raw), lambda e: F.lower(e["key"]) == name.lower()), lambda e: e["value"].cast("string")), F.lit(-1))
+    return F.try_element_at(F.transform(F.filter(entries, lambda e: (e["low"] == name.lower()) & e["last"]), lambda e: e["text"]), F.lit(1))
+
+
+def _lost(entries: str, target: dict[str, str]) -> Column:
+    """The members that a target doesn't take: unknown ones, those whose value its type can't hold, and all but the last of a name."""
+    taken = lambda e: F.coalesce(*[F.when(e["low"] == c.lower(), held(e["text"], t).isNotNull()) for c, t in target.items()], F.lit(False)) & e["last"]
+    return F.filter(entries, lambda e: e["text"].isNotNull() & ~taken(e))
 
 
-def _lost(raw: str, target: dict[str, str]) -> Column:
-    """The members that a target doesn't know or whose value its type can't hold."""
-    cannot = lambda k, v: F.coalesce(*[F.when(F.lower(k) == c.lower(), _as(v, t).isNull()) for c, t in target.items()], F.lit(False))
-    return F.map_filter(raw, lambda k, v: v.cast("string").isNotNull() & (~F.lower(k).isin(*[c.lower() for c in target]) | cannot(k, v.cast("string"))))
+def _json(*lists: Column) -> Column:
+    """Arrays of (name, value variant) as one JSON object; null without members. Arrays may be null."""
+    pairs = [F.coalesce(F.transform(x, lambda e: F.to_json(F.create_map(e["name"], e["value"]))), F.array().cast("array<string>")) for x in lists]
+    members = F.transform(F.concat(*pairs), lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
+    return F.when(F.size(members) > 0, F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")))
+
+
+def _record(text: Column) -> Column:
+    """A record's whole text as a member ``_record``."""
+    return F.array(F.struct(F.lit("_record").alias("name"), F.variant_get(F.parse_json(F.to_json(F.create_map(F.lit("r"), text))), "$.r", "variant").alias("value")))
+
+
+# --- ingestion -------------------------------------------------------------------------------------------------------
 
 
 def ingest(records: DataFrame, record: str, target: dict[str, str], rescue: str = "_rescued") -> DataFrame:
     """``records`` with the target's columns, typed, and ``rescue``: a JSON object of all fields that the target doesn't know
-    or whose value its type can't hold, null if there are none. The record column is dropped.
+    or whose value its type can't hold exactly, null if there are none. The record column is dropped.
 
-    Names match without letter case; of names that differ in case only, the last counts. A JSON null is a null of
-    any type. Text that is no JSON object (or has a member twice) gives nulls and is kept under ``_record``. Numbers keep up to
-    38 digits; structures in text columns are their JSON.
+    Names match without letter case; of names that differ in case only, the last in order of names counts and the others are rescued. A
+    JSON null is a null of any type. Text that is no JSON object (or has a member twice) gives nulls and is kept under ``_record``; so is
+    the text of a record with a number of more than 38 digits, beside what could be typed, so that every digit is kept.
+    Structures in text columns are their JSON. Other columns pass through; those named like the target's or the rescue column are replaced.
     """
-    keep = [c for c in records.columns if c != record and c not in target and c != rescue]
-    x = records.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{record}`").alias("__text"), _members(F.col(f"`{record}`")).alias("__raw"))
-    typed = {c: _as(_field("__raw", c), t) for c, t in target.items()}
-    lost = _lost("__raw", target)
-    broken = F.col("__raw").isNull() & F.col("__text").isNotNull()
-    return x.select(*keep, *[v.alias(c) for c, v in typed.items()], F.when(broken, F.to_json(F.create_map(F.lit("_record"), F.col("__text")))).when(F.size(lost) > 0, F.to_json(lost)).alias(rescue))
+    own = {c.lower() for c in (*target, rescue, record)}
+    keep = [c for c in records.columns if c.lower() not in own]
+    text = F.col(f"`{record}`")
+    x = records.select(*[F.col(f"`{c}`") for c in keep], text.alias("__text"), _entries(text, ~text.rlike(_LONG)).alias("__raw"))
+    typed = {c: held(_field("__raw", c), t).cast(t) for c, t in target.items()}
+    whole = F.when(F.col("__text").isNotNull() & (F.col("__raw").isNull() | F.col("__text").rlike(_LONG)), _record(F.col("__text")))
+    return x.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(c) for c, v in typed.items()], _json(_pairs(_lost("__raw", target)), whole).alias(rescue))
+
+
+def _pairs(entries: Column) -> Column:
+    return F.transform(entries, lambda e: F.struct(e["name"].alias("name"), e["value"].alias("value")))
 
 
 def promote(target: dict[str, str], approved: dict[str, str]) -> dict[str, str]:
-    """The target with approved fields added; a field that is there keeps its type unless the approval is for a wider one."""
+    """The target with approved fields added; a field that is there takes the approved type."""
     low = {c.lower(): c for c in target}
     return target | {low.get(c.lower(), c): t for c, t in approved.items()}
 
 
 def replay(ingested: DataFrame, target: dict[str, str], rescue: str = "_rescued") -> DataFrame:
-    """``ingested`` under a newer target: columns take rescued values that they can hold, which then leave the rescue column."""
-    x = ingested.withColumn("__raw", _members(F.col(rescue)))
-    have = {c.lower(): c for c in ingested.columns}
-    typed = {c: F.coalesce(F.col(f"`{have[c.lower()]}`").try_cast(t), _as(_field("__raw", c), t)) if c.lower() in have else _as(_field("__raw", c), t) for c, t in target.items()}
-    lost = _lost("__raw", target)
-    keep = [c for c in ingested.columns if c.lower() not in {t.lower() for t in target} and c != rescue]
-    return x.select(*keep, *[v.alias(c) for c, v in typed.items()], F.when(F.size(lost) > 0, F.to_json(lost)).alias(rescue))
-
-
-def rescue_long(samples: DataFrame, runs: DataFrame, record: str = "record_json", keys: tuple[str, ...] = ("run_id", "row_no")) -> DataFrame:
-    """Rescue ingestion of many source tables at once, in long form: one row for each field of each record, with the target
-    type of its source table, the typed value as canonical text, or the value as ``rescued`` JSON text.
-
-    The target of a source is the schema of its latest run in ``runs``. A field is ``typed``, ``unknown`` (the target doesn't
-    have it) or ``uncastable``. Records of runs that ``runs`` doesn't have keep every field as ``unknown``.
+    """``ingested`` under a newer target: columns take rescued values that they can hold, which then leave the rescue column. A typed value
+    that its column's new type can't hold exactly goes to the rescue column."""
+    have = {c.lower(): c for c in ingested.columns if c != rescue}
+    low = {t.lower() for t in target}
+    x = ingested.withColumn("__raw", _entries(F.col(f"`{rescue}`"), F.lit(True)))
+    typed, back = {}, []
+    for c, t in target.items():
+        new = held(_field("__raw", c), t).cast(t)
+        old = have.get(c.lower())
+        if old is None:
+            typed[c] = new
+        elif ingested.schema[old].dataType.simpleString() == t:
+            typed[c] = F.coalesce(F.col(f"`{old}`"), new)
+        else:
+            was = F.col(f"`{old}`")
+            now = held(was.cast("string"), t).cast(t)
+            typed[c] = F.coalesce(now, new)
+            back.append(F.when(was.isNotNull() & now.isNull(), F.struct(F.lit(c).alias("name"), F.variant_get(F.parse_json(F.to_json(F.struct(was.alias("r")))), "$.r", "variant").alias("value"))))
+    keep = [c for c in ingested.columns if c.lower() not in low and c != rescue]
+    gone = F.filter(F.array(*back), lambda e: e.isNotNull()) if back else F.lit(None).cast("array<struct<name:string,value:variant>>")
+    return x.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(c) for c, v in typed.items()], _json(_pairs(_lost("__raw", target)), gone).alias(rescue))
+
+
+def ingest_runs(samples: DataFrame, enforced: DataFrame, record: str = "record_json", keys: tuple[str, ...] = ("run_id", "row_no")) -> DataFrame:
+    """Rescue ingestion of many source tables at once, in long form: one row for each field of each record, as there is no one
+    schema of them all: (keys, source_system, source_key, column_name, arrival_type, catalog_type, outcome, value, rescued).
+
+    A run's rows meet the run's target from ``enforce`` (the first run its own schema), in which they find arrival_type, and are replayed under
+    the source's last schema, all changes approved, in which they find catalog_type. outcome: ``typed`` (held on arrival and still),
+    ``replayed`` (rescued on arrival, held now), ``unknown`` (the last schema doesn't have it), ``uncastable`` (its type can't hold it exactly),
+    ``repeated`` (a later name is the same in lower case). value is the typed value's canonical text; what isn't typed or replayed is in rescued
+    as JSON. A record that is no JSON object is one field ``_record``, unknown, as is one with a number of over 38 digits besides its other
+    fields. Records of runs that ``enforced`` doesn't have keep every field as unknown. JSON nulls aren't fields.
     """
     src = ["source_system", "source_key"]
-    target = runs.groupBy(*src).agg(F.max_by("columns", F.struct("at", "run_id")).alias("__target"))
-    of = runs.select("run_id", *src).join(target, src)
-    fields = samples.select(*keys, F.explode(F.transform_values(_members(F.col(record)), lambda k, v: v.cast("string"))).alias("column_name", "__v")).where(F.col("__v").isNotNull())
-    x = fields.join(of, "run_id", "left").withColumn("column_name", F.lower("column_name")).withColumn("catalog_type", F.col("__target")[F.col("column_name")])
-    v = F.col("__v")
-    simple = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp")
-    held = F.when(F.col("catalog_type") == "string", v)
-    for t in simple:
-        held = held.when(F.col("catalog_type") == t, _as(v, t).cast("string"))
-    precision, scale = F.regexp_extract("catalog_type", _DECIMAL, 1).try_cast("int"), F.regexp_extract("catalog_type", _DECIMAL, 2).try_cast("int")
-    exact = F.trim(v).try_cast(T.DecimalType(38, 9))
-    fits = (F.length(F.regexp_replace(F.regexp_extract(F.trim(v), r"\.(\d+)$", 1), "0+$", "")) <= scale) & (F.length(F.regexp_extract(F.trim(v), r"^[+-]?0*(\d*)", 1)) <= precision - scale)
-    held = held.when(F.col("catalog_type").startswith("decimal"), F.when(exact.isNotNull() & fits, exact.cast("string")))
-    kind = F.when(F.col("catalog_type").isNull(), "unknown").when(held.isNull(), "uncastable").otherwise("typed")
-    return x.select(*keys, *src, "column_name", "catalog_type", kind.alias("outcome"), held.alias("value"), F.when(held.isNull(), F.to_json(F.create_map("column_name", v))).alias("rescued"))
+    last = enforced.groupBy(*src).agg(F.max_by("columns", F.struct("at", "run_id")).alias("__last"))
+    of = enforced.select("run_id", *src, F.coalesce("target", "columns").alias("__first")).join(last, src)
+    text = F.col(f"`{record}`")
+    whole = F.when(text.isNotNull() & (_entries(text, F.lit(True)).isNull() | text.rlike(_LONG)), F.transform(_record(text), lambda e: F.struct(F.lit("_record").alias("low"), e["name"].alias("name"), text.alias("text"), e["value"].alias("value"), F.lit(True).alias("last"))))
+    none = F.array().cast("array<struct<low:string,name:string,text:string,value:variant,last:boolean>>")
+    fields = samples.select(*keys, F.inline(F.concat(F.coalesce(_entries(text, ~text.rlike(_LONG)), none), F.coalesce(whole, none)))).where(F.col("text").isNotNull())
+    x = fields.withColumnRenamed("value", "__json").join(of, "run_id", "left").select("*", F.col("low").alias("column_name"), F.try_element_at("__first", F.col("low")).alias("arrival_type"), F.try_element_at("__last", F.col("low")).alias("catalog_type"))
+    x = x.withColumn("__then", held(F.col("text"), F.col("arrival_type"))).withColumn("value", F.when(F.col("last"), held(F.col("text"), F.col("catalog_type"))))
+    kind = (F.when(~F.col("last"), "repeated").when(F.col("value").isNotNull() & F.col("__then").isNotNull(), "typed").when(F.col("value").isNotNull(), "replayed")
+            .when(F.col("catalog_type").isNull(), "unknown").otherwise("uncastable"))
+    return x.select(*keys, *src, "column_name", "arrival_type", "catalog_type", kind.alias("outcome"), "value", F.when(F.col("value").isNull(), F.to_json(F.create_map("name", "__json"))).alias("rescued"))

@@ -159,3 +159,21 @@ SQL["p4_changes"] = SQL["p4_found"].replace("pairs as (select a.source_system, a
     "select p.source_system, run_id, p.previous_run_id, name as column_name, case when old.type is null then 'added' when now.type is null then 'removed' else 'retyped' end as change, old.type as old_type, now.type as new_type"
     " from now full join old using (run_id, name) join pairs p using (run_id) where",
 )
+_EXACT = lambda t: f"""case when {t} = 'string' then v when {t} in ('bigint', 'int') then case when regexp_full_match(v, '[+-]?\\d+') then cast(case when {t} = 'int' then cast(try_cast(v as int) as bigint) else try_cast(v as bigint) end as varchar) end
+  when {t} = 'decimal(12,2)' then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d{{0,2}}0*)?') then cast(try_cast(v as decimal(12, 2)) as varchar) end when {t} = 'decimal(38,3)' then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d{{0,3}}0*)?') then cast(try_cast(v as decimal(38, 3)) as varchar) end
+  when {t} = 'double' then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d*)?') then v end when {t} = 'boolean' then case when lower(v) in ('true', 'false') then lower(v) end when {t} = 'date' then case when regexp_full_match(v, '\\d{{4}}-\\d\\d-\\d\\d') and try_cast(v as date) is not null then v end
+  when {t} = 'timestamp' then case when regexp_full_match(v, '\\d{{4}}-\\d\\d-\\d\\d([T ]\\d\\d:\\d\\d(:\\d\\d(\\.\\d{{1,6}})?)?)?') and try_cast(v as timestamp) is not null then v end end"""
+_INGESTED = SQL["p4_found"][: SQL["p4_found"].index(",\nnow as")] + f""",
+meets as (select c.source_system, c.source, c.run_id, coalesce(p.m, c.n) as first_n, max(c.n) over (partition by c.source_system, c.source) as last_n from numbered c left join pairs p on p.source_system = c.source_system and p.source = c.source and p.n = c.n),
+fields as (select run_id, row_no, k, lower(k) as column_name, json_extract_string(record_json, '$."' || k || '"') as v from (select *, unnest(json_keys(record_json)) as k from landed_samples)),
+typed_fields as (select f.run_id, row_no, m.source_system, f.column_name, v, a.type as arrival_type, z.type as catalog_type from fields f left join meets m using (run_id)
+  left join cols a on a.source_system = m.source_system and a.source = m.source and a.n = m.first_n and a.name = f.column_name left join cols z on z.source_system = m.source_system and z.source = m.source and z.n = m.last_n and z.name = f.column_name where v is not null),
+ingested as (select *, {_EXACT("arrival_type")} as was, {_EXACT("catalog_type")} as value from typed_fields),
+judged as (select *, case when value is not null and was is not null then 'typed' when value is not null then 'replayed' when catalog_type is null then 'unknown' else 'uncastable' end as outcome from ingested)
+"""
+SQL["p4_rescued"] = f"{_INGESTED} select source_system, column_name, arrival_type, catalog_type, outcome, count(*) as fields from judged group by all"
+SQL["p4_table"] = f"{_INGESTED} select run_id, row_no, column_name, catalog_type, outcome, value, value is null as is_rescued from judged"
+SQL["p3_joined"] = f"""
+with found as ({SQL["p3_found"]}), files as (select distinct l.file_uri, first_landed_no as a, last_landed_no as z from landing_files l join found using (file_uri) where first_landed_no is not null)
+select landed_no, sha256(payload_json) as checksum from feed_landing f join files on landed_no between a and z
+"""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from sluice.functions.instants import normalise, utc_instant
 from sluice.operators import compaction, drift, lateness, quotient, shredding
 from sluice.plans import oracles
-from sluice.session import fresh, table
+from sluice.session import fresh, stored, table
 
 DOCUMENTS = {"payload": "payload_json", "envelope": "envelope_json"}
 WITHOUT = {"envelope": ("data", "data_base64")}
@@ -90,9 +89,43 @@ def compaction_plan(spark: SparkSession, d: str) -> DataFrame:
     return compaction.plan(compaction.committed_files(table(spark, d, "run_manifests"), table(spark, d, "landing_files")))
 
 
+def compacted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, str]:
+    """(plan, report, folder): the compaction, carried out as far as there are bytes here.
+
+    Of the files in landing_files only the feed's have their rows at hand, in feed_landing. They are written as line files, one for
+    each small committed file, and joined byte by byte into the outputs of the plan; other tables' files are planned only.
+    The report names each input; its files, bytes and records are held against the plan's.
+    """
+    base = fresh(spark, "p3")
+    place = base.removeprefix("file://")  # other addresses are used as they are
+    p = stored(compaction_plan(spark, d), "p3-plan")
+    rows = table(spark, d, "feed_landing").select("landed_no", F.to_json(F.struct("landed_no", "payload_json")).alias("line"))
+    # Files hold ranges of landed rows: each range is opened into its numbers, which makes the match an equi-join.
+    numbers = F.when(F.col("last_landed_no") >= F.col("first_landed_no"), F.sequence("first_landed_no", "last_landed_no"))
+    held = p.select("file_uri", "source_system", "table_name", "output_no", "position", F.explode(numbers).alias("landed_no")).join(rows, "landed_no")
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        path = f"{place}/in/{hashlib.sha256(first['file_uri'].encode()).hexdigest()}"
+        data = "\n".join(pdf.sort_values("landed_no")["line"]).encode()
+        compaction.replace_file(path, iter([data]))
+        output = f"{first['source_system']}.{first['table_name']}.{first['output_no']:06d}"
+        return pd.DataFrame([[first["file_uri"], output, path, len(data), first["position"], len(pdf)]], columns=["file_uri", "output", "path", "size_bytes", "position", "rows"])
+
+    written = stored(held.groupBy("file_uri").applyInPandas(write, "file_uri string, output string, path string, size_bytes bigint, position bigint, rows bigint"), "p3-inputs")
+    report = stored(compaction.join_files(written, f"{place}/out"), "p3-report")
+    both = written.join(report, written["path"] == report["input"], "full")
+    wrong = both.where(F.col("input").isNull() | written["path"].isNull() | ~F.col("size_bytes").eqNullSafe(F.col("bytes")) | ~F.col("rows").eqNullSafe(F.col("lines"))).select("file_uri", "input").head(1)
+    if wrong:
+        raise ValueError(f"what was joined isn't what was planned: {wrong[0]}")
+    return p, report.join(written.select(F.col("path").alias("input"), "file_uri"), "input"), f"{base}/out"
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """The small committed files, those that the plan joins."""
-    return compaction_plan(spark, d).select("file_uri")
+    """The small committed files: those that were joined, as the report of the joining names them, and those planned only."""
+    p, report, _ = compacted(spark, d)
+    joined = report.select("file_uri")
+    return joined.unionByName(p.select("file_uri").join(joined, "file_uri", "left_anti"))
 
 
 def p3_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -103,52 +136,43 @@ def p3_plan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_joined(spark: SparkSession, d: str) -> DataFrame:
-    """The feed's small committed files, written as line files with their landed rows, joined byte by byte and read back:
-    landed_no and a checksum of each record that the joined files hold."""
-    base = fresh(spark, "p3")
-    place = base.removeprefix("file://")  # other addresses are used as they are
-    p = compaction_plan(spark, d).where(F.col("first_landed_no").isNotNull())
-    rows = table(spark, d, "feed_landing").select("landed_no", F.to_json(F.struct("landed_no", "payload_json")).alias("line"))
-    # Files hold ranges of landed rows: each range is opened into its numbers, which makes the match an equi-join.
-    held = p.select("file_uri", "source_system", "table_name", "output_no", F.explode(F.sequence("first_landed_no", "last_landed_no")).alias("landed_no")).join(rows, "landed_no")
-
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        name = hashlib.sha256(pdf["file_uri"].iloc[0].encode()).hexdigest()
-        data = "\n".join(pdf.sort_values("landed_no")["line"]).encode()
-        compaction.replace_file(f"{place}/in/{name}", iter([data]))
-        first = pdf.iloc[0]
-        return pd.DataFrame([[f"{first['source_system']}.{first['table_name']}.{first['output_no']:06d}", f"{place}/in/{name}", len(data), len(pdf)]], columns=["output", "path", "size_bytes", "rows"])
-
-    written = held.groupBy("file_uri").applyInPandas(write, "output string, path string, size_bytes bigint, rows bigint")
-    written.write.parquet(f"{base}/plan")
-    planned = spark.read.parquet(f"{base}/plan")
-    compaction.join_files(planned, f"{place}/out").write.parquet(f"{base}/report")
-    want = planned.agg(F.count(F.lit(1)), F.coalesce(F.sum("size_bytes"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    got = spark.read.parquet(f"{base}/report").agg(F.coalesce(F.sum("inputs"), F.lit(0)), F.coalesce(F.sum("bytes_in"), F.lit(0)), F.coalesce(F.sum("lines"), F.lit(0))).first()
-    if tuple(want) != tuple(got):
-        raise ValueError(f"joined {tuple(got)} files, bytes and records instead of {tuple(want)}")
-    back = spark.read.schema("landed_no bigint, payload_json string").json(f"{base}/out")
+    """The joined files read back: landed_no and a checksum of each record that they hold."""
+    _, _, folder = compacted(spark, d)
+    back = spark.read.schema("landed_no bigint, payload_json string").json(folder)
     return back.select("landed_no", F.sha2("payload_json", 256).alias("checksum"))
 
 
 # --- 4 drift ---------------------------------------------------------------------------------------------------------
 
 
+def enforced(spark: SparkSession, d: str) -> DataFrame:
+    """Each run with the schema that its ingestion enforces."""
+    return drift.enforce(drift.run_schemas(table(spark, d, "run_manifests")))
+
+
+def ingested(spark: SparkSession, d: str) -> DataFrame:
+    """All fields of landed_samples as rescue ingestion leaves them."""
+    return drift.ingest_runs(table(spark, d, "landed_samples"), enforced(spark, d))
+
+
 def p4_changes(spark: SparkSession, d: str) -> DataFrame:
     """The report of all schema changes."""
-    return drift.changes(drift.run_schemas(table(spark, d, "run_manifests"))).select("source_system", "run_id", "previous_run_id", "column_name", "change", "old_type", "new_type")
+    return drift.changes(enforced(spark, d)).select("source_system", "run_id", "previous_run_id", "column_name", "change", "old_type", "new_type")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    """Each column that is new, gone or of another type in a run."""
+    """Each column that is new, gone or of another type in a run, against the target that the run's ingestion enforces."""
     return p4_changes(spark, d).select("run_id", "column_name")
 
 
 def p4_rescued(spark: SparkSession, d: str) -> DataFrame:
-    """Rescue ingestion of the landed samples of every source table: fields by outcome."""
-    runs = drift.run_schemas(table(spark, d, "run_manifests"))
-    long = drift.rescue_long(table(spark, d, "landed_samples"), runs)
-    return long.groupBy("source_system", "column_name", "catalog_type", "outcome").agg(F.count(F.lit(1)).alias("fields"))
+    """Rescue ingestion of the landed samples of every source table: fields by type on arrival, type now, and outcome."""
+    return ingested(spark, d).groupBy("source_system", "column_name", "arrival_type", "catalog_type", "outcome").agg(F.count(F.lit(1)).alias("fields"))
+
+
+def p4_table(spark: SparkSession, d: str) -> DataFrame:
+    """The consistent tables of all sources, field by field: typed values as text, and what is still rescued."""
+    return ingested(spark, d).select("run_id", "row_no", "column_name", "catalog_type", "outcome", "value", F.col("rescued").isNotNull().alias("is_rescued"))
 
 
 # --- 5 and 6 late and repeated messages ------------------------------------------------------------------------------
@@ -193,4 +217,4 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL = oracles.SQL
-QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p5_found, p5_changes, p5_totals, p6_found, p6_once)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p5_found, p5_changes, p5_totals, p6_found, p6_once)}

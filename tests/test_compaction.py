@@ -1,3 +1,4 @@
+import hashlib
 import io
 import random
 
@@ -37,10 +38,15 @@ def test_plan_covers_small_files_once_in_well_sized_outputs(spark):
     p = c.plan(f, small=8 << 20, target=64 << 20).collect()
     assert sorted(r["file_uri"] for r in p) == sorted(r[0] for r in rows if r[2] < 8 << 20)
     sizes = {}
-    for r in sorted(p, key=lambda r: r["output_offset"]):
+    upto = {}
+    for r in sorted(p, key=lambda r: r["position"]):
         key = r["table_name"], r["output_no"]
-        assert r["output_offset"] == sizes.get(key, 0)
+        assert r["position"] == upto.get(key[0], 0) and key[1] == r["position"] // (64 << 20)
+        upto[key[0]] = r["position"] + r["size_bytes"]
         sizes[key] = sizes.get(key, 0) + r["size_bytes"]
+    # However fine the blocks, the same files in outputs as well sized; null days are a day.
+    q = c.plan(f.selectExpr("* except (day)", "if(size_bytes % 2 = 0, day, null) as day"), small=8 << 20, target=64 << 20, block=50).collect()
+    assert sorted(r["file_uri"] for r in q) == sorted(r["file_uri"] for r in p) and {(r["table_name"], r["output_no"]) for r in q} == set(sizes)
     full = [v for k, v in sizes.items() if k[1] < max(o for t, o in sizes if t == k[0])]
     assert full and min(full) > 48 << 20 and max(full) < 80 << 20
 
@@ -62,12 +68,16 @@ def test_round_trip(spark, tmp_path, kind):
         path.write_bytes(data)
         rows.append((f"out{k % 3}", str(path), len(data)))
     report = c.join_files(spark.createDataFrame(rows, "output string, path string, size_bytes bigint"), str(tmp_path / "out"), kind).collect()
-    assert sum(r["inputs"] for r in report) == 60 and len(report) == 3
+    assert len(report) == 60 and sorted(r["input"] for r in report) == sorted(r[1] for r in rows) and len({r["path"] for r in report}) == 3
+    assert all(r["sha256"] == hashlib.sha256(open(r["input"], "rb").read()).hexdigest() for r in report)
     assert kind == "zstd" or sum(r["lines"] for r in report) == len(lines)
     back = []
-    for r in report:
+    for r in {r["path"]: r for r in report}.values():
         data = open(r["path"], "rb").read()
-        assert len(data) == r["bytes_out"]
+        assert len(data) == r["output_bytes"] and hashlib.sha256(data).hexdigest() == r["output_sha256"]
+        for i in report:
+            own = open(i["input"], "rb").read().removeprefix(b"\xef\xbb\xbf")
+            assert i["path"] != r["path"] or data[i["start"] :].startswith(own)
         if kind == "zstd":
             data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
         back += data.decode().splitlines()
