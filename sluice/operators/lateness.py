@@ -28,23 +28,29 @@ def classify(df: DataFrame, event: str, arrival: str, period_s: int = HOUR, grac
     return df.withColumns({"period_start": F.timestamp_micros(start), "arrival_class": kind})
 
 
-def differential(classified: DataFrame, arrival: str, measures: dict[str, Column], keys: list[str] = [], period_s: int = HOUR, grace_s: int = 900, tick_s: int = HOUR) -> DataFrame:
-    """One row for each (keys, period, version) that has updates: the measures' sums, for version 0 (the first report) and
-    each later tick.
+def versioned(classified: DataFrame, arrival: str, period_s: int = HOUR, grace_s: int = 900, tick_s: int = HOUR) -> DataFrame:
+    """The rows that count, with ``version``: 0 for those in the first report, then the tick of arrival time in which they correct it.
 
-    Sums are taken by partial aggregation, so a hot period costs each task one row a version. Rows that are too late or
-    untimed are left out here; ``classify`` names them. Null measures count as 0.
+    Rows that are too late or untimed are left out here; ``classify`` names them. A column ``version`` is replaced.
     """
-    us = F.unix_micros(F.col("period_start")) + (period_s + grace_s) * 1_000_000
-    tick = F.ceil((F.unix_micros(F.col(arrival)) - us) / F.lit(tick_s * 1_000_000))
-    version = F.when(F.col("arrival_class") == "reported", 0).otherwise(F.greatest(tick, F.lit(1))).cast("bigint")
-    kept = classified.where(F.col("arrival_class").isin("reported", "correction"))
-    return kept.groupBy(*keys, "period_start", version.alias("version")).agg(*[F.sum(F.coalesce(m, F.lit(0))).alias(k) for k, m in measures.items()])
+    late = F.unix_micros(F.col(arrival)) - F.unix_micros(F.col("period_start")) - (period_s + grace_s) * 1_000_000
+    tick = F.call_function("div", late + (tick_s * 1_000_000 - 1), F.lit(tick_s * 1_000_000))  # corrections are late by a microsecond at least
+    version = F.when(F.col("arrival_class") == "reported", 0).otherwise(tick).cast("bigint")
+    return classified.where(F.col("arrival_class").isin("reported", "correction")).withColumn("version", version)
+
+
+def differential(updates: DataFrame, measures: dict[str, Column], keys: list[str] = []) -> DataFrame:
+    """One row for each (keys, period, version) that has updates: the measures' sums.
+
+    updates: what ``versioned`` gives. Sums are taken by partial aggregation, so a hot period costs each task one row a version. Null
+    measures count as 0.
+    """
+    return updates.groupBy(*keys, "period_start", "version").agg(*[F.sum(F.coalesce(m, F.lit(0))).alias(k) for k, m in measures.items()])
 
 
 def retractions(deltas: DataFrame, measures: list[str], keys: list[str] = []) -> DataFrame:
-    """The change log: for each version of a period a row with ``sign`` 1 (new aggregate) and, if there was one before, a
-    row with ``sign`` -1 and the old aggregate.
+    """The change log: for each version of a period a row with ``sign`` 1 (new aggregate) and, if there was one before or the version isn't
+    the first report, a row with ``sign`` -1 and the old aggregate (zeros where the first report was empty).
 
     The window runs over at most one row a version, and versions end with the cut-off, so no group grows with the data.
     """
@@ -53,7 +59,18 @@ def retractions(deltas: DataFrame, measures: list[str], keys: list[str] = []) ->
                           *[F.col(m).alias(f"__d_{m}") for m in measures])
     new = F.struct(F.lit(1).alias("sign"), *[F.col(m).alias(m) for m in measures])
     old = F.struct(F.lit(-1).alias("sign"), *[(F.col(m) - F.col(f"__d_{m}")).cast(dict(state.dtypes)[m]).alias(m) for m in measures])
-    return state.select(*keys, "period_start", "version", F.inline(F.when(F.col("__n") == 1, F.array(new)).otherwise(F.array(old, new))))
+    return state.select(*keys, "period_start", "version", F.inline(F.when((F.col("__n") == 1) & (F.col("version") == 0), F.array(new)).otherwise(F.array(old, new))))
+
+
+def corrections(updates: DataFrame, changes: DataFrame, keys: list[str] = []) -> DataFrame:
+    """The updates that the change log retracts a reported aggregate for: those of its versions with a negative row.
+
+    The log has two rows a version of a period at most, so it is small beside the updates; a period with any share of the updates
+    is one key that AQE splits or meets with a broadcast of the log's measured size.
+    """
+    on = [*keys, "period_start", "version"]
+    retracted = changes.where("sign = -1").select(*[F.col(c).alias(f"__r_{c}") for c in on])
+    return updates.join(retracted, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on], "left_semi")
 
 
 def current(changes: DataFrame, measures: list[str], keys: list[str] = []) -> DataFrame:

@@ -7,13 +7,16 @@ stored whole, equal entries are equal identifiers: there are no false matches.
 
 Plan: one narrow scan; each input partition, sorted by order, inserts its rows into a local table, so that of any message
 at most one row a partition still has to find its global place; those rows are shuffled by shard and inserted into the
-shard's table. Rows already known to be copies travel with no identifier and spread evenly. One identifier may hold any
-share of all rows: no task gets more than one row of it from each input partition.
+shard's table. Rows already known to be copies travel with no identifier and spread evenly, or stay behind where only first copies are
+asked for. One identifier may hold any share of all rows: no task gets more than one row of it from each input partition.
+
+A task goes through its shards one after the other and holds one table at a time. With 2^20 shards a table has a millionth
+of all identifiers, some 80 bytes each, however many shuffle partitions there are; a local table is bounded by an input partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SHARD_BITS = 16
+SHARD_BITS = 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -110,35 +113,61 @@ class QuotientTable:
         return new
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the shard; rows that copy an earlier row of this partition lose their identifier."""
-    table, salt = QuotientTable(), 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        p, rest = permute(pack(batch.column("__id")))
-        new = table.insert(p, rest)
-        shard = np.where(new, (p >> np.uint64(64 - SHARD_BITS)).astype(np.int64), (np.arange(len(p)) + salt) % (1 << SHARD_BITS))
-        salt += len(p)
-        ids = pa.compute.if_else(pa.array(new), batch.column("__id"), pa.scalar(None, batch.column("__id").type))
-        cols = [ids if f.name == "__id" else c for f, c in zip(batch.schema, batch.columns)]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(shard.astype(np.int32))], [*batch.schema.names, "__shard"])
+def _first_pass(keep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the shard; rows that copy an earlier row of this partition lose their identifier, or are left out unless ``keep``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, salt = QuotientTable(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p, rest = permute(pack(batch.column("__id")))
+            new = table.insert(p, rest)
+            shard = np.where(new, (p >> np.uint64(64 - SHARD_BITS)).astype(np.int64), (np.arange(len(p)) * 31 + salt) % (1 << SHARD_BITS))
+            salt += len(p) * 31
+            ids = pa.compute.if_else(pa.array(new), batch.column("__id"), pa.scalar(None, batch.column("__id").type))
+            cols = [ids if f.name == "__id" else c for f, c in zip(batch.schema, batch.columns)]
+            done = pa.RecordBatch.from_arrays([*cols, pa.array(shard.astype(np.int32))], [*batch.schema.names, "__shard"])
+            yield done if keep else done.filter(pa.array(new))
+
+    return run
 
 
 def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces identifier and shard with whether the row is a copy."""
-    table = QuotientTable()
+    """Replaces identifier and shard with whether the row is a copy. Rows come shard by shard, by order in each."""
+    table, at = QuotientTable(), None
     for batch in batches:
-        ids = batch.column("__id")
+        if not batch.num_rows:
+            continue
+        ids, shards = batch.column("__id"), batch.column("__shard").to_numpy(zero_copy_only=False)
         open_ = np.asarray(ids.is_valid())
         copy = np.ones(batch.num_rows, bool)
+        last, entries = shards[-1], None
         if open_.any():
-            p, rest = permute(pack(ids.filter(pa.array(open_))))
-            copy[np.flatnonzero(open_)] = ~table.insert(p, rest)
+            entries = permute(pack(ids.filter(pa.array(open_))))
+            copy[np.flatnonzero(open_)] = ~table.insert(*entries)
+        if last != at:  # the shards before are done with; only the last one's entries go on
+            table, at = QuotientTable(), last
+            if entries:
+                mine = shards[open_] == last
+                table.insert(entries[0][mine], entries[1][mine])
         names = [n for n in batch.schema.names if n not in ("__id", "__shard")]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(copy)], [*names, "__copy"])
 
 
+def _find(df: DataFrame, identifier: list[Column], order: str, keep: bool) -> tuple[DataFrame, list[str]]:
+    """The rows (all, or without those that a partition knows to be copies) as columns c0, c1, ... with ``__copy``; their names."""
+    own = df.columns
+    # Each part with its length in front, so that no two lists of parts give the same text.
+    piece = [F.when(i.isNull(), "-").otherwise(F.concat(F.length(i.cast("string")).cast("string"), F.lit(":"), i.cast("string"))) for i in identifier]
+    x = df.select("*", F.concat(*piece).cast("binary").alias("__id"), F.col(f"`{order}`").alias("__order")).toDF(*[f"c{i}" for i in range(len(own))], "__id", "__order")
+    fields = [T.StructField(f.name, f.dataType) for f in x.schema]  # all may be null: copies lose their identifier
+    first = T.StructType([*fields, T.StructField("__shard", T.IntegerType())])
+    last = T.StructType([*(f for f in fields if f.name != "__id"), T.StructField("__copy", T.BooleanType())])
+    local = x.sortWithinPartitions("__order").mapInArrow(_first_pass(keep), first)
+    return local.repartition("__shard").sortWithinPartitions("__shard", "__order").mapInArrow(_second_pass, last), own
+
+
 def mark_copies(df: DataFrame, identifier: list[Column], order: str, is_copy: str = "is_copy") -> DataFrame:
     """``df`` with a boolean column that is false for exactly one row of each identifier, the first by ``order``.
 
@@ -147,16 +176,7 @@ def mark_copies(df: DataFrame, identifier: list[Column], order: str, is_copy: st
     (repeated rows) one arbitrary row is the first. All rows are kept; other columns pass through whatever their names,
     except that a column named ``is_copy`` is replaced. An empty table gives an empty table.
     """
-    df = df.drop(is_copy)
-    own = df.columns
-    # Each part with its length in front, so that no two lists of parts give the same text.
-    piece = [F.when(i.isNull(), "-").otherwise(F.concat(F.length(i.cast("string")).cast("string"), F.lit(":"), i.cast("string"))) for i in identifier]
-    x = df.select("*", F.concat(*piece).cast("binary").alias("__id"), F.col(f"`{order}`").alias("__order")).toDF(*[f"c{i}" for i in range(len(own))], "__id", "__order")
-    fields = [T.StructField(f.name, f.dataType) for f in x.schema]  # all may be null: copies lose their identifier
-    first = T.StructType([*fields, T.StructField("__shard", T.IntegerType())])
-    last = T.StructType([*(f for f in fields if f.name != "__id"), T.StructField("__copy", T.BooleanType())])
-    local = x.sortWithinPartitions("__order").mapInArrow(_first_pass, first)
-    done = local.repartition("__shard").sortWithinPartitions("__order").mapInArrow(_second_pass, last)
+    done, own = _find(df.drop(is_copy), identifier, order, True)
     return done.select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(own)], F.col("__copy").alias(is_copy))
 
 
@@ -167,5 +187,7 @@ def message_name(source: str = "event_source", event_id: str = "event_id", recor
 
 
 def first_copies(df: DataFrame, identifier: list[Column], order: str) -> DataFrame:
-    """Exactly one row of each identifier, the first by ``order``; see mark_copies for the cases."""
-    return mark_copies(df, identifier, order, "__is_copy").where(~F.col("__is_copy")).drop("__is_copy")
+    """Exactly one row of each identifier, the first by ``order``; see mark_copies for the cases. Copies that stand in one input
+    partition with their first aren't shuffled."""
+    done, own = _find(df, identifier, order, False)
+    return done.where(~F.col("__copy")).select(*[F.col(f"c{i}").alias(k) for i, k in enumerate(own)])

@@ -141,7 +141,7 @@ select run_id, name as column_name from now full join old using (run_id, name) w
     "p5_totals": f"with {_TIMES}, {_FIRST} select hour_s, count(*) as messages from accepted group by 1",
     "p5_changes": f"""with {_TIMES}, {_FIRST}
 select hour_s, version, cast(1 as bigint) as sign, cast(messages as bigint) as messages from totals
-union all select hour_s, version, cast(-1 as bigint), cast(messages - added as bigint) from totals where n > 1""",
+union all select hour_s, version, cast(-1 as bigint), cast(messages - added as bigint) from totals where version > 0""",
     "p6_found": """
 select landed_no from (select landed_no, row_number() over (partition by event_id is null, case when event_id is null then _source_record_id else lower(event_id) end, case when event_id is not null then event_source end order by landed_no) as n from feed_landing) where n > 1
 """,

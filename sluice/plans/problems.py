@@ -187,21 +187,30 @@ def first_arrivals(spark: SparkSession, d: str) -> DataFrame:
     return lateness.classify(arrived, "event_instant", "arrived")
 
 
+def updates(spark: SparkSession, d: str) -> DataFrame:
+    """What each first copy that counts does to which version of its hour."""
+    return lateness.versioned(first_arrivals(spark, d), "arrived").select("landed_no", "period_start", "version")
+
+
+def hour_log(changed: DataFrame) -> DataFrame:
+    """The change log of messages an hour."""
+    return lateness.retractions(lateness.differential(changed, {"messages": F.lit(1).cast("bigint")}), ["messages"])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    """The first copies that correct an hour already reported."""
-    return first_arrivals(spark, d).where(F.col("arrival_class") == "correction").select("landed_no")
+    """The first copies for which the change log retracts an hour already reported."""
+    changed = stored(updates(spark, d), "p5-updates")
+    return lateness.corrections(changed, hour_log(changed)).select("landed_no")
 
 
 def p5_changes(spark: SparkSession, d: str) -> DataFrame:
     """The change log of messages an hour: retracted and new totals by version."""
-    deltas = lateness.differential(first_arrivals(spark, d), "arrived", {"messages": F.lit(1).cast("bigint")})
-    return lateness.retractions(deltas, ["messages"]).select(F.unix_seconds("period_start").alias("hour_s"), "version", F.col("sign").cast("bigint").alias("sign"), F.col("messages").cast("bigint").alias("messages"))
+    return hour_log(updates(spark, d)).select(F.unix_seconds("period_start").alias("hour_s"), "version", F.col("sign").cast("bigint").alias("sign"), F.col("messages").cast("bigint").alias("messages"))
 
 
 def p5_totals(spark: SparkSession, d: str) -> DataFrame:
     """The totals an hour as corrected until the cut-off: the signed sum of the change log."""
-    deltas = lateness.differential(first_arrivals(spark, d), "arrived", {"messages": F.lit(1).cast("bigint")})
-    return lateness.current(lateness.retractions(deltas, ["messages"]), ["messages"]).select(F.unix_seconds("period_start").alias("hour_s"), F.col("messages").cast("bigint").alias("messages"))
+    return lateness.current(hour_log(updates(spark, d)), ["messages"]).select(F.unix_seconds("period_start").alias("hour_s"), F.col("messages").cast("bigint").alias("messages"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -75,3 +75,22 @@ def test_nulls_parts_clashes_and_empty(spark):
     assert mark_copies(df.limit(0), [F.col("__id")], "no").count() == 0
     long = spark.createDataFrame([(1, "x" * 50_000), (2, "x" * 50_000), (3, "x" * 49_999)], "no int, k string")
     assert {r["no"] for r in mark_copies(long, [F.col("k")], "no").where("is_copy").collect()} == {2}
+
+
+def test_shards_one_after_the_other(monkeypatch, spark):
+    from sluice.operators import quotient
+
+    rng = random.Random(9)
+    data = [(k, f"id{rng.randrange(900)}") for k in range(3000)]
+    first = {}
+    for k, i in data:
+        first.setdefault(i, k)
+    df = spark.createDataFrame(data, "no int, id string").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # shards end inside batches, and go on over some
+    try:
+        for bits in (1, 4, 20):
+            monkeypatch.setattr(quotient, "SHARD_BITS", bits)
+            assert {r["no"] for r in first_copies(df, [F.col("id")], "no").collect()} == set(first.values())
+            assert mark_copies(df, [F.col("id")], "no").where("not is_copy").count() == len(first)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
