@@ -24,8 +24,6 @@ PRESETS = {
 }
 CODECS, FRAMINGS, ENCODINGS, DISCOVERIES = ("none", "gzip", "zlib", "auto"), ("object", "array", "jsonl", "auto"), ("none", "base64"), ("time_partitioned", "full_prefix")
 MIB = 1 << 20
-#: Settings that have another name now. Fixed values.
-MOVED = {"landing.bucket": "landing.location", "landing.prefix": "landing.location", "state": "landing.checkpoint_table", "state.table": "landing.checkpoint_table"}
 _TRANSFORM = re.compile(r"(?:(year|month|day|hour)\(\s*([\w{}]+)\s*\)|(bucket|truncate)\(\s*(\d+)\s*,\s*([\w{}]+)\s*\)|([\w{}]+))")
 _COLUMN = re.compile(r"[a-z_][a-z0-9_]*")
 
@@ -129,6 +127,14 @@ def boolean(value) -> bool:
         raise ConfigurationError(f"{value!r} is neither yes nor no") from None
 
 
+def split_uri(uri: str) -> tuple[str, str, str]:
+    """(scheme, bucket, prefix without slashes around it) of an address like ``s3://bucket/some/folder/``."""
+    m = re.fullmatch(r"([a-z][a-z0-9+.-]*)://([^/\s]+)(?:/(.*))?", uri.strip() if isinstance(uri, str) else "")
+    if not m:
+        raise ConfigurationError(f"{uri!r} isn't an address of the form scheme://bucket/prefix")
+    return m[1], m[2], (m[3] or "").strip("/")
+
+
 def partition_transform(spec: str, watermark: str | None = None) -> tuple[str, int | None, str]:
     """(transform, width, column) of an entry of partition_by; arguments are checked, too."""
     m = _TRANSFORM.fullmatch(spec.strip())
@@ -158,7 +164,7 @@ class _Reader:
             return {}
         for key in sorted(map(str, set(data) - set(known))):
             where = f"{name}.{key}" if name else key
-            self.problems.append(f"`{where}` is now `{MOVED[where]}`" if where in MOVED else f"`{where}` isn't a setting; known: {', '.join(sorted(known))}")
+            self.problems.append(f"`{where}` isn't a setting; known: {', '.join(sorted(known))}")
         return data
 
     def number(self, name: str, value, low: int, high: int) -> int:
@@ -175,7 +181,7 @@ class _Reader:
 
     def done(self) -> None:
         if self.problems:
-            raise ConfigurationError(self.problems[0] if len(self.problems) == 1 else f"{len(self.problems)} problems:\n" + "\n".join(f"- {p}" for p in self.problems))
+            raise ConfigurationError("; ".join(self.problems))
 
 
 def _discovery(r: _Reader, data: dict) -> Discovery:
@@ -305,6 +311,12 @@ def parse(data: dict, feed_types: tuple[str, ...] = ("json_files", "s3_json")) -
             except ConfigurationError as e:
                 r.problems.append(f"`bronze.partition_by`: {e}")
         bronze = Bronze(b.get("database", ""), str(b.get("location", "")).rstrip("/"), b.get("processed_runs_table"), tuple(spec or ()), r.choice("bronze.table_prefix", b.get("table_prefix", "source_key"), ("source_key", "none")))
+    for where, value in (("landing.location", landing.get("location")), ("bronze.location", bronze and bronze.location)):
+        if value and "://" in str(value):
+            try:
+                split_uri(str(value))
+            except ConfigurationError as e:
+                r.problems.append(f"`{where}`: {e}")
     fetch = r.number("fetch_size", top.get("fetch_size", 10_000), 1, 10_000_000)
     r.done()
     location = landing.get("location")

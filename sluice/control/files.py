@@ -1,4 +1,4 @@
-"""The few file operations that commits need: exclusive creation, whole replacement, listing."""
+"""The few file operations that commits need: exclusive creation, whole replacement, listing; and the file systems of tasks."""
 
 from __future__ import annotations
 
@@ -69,8 +69,16 @@ class LocalFiles:
             pass
 
 
+#: Schemes of stores that have no rename, but take an object only if there is none.
+OBJECT_STORES = ("s3", "s3a", "s3n", "gs", "abfs", "abfss", "wasb", "wasbs", "oss", "cosn")
+
+
 class HadoopFiles(LocalFiles):
-    """Any file system that the session's Hadoop client reaches (object stores, HDFS)."""
+    """Any file system that the session's Hadoop client reaches (object stores, HDFS).
+
+    Creation is exclusive: object stores are asked for a conditional put (and where a client knows no such thing, it is refused
+    rather than done without); elsewhere a whole file is renamed, which fails where the name is taken.
+    """
 
     def __init__(self, spark) -> None:
         self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -89,16 +97,29 @@ class HadoopFiles(LocalFiles):
         finally:
             stream.close()
 
+    def _write(self, builder, text: str) -> None:
+        out = builder.build()
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
     def create(self, path: str, text: str) -> bool:
+        from py4j.protocol import Py4JJavaError
+
         p, fs = self._at(path)
         if fs.exists(p):
             return False
+        if path.split(":", 1)[0] in OBJECT_STORES:
+            try:
+                self._write(fs.createFile(p).overwrite(False).recursive().must("fs.option.create.conditional.overwrite", True), text)
+            except Py4JJavaError as e:
+                if e.java_exception.getClass().getSimpleName() == "IllegalArgumentException" or not fs.exists(p):
+                    raise
+                return False
+            return True
         part = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
-        out = fs.create(part, False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
+        self._write(fs.createFile(part).overwrite(False).recursive(), text)
         if fs.exists(p) or not fs.rename(part, p):
             fs.delete(part, False)
             return False
@@ -113,15 +134,32 @@ class HadoopFiles(LocalFiles):
         return sorted(n for s in (fs.listStatus(p) if fs.exists(p) else []) if not (n := s.getPath().getName()).endswith(".part"))
 
     def walk(self, folder: str) -> Iterator[FileInfo]:
+        """All files below a folder, folder by folder in order of their names, so no more than one folder is held."""
         p, fs = self._at(folder)
         if not fs.exists(p):
             return
-        it, found = fs.listFiles(p, True), []
-        while it.hasNext():
-            s = it.next()
-            found.append(FileInfo(s.getPath().toString(), s.getLen(), datetime.fromtimestamp(s.getModificationTime() / 1000, UTC)))
-        yield from sorted(found, key=lambda f: f.path)
+        for s in sorted(fs.listStatus(p), key=lambda s: s.getPath().getName()):
+            if s.isDirectory():
+                yield from self.walk(s.getPath().toString())
+            else:
+                yield FileInfo(s.getPath().toString(), s.getLen(), datetime.fromtimestamp(s.getModificationTime() / 1000, UTC))
 
     def delete(self, path: str) -> None:
         p, fs = self._at(path)
         fs.delete(p, False)
+        if fs.exists(p.getParent()) and not fs.listStatus(p.getParent()):
+            fs.delete(p.getParent(), False)
+
+
+def files_for(spark, *locations: str | None) -> LocalFiles:
+    """The file operations for these locations: plain paths are mounted folders, addresses go through the session's Hadoop client."""
+    return HadoopFiles(spark) if any(x and "://" in x for x in locations) else LocalFiles()
+
+
+def file_system(path: str):
+    """For use in tasks: the pyarrow file system of a path or address (mounted folders, object stores, HDFS) and the path in it."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1)) if "://" in path else (fs.LocalFileSystem(), path)

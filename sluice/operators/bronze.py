@@ -2,7 +2,8 @@
 
 A snapshot names the table's columns, its partition spec and one entry for each merged run (folder and range of partition
 values). It is created exclusively under the next number, so a merge is there as a whole or not at all, and of two writers one
-loses and may try again. Data that no snapshot names doesn't exist.
+loses and may try again. Data that no snapshot names doesn't exist. A snapshot's file holds what it added; every FULL-th holds all
+entries, so a merge writes and reads little however many runs came before.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass, replace
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +71,10 @@ def diff(have: dict[str, str], want: list[tuple[str, str]], overrides: dict[str,
     return added, changed
 
 
+#: Versions from one file with all entries to the next.
+FULL = 32
+
+
 @dataclass(frozen=True)
 class Snapshot:
     version: int
@@ -75,13 +82,30 @@ class Snapshot:
     partition_by: tuple[str, ...]
     entries: tuple[dict, ...] = ()
 
-    def to_json(self) -> str:
-        return json.dumps({"version": self.version, "columns": self.columns, "partition_by": self.partition_by, "entries": self.entries}, indent=1)
+    def to_json(self, added: tuple[dict, ...]) -> str:
+        head = {"version": self.version, "columns": self.columns, "partition_by": self.partition_by}
+        return json.dumps(head | ({"entries": self.entries} if self.version % FULL == 1 else {"added": added}), indent=1)
+
+
+def _bound(value: object) -> tuple[str, object] | None:
+    """A partition value as (sort of value, JSON value of the same order within its sort); None for sorts without one."""
+    if isinstance(value, bool) or value is None or isinstance(value, float):
+        return None
+    if isinstance(value, (int, Decimal)):
+        return "number", str(value)
+    if isinstance(value, datetime):
+        return "time", value.isoformat(sep=" ", timespec="microseconds")
+    if isinstance(value, date):
+        return "date", value.isoformat()
+    return ("text", value) if isinstance(value, str) else None
 
-    @classmethod
-    def from_json(cls, text: str) -> Snapshot:
-        d = json.loads(text)
-        return cls(d["version"], tuple(map(tuple, d["columns"])), tuple(d["partition_by"]), tuple(d["entries"]))
+
+def _meets(a: list | None, b: list | None) -> bool:
+    """Whether two ranges (sort, low, high) may share a value; ranges that aren't known or of different sorts may."""
+    if not a or not b or a[0] != b[0]:
+        return True
+    of = Decimal if a[0] == "number" else str
+    return of(a[1]) <= of(b[2]) and of(b[1]) <= of(a[2])
 
 
 class BronzeTable:
@@ -94,13 +118,31 @@ class BronzeTable:
             if self.files.exists(f"{self.root}/data"):
                 raise IngestError(f"{self.name}: data without a snapshot; refusing to start over")
             return None
-        return Snapshot.from_json(self.files.read(f"{self.root}/snapshots/v{max(versions)}.json"))
-
-    def _commit(self, s: Snapshot) -> Snapshot:
-        if not self.files.create(f"{self.root}/snapshots/v{s.version}.json", s.to_json()):
+        return self._load(max(versions))
+
+    def _file(self, version: int) -> str:
+        return f"{self.root}/snapshots/v{version}.json"
+
+    def _load(self, version: int) -> Snapshot:
+        entries, at = [], version
+        head = d = json.loads(self.files.read(self._file(version)))
+        while "entries" not in d:
+            entries += reversed(d["added"])
+            at -= 1
+            d = json.loads(self.files.read(self._file(at)))
+        return Snapshot(version, tuple(map(tuple, head["columns"])), tuple(head["partition_by"]), (*d["entries"], *reversed(entries)))
+
+    def _commit(self, s: Snapshot, *added: dict) -> Snapshot:
+        s = replace(s, entries=s.entries + added)
+        if not self.files.create(self._file(s.version), s.to_json(added)):
             raise IngestError(f"{self.name}: somebody else wrote snapshot {s.version}")
         return s
 
+    def pointer(self) -> str | None:
+        """The file of the latest snapshot."""
+        s = self.snapshot()
+        return s and self._file(s.version)
+
     def ensure(self, columns: list[tuple[str, str]], partition_by: tuple[str, ...], overrides: dict[str, str] | None = None) -> bool:
         """Creates the table or adds columns; True if it was created. Any other change is refused before anything is added.
         The partition spec counts at creation only; entries on columns that the table lacks are dropped."""
@@ -140,10 +182,22 @@ class BronzeTable:
             raise IngestError(f"no table {self.name}")
         return self._read(s, s.entries)
 
+    def _range(self, rows: DataFrame, s: Snapshot, keys: list[str]) -> tuple[list | None, bool]:
+        """(sort, low and high of the first partition value over rows, None where unknown; whether rows with values exist).
+
+        Only a partition value that follows from the key bounds a merge: rows of the same key then have the same value."""
+        hidden = self._hidden(s)
+        if not hidden or partition_transform(s.partition_by[0], self.watermark)[2].lower() not in keys:
+            return None, True
+        low, high = (_bound(v) for v in rows.agg(F.min(hidden[0][1]), F.max(hidden[0][1])).first())
+        return ([low[0], low[1], high[1]], True) if low and high else (None, rows.where(hidden[0][1].isNotNull()).limit(1).count() > 0)
+
     def merge(self, run: DataFrame, run_id: str, primary_key: list[str]) -> int:
-        """Adds the run's rows whose key isn't there, and returns how many. A run merged before adds nothing.
+        """Adds the run's rows whose key isn't there, and returns how many. A run merged before adds nothing, whatever the partition
+        spec; rows with a null in the key match nothing and are added.
 
-        Only runs whose range of the first partition value overlaps this run's are read for matching.
+        Where the first partition value follows from the key, only runs whose range of it overlaps this run's are read for matching.
+        The rows are laid out by the partition spec, with files of a good size (one shuffle of the new rows).
         """
         s = self.snapshot()
         keys = [k.lower() for k in (*primary_key, self.watermark)]
@@ -157,21 +211,19 @@ class BronzeTable:
         if extra := [c for c in low.columns if c not in known]:
             raise SchemaChangeError(f"{self.name}: run {run_id} has columns that the table lacks: {', '.join(extra)}")
         rows = low.select(*[F.col(f"`{c}`").cast(spark_type(known[c])).alias(c) for c in low.columns])
-        hidden = self._hidden(s)
-        bounds = None
-        entries = s.entries
-        if hidden:
-            name, value = hidden[0]
-            first = rows.agg(F.min(value), F.max(value)).first()
-            bounds = [None if v is None else v if isinstance(v, (int, float)) else str(v) for v in first]
-            entries = [e for e in entries if bounds[0] is not None and e["range"] and e["range"][0] is not None and e["range"][0] <= bounds[1] and e["range"][1] >= bounds[0]]
+        bounds, any_key = self._range(rows, s, keys)
+        entries = [e for e in s.entries if _meets(e["range"], bounds)] if any_key else []
         fresh = unmatched(rows, self._read(s, entries, keys), keys)
+        hidden = self._hidden(s)
+        names = [n for n, _ in hidden]
         path = f"data/run={run_id}/{uuid.uuid4().hex}"
         seen = Observation()
-        fresh.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("compression", "snappy").parquet(f"{self.root}/{path}")
+        laid_out = fresh.select("*", *[v.alias(n) for n, v in hidden])
+        laid_out = laid_out.hint("rebalance", *names) if names else laid_out
+        laid_out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").partitionBy(*names).option("compression", "snappy").parquet(f"{self.root}/{path}")
         n = seen.get["n"]
         if n:
-            self._commit(replace(s, version=s.version + 1, entries=s.entries + ({"run_id": run_id, "path": path, "rows": n, "range": bounds},)))
+            self._commit(replace(s, version=s.version + 1), {"run_id": run_id, "path": path, "rows": n, "range": bounds})
         return n
 
 

@@ -17,6 +17,8 @@ from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.control.files import file_system
+
 SMALL = 8 << 20
 TARGET = 128 << 20
 #: Layout of a landing folder: source system, table, day, run.
@@ -151,11 +153,6 @@ def join_bytes(parts: Iterator[bytes], kind: str, header: bool = False) -> Itera
             yield data if data.endswith(b"\n") else data + b"\n"
 
 
-def file_system(path: str) -> tuple[pa_fs.FileSystem, str]:
-    """The file system of a path or address (mounted folders, object stores, HDFS) and the path in it."""
-    return pa_fs.FileSystem.from_uri(path) if "://" in path else (pa_fs.LocalFileSystem(), path)
-
-
 def replace_file(path: str, pieces: Iterator[bytes]) -> tuple[int, str]:
     """Writes a file beside its place, reads it back, and moves it there only if length and checksum are those of the pieces.
     Returns both. Whole or not at all; a second attempt of the task puts the same bytes in its place."""

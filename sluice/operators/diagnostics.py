@@ -77,11 +77,11 @@ def sniff(content: Column) -> Column:
 
 
 def snake_case(name: str) -> str:
-    """A column name for a member name."""
-    s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", name)
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
-    s = re.sub(r"[^A-Za-z0-9]+", "_", s).strip("_").lower()
-    return f"_{s}" if s[:1].isdigit() else s or "_"
+    """A column name for a member name: each capital begins a word, other marks part words; ``f_`` where it would begin with a digit or
+    have no letter at all."""
+    apart = "".join(f" {c}" if "A" <= c <= "Z" else c for c in name).lower()
+    column = "_".join(re.findall(r"[a-z0-9]+", apart))
+    return column if column[:1].isalpha() else f"f_{column}"
 
 
 def feed_settings(census: DataFrame, share: float = 0.5) -> dict[str, str]:
@@ -92,6 +92,28 @@ def feed_settings(census: DataFrame, share: float = 0.5) -> dict[str, str]:
     return {snake_case(r["key"]): r["key"] for r in sorted(rows, key=lambda r: (-r["records"], r["key"])) if r["type"] not in ("object", "array", "null") and r["records"] >= share * total}
 
 
+def document_settings(census: DataFrame) -> tuple[dict, list[str]]:
+    """(document block of a feed's configuration, why one block can't describe the feed) from the rows of ``census``. The reasons are empty where it
+    can: one way to carry payloads, compressed alike or not at all, and all of them objects."""
+    seen: dict[str, dict[str, int]] = {}
+    for r in census.where(F.col("measure").isin("carrier", "codec", "type")).collect():  # a dozen rows
+        seen.setdefault(r["measure"], {})[r["value"]] = r["records"]
+    most = lambda m: max(sorted(seen.get(m, {})), key=seen.get(m, {}).get, default=None)
+    coded = most("carrier") != "data"
+    packed = set(seen.get("codec", {})) - {"none"}
+    compression = "none" if not coded or not packed else next(iter(packed)) if len(packed) == 1 else "auto"
+    block = {"preset": "cloudevents" if coded and compression != "none" else "cloudevents_plain" if not coded else None, "compression": "gzip", "records": "auto",
+             "payload": {"path": "data_base64" if coded else "data", "encoding": "base64" if coded else "none", "compression": compression, "format": "json"}}
+    doubts = []
+    if len(seen.get("carrier", {})) > 1 or "neither" in seen.get("carrier", {}):
+        doubts.append(f"payloads are carried in {', '.join(sorted(seen['carrier']))}")
+    if packed and "none" in seen["codec"]:
+        doubts.append("some payloads are compressed, some aren't")
+    if odd := sorted(set(seen.get("type", {})) - {"object"}):
+        doubts.append(f"payloads of type {', '.join(odd)}")
+    return {k: v for k, v in block.items() if v is not None}, doubts
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, n) of keys that stand there more than once."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -103,13 +125,13 @@ def _json_type(text: Column) -> Column:
     return (F.when(text.isNull(), "none").when(head == "{", "object").when(head == "[", "array").when(head == '"', "string").when(head.isin("t", "f"), "boolean").when(head == "n", "null").otherwise("number"))
 
 
-def census(records: DataFrame, envelope: str, payload: str, id_paths: list[str], version_paths: list[str], carriers: tuple[str, ...] = ("data_base64", "data"), keys: int = 40) -> DataFrame:
+def census(records: DataFrame, envelope: str, payload: str, id_paths: list[str], version_paths: list[str], carriers: tuple[str, ...] = ("data_base64", "data"), keys: int | None = None) -> DataFrame:
     """(measure, value, records): nine frequency tables of a feed in one pass.
 
     carrier (which envelope member holds the payload), codec (of a base64 carrier), type (of the payload), wrapper (the object
     around the id, by its path), key (top-level members), id_path, id_type (path and JSON type),
     id_match (whether the id equals the envelope id's last part behind a colon), version_path. A null payload counts under
-    type ``none`` only. Of each measure the ``keys`` most frequent values are given.
+    type ``none`` only. keys: how many of a measure's values, the most frequent, a report is to show; None gives all.
     """
     e, p = F.col(f"`{envelope}`"), F.col(f"`{payload}`")
     held = {c: F.get_json_object(e, f"$.{c}") for c in carriers}
@@ -128,6 +150,8 @@ def census(records: DataFrame, envelope: str, payload: str, id_paths: list[str],
     keys_of = F.transform(F.coalesce(F.when(is_object, F.json_object_keys(p)), F.array().cast("array<string>")), lambda k: F.struct(F.lit("key").alias("measure"), k.alias("value")))
     each = records.select(F.explode(F.concat(F.array(*rows), keys_of)).alias("r")).where(F.col("r.value").isNotNull())
     counts = each.groupBy("r.measure", "r.value").agg(F.count(F.lit(1)).alias("records"))
+    if keys is None:
+        return counts
     top = F.row_number().over(Window.partitionBy("measure").orderBy(F.col("records").desc(), "value"))  # cut before the shuffle, as only the first count
     return counts.withColumn("__rn", top).where(F.col("__rn") <= keys).drop("__rn")
 

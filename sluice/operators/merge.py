@@ -17,7 +17,7 @@ def unmatched(run: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of a run without a match in the target: a left anti join on the keys.
 
     Of the target only keys are read. Which side is small is left to the optimizer: only the target may be broadcast in an
-    anti join, and prune_to keeps that side near the size of the run.
+    anti join, and the bronze table keeps that side near the size of the run.
     """
     if not keys:
         raise IngestError("a merge needs a key")
@@ -44,7 +44,7 @@ def partition_value(spec: str, watermark: str, types: dict[str, str] | None = No
     c = F.col(f"`{column}`")
     value = {
         "identity": lambda: c, "year": lambda: (F.year(c) - 1970).cast("int"), "month": lambda: ((F.year(c) - 1970) * 12 + F.month(c) - 1).cast("int"), "day": lambda: F.to_date(c),
-        "hour": lambda: F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(3_600_000_000)).cast("int"),
+        "hour": lambda: ((F.unix_micros(c.cast("timestamp")) - F.pmod(F.unix_micros(c.cast("timestamp")), F.lit(3_600_000_000))) / F.lit(3_600_000_000)).cast("int"),
         "bucket": lambda: F.pmod(F.hash(c), F.lit(width)), "truncate": lambda: F.substring(c, 1, width) if (types or {}).get(column.lower(), "string") == "string" else truncate_number(c, width),
     }[name]()
     return f"__p_{name}_{column.lower()}", value
@@ -53,14 +53,3 @@ def partition_value(spec: str, watermark: str, types: dict[str, str] | None = No
 def truncate_number(c: Column, width: int) -> Column:
     """The largest multiple of ``width`` that isn't above the number."""
     return c - F.pmod(c, F.lit(width))
-
-
-def prune_to(target: DataFrame, run: DataFrame, column: str) -> DataFrame:
-    """The target's rows in the run's range of a partition column, asked for as literals so that the scan skips the rest.
-
-    One small aggregate over the run; a run without rows prunes all.
-    """
-    low, high = run.agg(F.min(column), F.max(column)).first()
-    if low is None:
-        return target.limit(0)
-    return target.where(F.col(column).between(F.lit(low), F.lit(high)))

@@ -14,20 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.control.config import Discovery
-from sluice.control.files import LocalFiles
+from sluice.control.files import files_for
 from sluice.control.manifest import sweep_empty
 from sluice.operators import diagnostics
+from sluice.sources.json_files import list_objects
 
 
-def folder_objects(spark: SparkSession, files, root: str, d: Discovery, first: datetime, last: datetime) -> DataFrame:
-    """(key, folder_hour, modified) of the matching files in the hour folders between two days. The folder's hour is the last
+def folder_objects(spark: SparkSession, root: str, d: Discovery, first: datetime, last: datetime) -> DataFrame:
+    """(key, folder_hour, modified) of the matching objects in the hour folders between two times, listed by tasks. The folder's hour is the last
     instant its name stands for, so an hour that a zone shows twice ends when it ends the second time."""
     zone, at, hours = ZoneInfo(d.timezone), first, {}
     while at <= last:
         hours[at.astimezone(zone).strftime(d.path_format)] = at
         at += timedelta(hours=1)
-    rows = [(f.path, hour.replace(tzinfo=None), f.modified.replace(tzinfo=None)) for name, hour in hours.items() for f in files.walk(f"{root}/{name}") if f.path.endswith(d.suffix)]
-    return spark.createDataFrame(rows, "key string, folder_hour timestamp_ntz, modified timestamp_ntz")
+    of = spark.createDataFrame([(name, hour.replace(tzinfo=None)) for name, hour in hours.items()], "folder string, folder_hour timestamp_ntz")
+    depth = d.path_format.count("/") + 1
+    found = list_objects(spark, root, [(name, True) for name in hours], d.suffix)
+    found = found.withColumn("folder", F.substring_index("key", "/", depth)).withColumn("modified", F.to_utc_timestamp("modified", F.current_timezone()).cast("timestamp_ntz"))
+    return found.join(of, "folder").select("key", "folder_hour", "modified")
 
 
 def contract(objects: DataFrame, start_s: int, interval_s: int = 900, lookback_s: int = 900, safety_s: int = 120, show: int = 25) -> dict:
@@ -66,20 +70,25 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--root", required=True)
     s.add_argument("--delete", action="store_true")
     a = p.parse_args(argv)
+    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.tool == "sweep":
-        for folder in sweep_empty(LocalFiles(), a.root, a.delete):
+        for folder in sweep_empty(files_for(spark, a.root), a.root, a.delete):
             print("deleted" if a.delete else "empty", folder)
         return 0
-    spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.tool == "census":
         found = diagnostics.census(spark.read.parquet(a.landed), "envelope_json", "payload_json", a.id_path, a.version_path, keys=a.show_keys)
         for r in found.orderBy("measure", F.col("records").desc(), "value").collect():
             print(f"{r['measure']:14} {r['records']:9} {r['value']}")
+        block, doubts = diagnostics.document_settings(found)
+        print("document:")
+        for k, v in block.items():
+            print(f"  {k}: {v}" if not isinstance(v, dict) else "\n".join([f"  {k}:", *(f"    {x}: {y}" for x, y in v.items())]))
         print("envelope_fields:", diagnostics.feed_settings(diagnostics.key_census(spark.read.parquet(a.landed), "envelope_json")))
+        print("one document block describes this feed" if not doubts else "no one document block describes this feed: " + "; ".join(doubts))
         return 0
     last = datetime.now(UTC)
     first = (last - timedelta(days=a.days)).replace(hour=0, minute=0, second=0, microsecond=0)
-    objects = folder_objects(spark, LocalFiles(), a.root, Discovery(path_format=a.path_format, timezone=a.tz, suffix=a.suffix), first, last)
+    objects = folder_objects(spark, a.root, Discovery(path_format=a.path_format, timezone=a.tz, suffix=a.suffix), first, last)
     low = objects.agg(F.min("modified")).first()[0]
     if low is None:
         print("no objects")

@@ -5,14 +5,13 @@ import json
 import subprocess
 import sys
 import zlib
-from decimal import Decimal
 
 import pytest
 
 from sluice.control import config
 from sluice.control.config import MIB, Document, Payload
 from sluice.control.errors import ConfigurationError, DecodeError
-from sluice.functions import decode
+from sluice.functions import decode, jsontext
 
 
 def relational(**extra):
@@ -45,7 +44,7 @@ def test_all_problems_at_once():
     data["landing"]["bucket"] = "b"
     data["tables"].append({"name": "orders", "object": "order_fact", "primary_key": "ID", "checkpoint": {"type": "cursor", "column": "A", "lookback_minutes": -1}})
     said = problems(data)
-    for part in ("`state` is now `landing.checkpoint_table`", "`colour`", "`landing.bucket` is now `landing.location`", "`bronze.database`", "month()", "table_prefix", "cursor", "lookback_minutes", "2 tables have the name", "2 tables have the source object"):
+    for part in ("`state`", "`colour`", "`landing.bucket`", "`bronze.database`", "month()", "table_prefix", "cursor", "lookback_minutes", "2 tables have the name", "2 tables have the source object"):
         assert part in said, part
 
 
@@ -84,12 +83,12 @@ RECORDS = Document("none", "auto", "auto")
 
 
 def records(data, d=RECORDS):
-    return [(e, t) for e, _, t in decode.decode_records(data, d)]
+    return [(r.outer, r.payload) for r in decode.compile_feed(d)(data)]
 
 
 def test_framing():
     gz = gzip.compress
-    assert records(gz(b'{"a":1}')) == [({"a": 1}, '{"a":1}')]
+    assert records(gz(b'{"a":1}')) == [({"a": "1"}, '{"a":1}')]
     assert len(records(zlib.compress(b'[{"a":1},{"a":2}]'))) == 2 and records(gz(b"[]")) == []
     assert len(records(gz('{"a":"x y"}\r\n\n{"a":2}\n'.encode()))) == 2
     for bad in (b"", b"  \n", b"[1]", b'{"a":1,"a":2}', b'{"a":NaN}', b'{"a":1} x', b"\xff", b'{"a":1}\n[]'):
@@ -106,8 +105,19 @@ def test_streams_are_bounded_and_whole():
         with pytest.raises(DecodeError):
             records(bad)
     with pytest.raises(DecodeError, match="more than"):
-        decode.inflate(gzip.compress(b"0" * 10_000), "gzip", 9_999, "it")
-    assert decode.inflate(b"abc", "none", 3, "it") == b"abc"
+        decode.unpacker("gzip", 9_999, "it")(gzip.compress(b"0" * 10_000))
+    noise = __import__("random").Random(1).randbytes(300_000)  # more than a chunk, in and out
+    for pack, kinds in ((gzip.compress, ("gzip", "auto")), (zlib.compress, ("zlib", "auto"))):
+        for kind in kinds:
+            assert decode.unpacker(kind, 300_000, "it")(pack(noise)) == noise and decode.unpacker(kind, 10**7, "it")(pack(b"0" * 10**7)) == b"0" * 10**7
+            for bad in (pack(noise)[:-1], pack(noise) + b"x", pack(noise) + pack(b"")):
+                with pytest.raises(DecodeError):
+                    decode.unpacker(kind, 300_000, "it")(bad)
+            with pytest.raises(DecodeError, match="more than"):
+                decode.unpacker(kind, 299_999, "it")(pack(noise))
+    with pytest.raises(DecodeError, match="larger"):
+        decode.unpacker("none", 2, "it")(b"abc")
+    assert decode.unpacker("none", 3, "it")(b"abc") == b"abc"
 
 
 def test_payloads():
@@ -131,13 +141,35 @@ def test_payloads():
 
 
 def test_text_and_identity():
-    assert [decode.as_text(v) for v in (None, "x", True, 7, Decimal("1.10"), {"a": [Decimal("2.50")]})] == [None, "x", "true", "7", "1.10", '{"a":[2.50]}']
-    assert decode.at_path({"a": {"b": 1}}, "a.b") == 1 and decode.at_path({"a": 2}, "a.b") is None
+    value = jsontext.read('[null, "x", true, 7, 1.10, {"a": [2.50, "ü"]}]')
+    assert [decode.cell(v) for v in value] == [None, "x", "true", "7", "1.10", '{"a":[2.50,"\\u00fc"]}']
+    assert decode.getter("a.b")({"a": {"b": 1}}) == 1 and decode.getter("a.b")({"a": 2}) is None and decode.getter("a")({}) is None
     import hashlib
 
     assert decode.record_id("b", "ü", '"e"', 0) == hashlib.sha256(rb'["b","\u00fc","\"e\"",0]').hexdigest()
 
 
+def test_addresses():
+    assert config.split_uri("s3://lake/a/b/") == ("s3", "lake", "a/b") and config.split_uri(" gs://b ") == ("gs", "b", "")
+    for bad in ("", "/mnt/x", "s3:///x", "s3://", "lake/x", None):
+        with pytest.raises(ConfigurationError):
+            config.split_uri(bad)
+    assert "landing.location" in problems(relational(landing={"location": "s3:///x", "checkpoint_table": "/s"}))
+
+
+def test_secrets(tmp_path):
+    from sluice.control import secrets
+    from sluice.control.files import LocalFiles
+
+    (tmp_path / "db.json").write_text('{"url": "jdbc:x"}')
+    (tmp_path / "bad.json").write_text("[]")
+    fetch = secrets.from_folder(LocalFiles(), str(tmp_path))
+    assert fetch("db") == {"url": "jdbc:x"} and fetch(None) == {}
+    for bad in ("none", "bad", "../db", "a/b"):
+        with pytest.raises(ConfigurationError):
+            fetch(bad)
+
+
 def test_control_needs_no_spark():
     code = "import sys; sys.modules['pyspark'] = None; import sluice.control.config, sluice.control.manifest, sluice.control.state, sluice.functions.decode; assert 'pandas' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=__file__.rsplit("/tests/", 1)[0])

@@ -5,6 +5,7 @@ import json
 import os
 from base64 import b64encode
 from datetime import UTC, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -279,14 +280,102 @@ def test_corrupt_object_names_itself_only(spark, tmp_path):
         s.extract(None, s.current_checkpoint(None))
 
 
+def test_an_object_that_changes_after_its_listing_is_refused(spark, tmp_path):
+    h = datetime(2026, 1, 1, 5, 30, tzinfo=UTC)
+    put(tmp_path, "orders/2026/01/01/05/a.json.gz", [envelope(1)], h)
+    t, s = feed(spark, tmp_path, h + timedelta(minutes=10))
+    rows = s.extract(None, s.current_checkpoint(None))
+    assert rows.count() == 1
+    put(tmp_path, "orders/2026/01/01/05/a.json.gz", [envelope(1), envelope(2)], h + timedelta(minutes=1))
+    with pytest.raises(Exception, match="changed since"):
+        rows.collect()
+
+
+SPECS = [("truncate(3, region)",), ("day({checkpoint_column})",), ("truncate(10, id)",), ("bucket(4, id)", "month(at)"), ("note",), ("amount",), ()]
+
+
+@pytest.mark.parametrize("spec", SPECS)
+def test_merging_again_adds_nothing_under_any_spec(spark, tmp_path, spec):
+    schema = "id decimal(38,0), at timestamp_ntz, region string, note string, amount double"
+    day = lambda d: datetime(2026, 1, d)
+    first = spark.createDataFrame([(Decimal(k * 1000), day(k), None if k == 2 else "abcd", "n", float("nan") if k == 3 else 1.0) for k in (2, 3, 10)], schema)
+    second = spark.createDataFrame([(Decimal(2000), day(2), "other", "changed", 2.0), (Decimal(10_000), day(10), None, None, None), (Decimal(5000), day(5), None, "n", None)], schema)
+    t = bronze.BronzeTable(spark, FILES, str(tmp_path), "t", "at")
+    t.ensure([(f.name, "timestamp" if f.name == "at" else f.dataType.simpleString()) for f in first.schema], spec)
+    assert t.merge(first, "r1", ["id"]) == 3
+    assert (t.merge(second, "r2", ["id"]), t.merge(second, "r3", ["id"]), t.merge(first, "r4", ["id"]), t.merge(second.where("id = 5000"), "r5", ["id"])) == (1, 0, 0, 0)
+    assert sorted(int(r["id"]) for r in t.read().collect()) == [2000, 3000, 5000, 10_000]
+    nulls = spark.createDataFrame([(None, day(1), None, None, None)], schema)
+    assert t.merge(nulls, "r6", ["id"]) == t.merge(nulls, "r7", ["id"]) == 1  # a null in the key matches nothing
+
+
+def test_pruning_reads_only_runs_in_range(spark, tmp_path):
+    t = bronze.BronzeTable(spark, FILES, str(tmp_path), "t", "at")
+    t.ensure([("id", "bigint"), ("at", "timestamp"), ("note", "string")], ("day(at)",))
+    for k in range(1, 4):
+        assert t.merge(frame(spark, [(k, f"2026-01-0{k}T05:00:00", "x")]), f"r{k}", ["id"]) == 1
+    ranges = [e["range"] for e in t.snapshot().entries]
+    assert [bronze._meets(r, ["date", "2026-01-02", "2026-01-02"]) for r in ranges] == [False, True, False]
+    assert bronze._meets(["number", "9", "10"], ["number", "10", "100"]) and not bronze._meets(["number", "5", "9"], ["number", "10", "100"]) and bronze._meets(None, ["text", "a", "b"])
+    assert any("__p_day_at=" in f.path for f in FILES.walk(str(tmp_path)))
+
+
+def test_snapshots_are_deltas(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze, "FULL", 4)
+    t = bronze.BronzeTable(spark, FILES, str(tmp_path), "t", "at")
+    t.ensure([("id", "bigint"), ("at", "timestamp"), ("note", "string")], ())
+    for k in range(1, 8):
+        t.merge(frame(spark, [(k, "2026-01-01T00:00:00", "x")]), f"r{k}", ["id"])
+    s = t.snapshot()
+    assert s.version == 8 and [e["run_id"] for e in s.entries] == [f"r{k}" for k in range(1, 8)] and t.read().count() == 7
+    assert len(json.loads(FILES.read(t._file(8)))["added"]) == 1 and len(json.loads(FILES.read(t._file(5)))["entries"]) == 4
+    t.ensure([("id", "bigint"), ("at", "timestamp"), ("note", "string"), ("more", "int")], ())
+    assert t.snapshot().version == 9 and len(t.snapshot().entries) == 7 and "more" in t.read().columns
+
+
+def test_hadoop_files(spark, tmp_path):
+    from sluice.control.files import HadoopFiles, files_for
+
+    f, root = HadoopFiles(spark), f"file://{tmp_path}/h"
+    assert f.read(f"{root}/a") is None and f.names(root) == [] and list(f.walk(root)) == []
+    assert f.create(f"{root}/x/a.json", "ü") and not f.create(f"{root}/x/a.json", "other") and f.read(f"{root}/x/a.json") == "ü" and f.exists(f"{root}/x/a.json")
+    assert f.create(f"{root}/b", "1") and f.names(root) == ["b", "x"] and [i.path.rsplit("/h/", 1)[1] for i in f.walk(root)] == ["b", "x/a.json"]
+    f.delete(f"{root}/x/a.json")
+    assert f.names(root) == ["b"]
+    assert type(files_for(spark, "/a", None)) is LocalFiles and type(files_for(spark, "/a", "s3a://b/c")) is HadoopFiles
+
+
+def test_jobs_over_addresses_keep_the_catalog(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        frame(spark, ROWS).write.parquet(f"{tmp_path}/orders")
+        t = Table("orders", f"{tmp_path}/orders", ("id",), "at")
+        at = f"file://{tmp_path}"
+        c = Config("acme", "parquet", (t,), f"{at}/landing", f"{at}/state", bronze=Bronze("lake", f"{at}/bronze", f"{at}/ledger", ("day(at)",)))
+        assert [r.status for r in jobs.run_job(spark, c)] == ["SUCCESS"]
+        assert [r.status for r in jobs.run_bronze_job(spark, c)] == ["MERGED"] and spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+        assert spark.table("lake.acme_parquet_orders_landing").count() == 3
+        from sluice.control.catalog import FileCatalog
+        from sluice.control.files import HadoopFiles
+
+        e = FileCatalog(HadoopFiles(spark), f"{at}/bronze/_catalog").get("acme_parquet_orders")
+        assert dict(e.columns)["id"] == "bigint" and e.metadata_location.endswith("snapshots/v2.json")
+        os.remove(e.metadata_location.removeprefix("file:"))
+        with pytest.raises(IngestError, match="gone"):
+            jobs.run_bronze_job(spark, c)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.sql("DROP DATABASE IF EXISTS lake CASCADE")
+
+
 def test_windows_and_caps(spark, tmp_path):
     h = datetime(2026, 1, 1, 5, tzinfo=UTC)
     for k, m in enumerate((h, h + timedelta(minutes=1), h + timedelta(minutes=2))):
         put(tmp_path, f"orders/2026/01/01/05/{k}.json.gz", [envelope(k)], m)
     t, s = feed(spark, tmp_path, h)
     at = lambda m: WatermarkCheckpoint("_s3_last_modified", stamp(h + timedelta(minutes=m)))
-    assert [os.path.basename(f.path)[0] for f in s.objects(at(0), at(1))] == ["1"]
-    assert len(s.objects(None, at(2))) == 3 and s.objects(at(2), at(1)) == []
+    assert [os.path.basename(f["path"])[0] for f in s.objects(at(0), at(1)).collect()] == ["1"]
+    assert s.objects(None, at(2)).count() == 3 and s.objects(at(2), at(1)).collect() == []
     t, s = feed(spark, tmp_path, datetime(2026, 1, 3, tzinfo=UTC), max_window_hours=24)
     c, seen = None, []
     while True:
@@ -296,7 +385,8 @@ def test_windows_and_caps(spark, tmp_path):
             break
     assert len(seen) == 2 and seen[0] == "2026-01-02 00:00:00.000000" and seen[1] == "2026-01-02 23:58:00.000000"
     t, s = feed(spark, tmp_path, h + timedelta(hours=1), type="full_prefix")
-    assert len(s.objects(None, at(5))) == 3
+    put(tmp_path, "orders/top.json.gz", [envelope(9)], h)
+    assert sorted(r["key"] for r in s.objects(None, at(5)).collect()) == [f"orders/2026/01/01/05/{k}.json.gz" for k in range(3)] + ["orders/top.json.gz"]
 
 
 def test_hour_folders_over_daylight_saving():
@@ -325,7 +415,7 @@ def test_registry_and_transforms():
 
 
 def test_diagnostics(spark):
-    assert [diagnostics.snake_case(n) for n in ("businessDate", "HTTPCode", "a-b", "9x", "")] == ["business_date", "http_code", "a_b", "_9x", "_"]
+    assert [diagnostics.snake_case(n) for n in ("businessDate", "HTTPCode", "a-b", "9x", "")] == ["business_date", "h_t_t_p_code", "a_b", "f_9x", "f_"]
     import zlib
 
     df = spark.createDataFrame([(gzip.compress(b"x"),), (zlib.compress(b"x"),), (b"{}",), (b"",)], "b binary")
@@ -371,7 +461,7 @@ def test_contract_and_census(spark, tmp_path):
     h = datetime(2026, 1, 1, 5, tzinfo=UTC)
     for k, m in enumerate((h + timedelta(minutes=5), h + timedelta(minutes=70), h + timedelta(hours=9))):
         put(tmp_path, f"2026/01/01/05/{k}.json.gz", [envelope(k)], m)
-    objects = tools.folder_objects(spark, FILES, str(tmp_path), Discovery(), datetime(2026, 1, 1, tzinfo=UTC), datetime(2026, 1, 2, tzinfo=UTC))
+    objects = tools.folder_objects(spark, str(tmp_path), Discovery(), datetime(2026, 1, 1, tzinfo=UTC), datetime(2026, 1, 2, tzinfo=UTC))
     r = tools.contract(objects, int(h.timestamp()))
     assert (r["found"], r["missed"], r["holds"], r["early"]) == (2, 1, False, 0) and r["lateness"] == {"in-hour": 1, "<=15m late": 1, "<=24h late": 1}
     assert tools.contract(objects, int(h.timestamp()), lookback_s=r["lookback_minutes_needed"] * 60)["holds"]
@@ -379,6 +469,10 @@ def test_contract_and_census(spark, tmp_path):
     got = {(r["measure"], r["value"]): r["records"] for r in diagnostics.census(df, "e", "p", ["$.order.id"], ["$.version"]).collect()}
     assert got == {("carrier", "data_base64"): 1, ("carrier", "data"): 1, ("carrier", "neither"): 1, ("codec", "gzip"): 1, ("type", "object"): 2, ("type", "none"): 1, ("wrapper", "$.order"): 2, ("key", "order"): 2, ("id_path", "$.order.id"): 2,
                    ("id_type", "$.order.id string"): 1, ("id_type", "$.order.id bigint"): 1, ("id_match", "$.order.id =="): 1, ("id_match", "$.order.id !="): 1}
+    census = diagnostics.census(df.limit(1), "e", "p", ["$.order.id"], [])
+    block, doubts = diagnostics.document_settings(census)
+    assert block == {"preset": "cloudevents", "compression": "gzip", "records": "auto", "payload": {"path": "data_base64", "encoding": "base64", "compression": "gzip", "format": "json"}} and doubts == []
+    assert len(diagnostics.document_settings(diagnostics.census(df, "e", "p", [], []))[1]) == 2
     objs = spark.createDataFrame([(k // 5, k) for k in range(20)], "folder int, m int")
     assert sorted(r["m"] for r in diagnostics.sample_newest(objs, "folder", "m", 2, 4).collect()) == [13, 14, 18, 19]
 
