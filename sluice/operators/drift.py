@@ -8,6 +8,8 @@ how the two differ, and ``ingest_runs`` ingests their rows under that target and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +87,39 @@ _CLOCK = r"\d{4}-\d\d-\d\d(?:[T ]\d\d:\d\d(?::\d\d(?:\.\d{1,6}0*)?)?)?"
 _LONG = r"[0-9.]{39,}|[0-9.]{17,}[eE]"
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, also inside lambdas, where nothing else keeps an expression from being repeated."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _decimal(number: Column, precision: Column, room: Column) -> Column:
+    """A number's text as text with ``room`` digits behind the point; null where its digits don't fit."""
+    zero = F.lit("0")
+
+    def cut(p: Column) -> Column:  # sign, digits before the point, digits behind it, exponent
+        digits = F.concat(p[1], p[2])
+        scale = F.length(p[2]) - F.coalesce(F.nullif(p[3], F.lit("")).try_cast("int"), F.lit(0))
+        return _let(F.struct(p[0].alias("sign"), F.ltrim(digits, zero).alias("digits"), scale.alias("scale")), trimmed)
+
+    def trimmed(n: Column) -> Column:
+        return _let(F.struct(n["sign"].alias("sign"), F.rtrim(n["digits"], zero).alias("core"), (n["scale"] - F.length(n["digits"])).alias("scale")), fitted)
+
+    def fitted(n: Column) -> Column:
+        size = F.length(n["core"])
+        scale = F.when(n["core"] == "", 0).otherwise(n["scale"] + size)  # digits behind the point, without zeros at the end
+        return _let(F.struct(n["sign"].alias("sign"), n["core"].alias("core"), scale.alias("scale")), lambda x: F.when((x["scale"] <= room) & (F.length(x["core"]) - x["scale"] <= precision - room), _let(filled(x), lambda t: spelled(x, t))))
+
+    def filled(x: Column) -> Column:
+        return F.lpad(F.concat(x["core"], F.repeat(zero, room - x["scale"])), F.greatest(room + 1, F.length(x["core"]) - x["scale"] + room), "0")
+
+    def spelled(x: Column, t: Column) -> Column:
+        point = F.length(t) - room
+        behind = F.when(room > 0, F.concat(F.lit("."), F.substring(t, point + 1, room))).otherwise("")
+        return F.concat(F.when((x["sign"] == "-") & (x["core"] != ""), "-").otherwise(""), F.substring(t, F.lit(1), point), behind)
+
+    return _let(F.split(F.regexp_replace(number, _NUMBER, "$1,$2,$3,$4"), ","), cut)
+
+
 def held(value: Column, kind: Column | str) -> Column:
     """A value's text as text that a cast to the catalog type ``kind`` takes whole; null where that type can't hold exactly it.
 
@@ -94,19 +129,7 @@ def held(value: Column, kind: Column | str) -> Column:
     """
     kind = F.lit(kind) if isinstance(kind, str) else kind
     v = F.trim(value)
-    part = lambda i: F.regexp_extract(v, _NUMBER, i)
-    zero, none = F.lit("0"), F.lit("")
-    digits = F.ltrim(F.concat(part(2), part(3)), zero)
-    core = F.rtrim(digits, zero)
-    exponent = F.coalesce(F.nullif(part(4), none).try_cast("int"), F.lit(0))
-    scale = F.when(core == "", 0).otherwise(F.length(part(3)) - exponent - F.length(digits) + F.length(core))  # digits behind the point, less zeros at the end
-    room = F.regexp_extract(kind, _DECIMAL, 2).try_cast("int")
-    whole = F.regexp_extract(kind, _DECIMAL, 1).try_cast("int") - room
-    fits = v.rlike(_NUMBER) & (scale <= room) & (F.length(core) - scale <= whole)
-    filled = F.lpad(F.concat(core, F.repeat(zero, room - scale)), F.greatest(room + 1, F.length(core) - scale + room), "0")
-    point = F.length(filled) - room
-    number = F.concat(F.when((part(1) == "-") & (core != ""), "-").otherwise(""), F.substring(filled, F.lit(1), point), F.when(room > 0, F.concat(F.lit("."), F.substring(filled, point + 1, room))).otherwise(""))
-    out = F.when(kind == "string", value).when(kind.rlike(_DECIMAL), F.when(fits, number))
+    out = F.when(kind == "string", value).when(kind.rlike(_DECIMAL), F.when(v.rlike(_NUMBER), _decimal(v, F.regexp_extract(kind, _DECIMAL, 1).try_cast("int"), F.regexp_extract(kind, _DECIMAL, 2).try_cast("int"))))
     for t in ("bigint", "int", "smallint", "tinyint"):
         out = out.when(kind == t, F.when(v.rlike(r"^[+-]?\d+$"), v.try_cast(t).cast("string")))
     for t in ("double", "float"):
@@ -118,14 +141,16 @@ def held(value: Column, kind: Column | str) -> Column:
     return out.when(kind == "binary", value)
 
 
-def _entries(json: Column, exact: Column) -> Column:
-    """The members of a JSON object in order of their names: array of (name, text, value variant, last); null where the text is
-    no JSON object or has a member twice. last: no later name is the same in lower case. Where not ``exact``, the text of numbers
-    that may have lost digits is null."""
-    known = F.map_entries(F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>"))
-    text = lambda v: F.when(exact | (F.schema_of_variant(v) != "DOUBLE"), v.cast("string"))
+def _taken_apart(df: DataFrame, json: Column, exact: Column, into: str = "__raw") -> DataFrame:
+    """``df`` with the members of a JSON object in order of their names: array of (low, name, text, value variant, last); null where the
+    text is no JSON object or has a member twice. low: the name in lower case. last: no later name is the same there. Where not
+    ``exact``, the text of numbers that may have lost digits is null. The text is parsed once a row, as a column of its own."""
+    known = F.col("__known")
+    text = lambda v: F.when(F.col("__exact") | (F.schema_of_variant(v) != "DOUBLE"), v.cast("string"))
     last = lambda e, i: ~F.exists(F.slice(known, i + 2, F.size(known)), lambda x: F.lower(x["key"]) == F.lower(e["key"]))
-    return F.transform(known, lambda e, i: F.struct(F.lower(e["key"]).alias("low"), e["key"].alias("name"), text(e["value"]).alias("text"), e["value"].alias("value"), last(e, i).alias("last")))
+    entries = F.transform(known, lambda e, i: F.struct(F.lower(e["key"]).alias("low"), e["key"].alias("name"), text(e["value"]).alias("text"), e["value"].alias("value"), last(e, i).alias("last")))
+    parsed = df.select("*", F.map_entries(F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>")).alias("__known"), exact.alias("__exact"))
+    return parsed.select(*[F.col(f"`{c}`") for c in df.columns], entries.alias(into))
 
 
 def _field(entries: str, name: str) -> Column:
@@ -166,9 +191,10 @@ def ingest(records: DataFrame, record: str, target: dict[str, str], rescue: str
     own = {c.lower() for c in (*target, rescue, record)}
     keep = [c for c in records.columns if c.lower() not in own]
     text = F.col(f"`{record}`")
-    x = records.select(*[F.col(f"`{c}`") for c in keep], text.alias("__text"), _entries(text, ~text.rlike(_LONG)).alias("__raw"))
+    x = records.select(*[F.col(f"`{c}`") for c in keep], text.alias("__text"), text.rlike(_LONG).alias("__long"))
+    x = _taken_apart(x, F.col("__text"), ~F.col("__long"))
     typed = {c: held(_field("__raw", c), t).cast(t) for c, t in target.items()}
-    whole = F.when(F.col("__text").isNotNull() & (F.col("__raw").isNull() | F.col("__text").rlike(_LONG)), _record(F.col("__text")))
+    whole = F.when(F.col("__text").isNotNull() & (F.col("__raw").isNull() | F.col("__long")), _record(F.col("__text")))
     return x.select(*[F.col(f"`{c}`") for c in keep], *[v.alias(c) for c, v in typed.items()], _json(_pairs(_lost("__raw", target)), whole).alias(rescue))
 
 
@@ -187,7 +213,7 @@ def replay(ingested: DataFrame, target: dict[str, str], rescue: str = "_rescued"
     that its column's new type can't hold exactly goes to the rescue column."""
     have = {c.lower(): c for c in ingested.columns if c != rescue}
     low = {t.lower() for t in target}
-    x = ingested.withColumn("__raw", _entries(F.col(f"`{rescue}`"), F.lit(True)))
+    x = _taken_apart(ingested, F.col(f"`{rescue}`"), F.lit(True))
     typed, back = {}, []
     for c, t in target.items():
         new = held(_field("__raw", c), t).cast(t)
@@ -220,10 +246,11 @@ def ingest_runs(samples: DataFrame, enforced: DataFrame, record: str = "record_j
     src = ["source_system", "source_key"]
     last = enforced.groupBy(*src).agg(F.max_by("columns", F.struct("at", "run_id")).alias("__last"))
     of = enforced.select("run_id", *src, F.coalesce("target", "columns").alias("__first")).join(last, src)
-    text = F.col(f"`{record}`")
-    whole = F.when(text.isNotNull() & (_entries(text, F.lit(True)).isNull() | text.rlike(_LONG)), F.transform(_record(text), lambda e: F.struct(F.lit("_record").alias("low"), e["name"].alias("name"), text.alias("text"), e["value"].alias("value"), F.lit(True).alias("last"))))
+    text = F.col("__text")
+    taken = _taken_apart(samples.select(*keys, F.col(f"`{record}`").alias("__text"), F.col(f"`{record}`").rlike(_LONG).alias("__long")), text, ~F.col("__long"))
+    whole = F.when(text.isNotNull() & (F.col("__raw").isNull() | F.col("__long")), F.transform(_record(text), lambda e: F.struct(F.lit("_record").alias("low"), e["name"].alias("name"), text.alias("text"), e["value"].alias("value"), F.lit(True).alias("last"))))
     none = F.array().cast("array<struct<low:string,name:string,text:string,value:variant,last:boolean>>")
-    fields = samples.select(*keys, F.inline(F.concat(F.coalesce(_entries(text, ~text.rlike(_LONG)), none), F.coalesce(whole, none)))).where(F.col("text").isNotNull())
+    fields = taken.select(*keys, F.inline(F.concat(F.coalesce("__raw", none), F.coalesce(whole, none)))).where(F.col("text").isNotNull())
     x = fields.withColumnRenamed("value", "__json").join(of, "run_id", "left").select("*", F.col("low").alias("column_name"), F.try_element_at("__first", F.col("low")).alias("arrival_type"), F.try_element_at("__last", F.col("low")).alias("catalog_type"))
     x = x.withColumn("__then", held(F.col("text"), F.col("arrival_type"))).withColumn("value", F.when(F.col("last"), held(F.col("text"), F.col("catalog_type"))))
     kind = (F.when(~F.col("last"), "repeated").when(F.col("value").isNotNull() & F.col("__then").isNotNull(), "typed").when(F.col("value").isNotNull(), "replayed")

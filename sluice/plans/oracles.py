@@ -161,7 +161,7 @@ SQL["p4_changes"] = SQL["p4_found"].replace("pairs as (select a.source_system, a
 )
 _EXACT = lambda t: f"""case when {t} = 'string' then v when {t} in ('bigint', 'int') then case when regexp_full_match(v, '[+-]?\\d+') then cast(case when {t} = 'int' then cast(try_cast(v as int) as bigint) else try_cast(v as bigint) end as varchar) end
   when {t} = 'decimal(12,2)' then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d{{0,2}}0*)?') then cast(try_cast(v as decimal(12, 2)) as varchar) end when {t} = 'decimal(38,3)' then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d{{0,3}}0*)?') then cast(try_cast(v as decimal(38, 3)) as varchar) end
-  when {t} = 'double' then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d*)?') then v end when {t} = 'boolean' then case when lower(v) in ('true', 'false') then lower(v) end when {t} = 'date' then case when regexp_full_match(v, '\\d{{4}}-\\d\\d-\\d\\d') and try_cast(v as date) is not null then v end
+  when {t} = 'decimal(38,0)' then case when regexp_full_match(v, '[+-]?\\d+(\\.0*)?') then cast(try_cast(v as decimal(38, 0)) as varchar) end when {t} in ('double', 'float') then case when regexp_full_match(v, '[+-]?\\d+(\\.\\d*)?') then v end when {t} = 'boolean' then case when lower(v) in ('true', 'false') then lower(v) end when {t} = 'date' then case when regexp_full_match(v, '\\d{{4}}-\\d\\d-\\d\\d') and try_cast(v as date) is not null then v end
   when {t} = 'timestamp' then case when regexp_full_match(v, '\\d{{4}}-\\d\\d-\\d\\d([T ]\\d\\d:\\d\\d(:\\d\\d(\\.\\d{{1,6}})?)?)?') and try_cast(v as timestamp) is not null then v end end"""
 _INGESTED = SQL["p4_found"][: SQL["p4_found"].index(",\nnow as")] + f""",
 meets as (select c.source_system, c.source, c.run_id, coalesce(p.m, c.n) as first_n, max(c.n) over (partition by c.source_system, c.source) as last_n from numbered c left join pairs p on p.source_system = c.source_system and p.source = c.source and p.n = c.n),
@@ -177,3 +177,9 @@ SQL["p3_joined"] = f"""
 with found as ({SQL["p3_found"]}), files as (select distinct l.file_uri, first_landed_no as a, last_landed_no as z from landing_files l join found using (file_uri) where first_landed_no is not null)
 select landed_no, sha256(payload_json) as checksum from feed_landing f join files on landed_no between a and z
 """
+SQL["p4_envelopes"] = r"""
+with e as (select landed_no, envelope_json as j, envelope_json ->> '$.type' as type, trim(envelope_json ->> '$.time') as t, envelope_json ->> '$.businessdate' as b, envelope_json ->> '$.specversion' as s from feed_landing where envelope_json is not null),
+held as (select *, case when regexp_full_match(t, '\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d{1,6}0*)?)?)?') then try_cast(t as timestamp) end as ts, case when regexp_full_match(b, '\d{4}-\d\d-\d\d') then try_cast(b as date) end as bd, case when regexp_full_match(s, '\d(\.\d0*)?') then cast(s as decimal(2, 1)) end as sv from e)
+select landed_no, type, case when ts is not null then regexp_replace(regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '\.$', '') end as time, cast(bd as varchar) as businessdate, cast(sv as varchar) as specversion,
+  (select string_agg(k, ',' order by k) from (select unnest(json_keys(j)) as k) where json_extract_string(j, '$."' || k || '"') is not null and not (k = 'type' or (k = 'time' and ts is not null) or (k = 'businessdate' and bd is not null) or (k = 'specversion' and sv is not null))) as left_over from held
+"""

@@ -175,6 +175,15 @@ def p4_table(spark: SparkSession, d: str) -> DataFrame:
     return ingested(spark, d).select("run_id", "row_no", "column_name", "catalog_type", "outcome", "value", F.col("rescued").isNotNull().alias("is_rescued"))
 
 
+def p4_envelopes(spark: SparkSession, d: str) -> DataFrame:
+    """The feed's envelopes ingested under a narrow target, two more fields promoted, and what was rescued replayed into them."""
+    narrow = {"type": "string", "time": "timestamp_ntz"}
+    taken = drift.ingest(table(spark, d, "feed_landing").select("landed_no", "envelope_json"), "envelope_json", narrow)
+    wide = drift.replay(taken, drift.promote(narrow, {"businessdate": "date", "specversion": "decimal(2,1)"}))
+    left = F.array_join(F.array_sort(F.json_object_keys("_rescued")), ",")
+    return wide.select("landed_no", "type", F.col("time").cast("string").alias("time"), F.col("businessdate").cast("string").alias("businessdate"), F.col("specversion").cast("string").alias("specversion"), left.alias("left_over"))
+
+
 # --- 5 and 6 late and repeated messages ------------------------------------------------------------------------------
 
 
@@ -226,4 +235,4 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL = oracles.SQL
-QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p5_found, p5_changes, p5_totals, p6_found, p6_once)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p4_envelopes, p5_found, p5_changes, p5_totals, p6_found, p6_once)}

@@ -9,7 +9,7 @@ from zoneinfo import ZoneInfo
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.control.config import CLOUDEVENTS, Config, Discovery, Document, Table
@@ -49,6 +49,21 @@ def hour_folders(d: Discovery, first: datetime, last: datetime) -> list[str]:
     return list(names)
 
 
+def row_bytes(cells: dict[str, str | None], what: str) -> int:
+    """The bytes of a row's text; DecodeError where a landed row may not have so many."""
+    size = sum(len(v.encode()) for v in cells.values() if v)
+    if size > ROW_BYTES:
+        raise DecodeError(f"{what} has more than {ROW_BYTES} bytes")
+    return size
+
+
+def record_ids(bucket: Column, key: Column, etag: Column, ordinal: Column) -> Column:
+    """decode.record_id for columns. An address beyond ASCII, which that function escapes, is an error here, never another identity."""
+    text = F.to_json(F.array(bucket, key, etag))
+    whole = F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(","), ordinal.cast("string"), F.lit("]"))
+    return F.when(F.octet_length(text) == F.length(text), F.sha2(whole, 256)).otherwise(F.raise_error(F.lit("an address beyond ASCII")))
+
+
 def landed_columns(table: Table, document: Document) -> list[str]:
     core = list(CLOUDEVENTS) if document.envelope == "cloudevents" else []
     envelope = ["envelope_json"] if document.envelope != "none" or document.payload.path is not None else []
@@ -112,13 +127,10 @@ def decode_files(objects: DataFrame, bucket: str, table: Table, document: Docume
                     etag = f'"{hashlib.md5(data).hexdigest()}"'
                     for record in records(data):
                         cells = {c: v if v is None or v.isascii() else v.encode("utf-8", "replace").decode() for c, v in fill(record, o["key"], etag).items()}  # half surrogate pairs become question marks
-                        row_bytes = sum(len(v.encode()) for v in cells.values() if v)
-                        if row_bytes > ROW_BYTES:
-                            raise DecodeError(f"record {record.ordinal} has more than {ROW_BYTES} bytes")
+                        size += row_bytes(cells, f"record {record.ordinal}")
                         cells |= {"_s3_record_index": record.ordinal, "_s3_last_modified": o["modified"]}
                         for c, values in held.items():
                             values.append(cells[c])
-                        size += row_bytes
                         if size >= document.batch_bytes:
                             yield pa.RecordBatch.from_pydict(held, schema)
                             held, size = {c: [] for c in columns}, 0
