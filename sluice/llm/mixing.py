@@ -1,15 +1,16 @@
 """Mixing sources to target weights by exact token counts: subset-sum budget fitting.
 
-Texts are counted by their exact length in tokens of a public tokenizer. Each source's budget is filled in whole uses of
-all its texts first, then evenly over all lengths, and what is left of the budget by a bounded-knapsack dynamic programme over
-the counts of texts of each length. Only then are texts chosen, by a seeded order inside each length.
+Texts are counted by their exact length in tokens of a public tokenizer. Each source's budget is filled evenly over all lengths but for
+a window at its end, which a bounded-knapsack dynamic programme over the counts of texts of each length fills; where it can't fill it
+exactly, what was taken evenly is given back, window by window, until no better sum exists. Only then are texts chosen, by a
+seeded order inside each length.
 """
 
 from __future__ import annotations
 
 import base64
-import functools
 import importlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,10 @@ from pyspark.sql import functions as F
 TOKENIZERS, RANKS = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 #: How words are split before byte pairs are joined; belongs to the vocabulary. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: The dynamic programme's budget in tokens, at most; all above it is filled evenly before.
-LEFTOVER = 1 << 16
+#: Tokens of the dynamic programme's first window; it doubles up to LARGEST before other ways are tried.
+WINDOW, LARGEST = 1 << 16, 1 << 22
 
 
-@functools.lru_cache(maxsize=2)
 def _encoding(path: str):
     tiktoken = importlib.import_module("tiktoken")
     with open(path, "rb") as f:
@@ -49,49 +49,107 @@ def count_tokens(documents: DataFrame, keys: list[str], text: str = "text", voca
     return x.mapInArrow(run, schema).toDF(*keys, "text_key", "n_tokens")
 
 
-def fit(lengths: np.ndarray, available: np.ndarray, budget: int, leftover: int = LEFTOVER) -> np.ndarray:
-    """How many uses of each length fill the budget exactly, or as far as can be, never beyond it.
+def fit(lengths: np.ndarray, available: np.ndarray, budget: int, window: int = WINDOW, largest: int = LARGEST) -> np.ndarray:
+    """How many uses of each length fill the budget exactly or, where no uses do, as far below it as can be.
 
-    lengths: distinct, positive. available: most uses of each. All but half of ``leftover`` tokens are taken evenly from all
-    lengths; the rest is solved exactly by dynamic programming over the remaining uses, each count split into powers of
-    two. A budget of at most half of ``leftover`` is solved exactly as a whole.
+    lengths: distinct, positive. available: most uses of each. The answer is exact for any budget, in one of these ways:
+
+    All but ``window`` tokens are taken evenly from all lengths and a programme over the window's sums finds the best use of what is
+    left. A sum that fills the budget can't be bettered. Otherwise the window doubles, which gives back what was taken, up to ``largest``.
+    If no sum has filled the budget by then and a length alone could supply it, the smallest sums of the other lengths by their remainder modulo
+    that length decide, whatever the budget (memory: that length). Failing that, the window doubles on until it holds the whole budget
+    (memory: 5 bytes a token of it); this takes lengths so few and large that no window of LARGEST tokens can be filled.
     """
-    total = int((lengths * available).sum())
+    n = len(lengths)
+    if not n or budget <= 0:
+        return np.zeros(n, np.int64)
+    unit = math.gcd(*map(int, lengths))
+    lengths, budget = lengths // unit, budget // unit
+    total = sum(int(a) * int(b) for a, b in zip(lengths, available))
     if budget >= total:
         return available.copy()
-    used = np.floor(available * (max(0, budget - leftover // 2) / total)).astype(np.int64)
-    rest = budget - int((lengths * used).sum())
-    # Longest first down to the size of the programme, which then has all lengths to close the gap with.
+    ample = [i for i in range(n) if int(lengths[i]) * int(available[i]) >= budget]
+    while True:
+        used, left = _programme(lengths, available, budget, window, total)
+        if not left or window >= budget:
+            return used
+        if window >= largest and ample:
+            return _by_remainder(lengths, available, budget, min(ample, key=lambda i: lengths[i]))
+        window *= 2
+
+
+def _parts(count: int) -> list[int]:
+    """Amounts of which every number up to count is a sum: powers of two and a rest."""
+    out, n = [], 1
+    while count > 0:
+        out.append(min(n, count))
+        count -= out[-1]
+        n *= 2
+    return out
+
+
+def _programme(lengths: np.ndarray, available: np.ndarray, budget: int, window: int, total: int) -> tuple[np.ndarray, int]:
+    """The best uses with all but ``window`` tokens of the budget taken evenly, and what they leave of it."""
+    take = max(0, budget - window)
+    used = np.array([int(a) * take // total for a in available], np.int64)
+    rest = budget - sum(int(a) * int(b) for a, b in zip(lengths, used))
+    # Rounding down may leave more than the window: the longest first, down to its size.
     for i in np.argsort(-lengths, kind="stable"):
-        if rest <= leftover:
+        if rest <= window:
             break
-        take = min(int(available[i] - used[i]), (rest - leftover) // int(lengths[i]) + 1, rest // int(lengths[i]))
-        if take > 0:
-            used[i] += take
-            rest -= take * int(lengths[i])
+        more = min(int(available[i] - used[i]), (rest - window) // int(lengths[i]))
+        used[i] += more
+        rest -= more * int(lengths[i])
     reach = np.zeros(rest + 1, bool)
     reach[0] = True
-    by = np.full(rest + 1, -1, np.int64)
+    by = np.full(rest + 1, -1, np.int32)
     parts: list[tuple[int, int]] = []
     for i in np.argsort(-lengths, kind="stable"):
         if reach[rest]:
             break
-        left, size, n = min(int(available[i] - used[i]), rest // int(lengths[i])), int(lengths[i]), 1
-        while left > 0:
-            n = min(n, left)
-            w = n * size
-            if w <= rest:
-                new = np.flatnonzero(reach[: rest + 1 - w] & ~reach[w:]) + w
-                by[new] = len(parts)
-                reach[new] = True
-                parts.append((int(i), n))
-            left -= n
-            n *= 2
+        size = int(lengths[i])
+        for k in _parts(min(int(available[i] - used[i]), rest // size)):
+            w = k * size
+            new = np.flatnonzero(reach[: rest + 1 - w] & ~reach[w:]) + w
+            by[new] = len(parts)
+            reach[new] = True
+            parts.append((int(i), k))
     s = int(np.flatnonzero(reach)[-1])
+    left = rest - s
     while s:
-        i, n = parts[by[s]]
-        used[i] += n
-        s -= n * int(lengths[i])
+        i, k = parts[by[s]]
+        used[i] += k
+        s -= k * int(lengths[i])
+    return used, left
+
+
+def _by_remainder(lengths: np.ndarray, available: np.ndarray, budget: int, filler: int) -> np.ndarray:
+    """The best uses where the length ``filler`` alone could supply the budget: of the other lengths only the smallest sum of each
+    remainder matters, as any number of fillers goes on top of it."""
+    m = int(lengths[filler])
+    far = np.iinfo(np.int64).max // 4
+    least = np.full(m, far, np.int64)
+    least[0] = 0
+    steps: list[tuple[int, int, np.ndarray]] = []
+    for i in range(len(lengths)):
+        if i == filler:
+            continue
+        for k in _parts(min(int(available[i]), budget // int(lengths[i]), m)):  # m uses of a length are a multiple of m
+            w = k * int(lengths[i])
+            moved = np.roll(least, w % m) + w
+            better = moved < least
+            if better.any():
+                least = np.where(better, moved, least)
+                steps.append((i, k, np.packbits(better)))
+    gap = np.where(least <= budget, (budget - least) % m, far)
+    r = int(gap.argmin())
+    s = int(least[r])
+    used = np.zeros(len(lengths), np.int64)
+    used[filler] = (budget - s) // m
+    for i, k, better in reversed(steps):
+        if np.unpackbits(better, count=m)[r]:
+            used[i] += k
+            r = (r - k * int(lengths[i])) % m
     return used
 
 
@@ -119,7 +177,7 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 0, total_tokens: i
     without target aren't used. The choice depends only on the seed and the rows, not on their order or partitions.
 
     counted: the result of count_tokens for (doc_id, source), where it is stored already. Lengths and their counts a source,
-    not texts, reach a single task; the number of lengths is bounded by the longest text.
+    not texts, reach a single task; the number of lengths is bounded by the longest text. Budgets are filled as ``fit`` says, whatever their size.
     """
     counted = count_tokens(documents.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text")), ["doc_id", "source"]) if counted is None else counted
     texts = counted.where((F.col("n_tokens") > 0) & F.col("doc_id").isNotNull() & F.col("source").isNotNull()).groupBy("text_key").agg(F.min(F.struct("doc_id", "source", "n_tokens")).alias("m")).select("m.*")

@@ -20,6 +20,60 @@ def test_fit_is_the_best_subset_sum(have, budget):
     assert (used >= 0).all() and (used <= available).all() and int((used * lengths).sum()) == max(r for r in reach if r <= budget)
 
 
+def best(have, budget):
+    reach = 1  # bit s: the sum s can be reached
+    for n, a in have.items():
+        k = 1
+        while a > 0:
+            k = min(k, a)
+            reach |= reach << n * k
+            a -= k
+            k *= 2
+    return (reach & ((1 << budget + 1) - 1)).bit_length() - 1
+
+
+def check(have, budget, **kw):
+    lengths, available = np.array(list(have)), np.array(list(have.values()))
+    used = mixing.fit(lengths, available, budget, **kw)
+    assert (used >= 0).all() and (used <= available).all()
+    return int((used * lengths).sum())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 60), st.integers(0, 40), min_size=1, max_size=5), st.integers(0, 4000), st.sampled_from([1, 2, 7, 64]), st.sampled_from([1, 8, 1 << 22]))
+def test_fit_in_small_windows(have, budget, window, largest):
+    assert check(have, budget, window=window, largest=largest) == best(have, budget)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 90_000), st.integers(0, 60), min_size=1, max_size=4), st.integers(65_537, 2_000_000))
+def test_fit_beyond_the_first_window(have, budget):
+    assert check(have, budget) == best(have, budget)
+
+
+def test_fit_gives_back():
+    assert check({60_000: 4, 90_000: 1}, 240_000) == 240_000
+    assert check({3: 10, 7: 10, 50_001: 30}, 1_000_020) == 1_000_020
+    big = {50_001: 10**6, 50_003: 10**6}
+    assert check(big, 5 * 10**10 + 7, largest=1 << 18) == 5 * 10**10 + 7  # far beyond any window
+    few = 9 * 10**12 + 5
+    assert check({999_983: 10**7, 1_000_003: 3}, few, largest=1 << 18) == max((few - 1_000_003 * k) // 999_983 * 999_983 + 1_000_003 * k for k in range(4))
+    assert check({5: 3}, 0) == 0 and check({5: 0}, 3) == 0 and len(mixing.fit(np.array([], np.int64), np.array([], np.int64), 5)) == 0
+
+
+def test_counting_needs_no_package_on_workers():
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark import cloudpickle; import pickle, sys; sys.path.insert(0, %r); import sluice; from sluice.llm import mixing;"
+        "sys.stdout.buffer.write(cloudpickle.dumps(mixing._encoding))" % __file__.rsplit("/tests/", 1)[0]
+    )
+    data = subprocess.run([sys.executable, "-c", code], check=True, capture_output=True).stdout
+    run = f"import pickle, sys; f = pickle.loads({data!r}); print(len(f({mixing.TOKENIZERS + '/' + mixing.RANKS!r}).encode_ordinary('two words')), 'sluice' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", run], check=True, capture_output=True, text=True, cwd="/").stdout.split() == ["2", "False"]
+
+
 def test_fit_large():
     rng = np.random.default_rng(1)
     lengths = np.arange(3, 2500)
