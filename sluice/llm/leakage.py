@@ -12,8 +12,9 @@ is counted over all shards first, so no verdict hangs on the shard in which a do
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from difflib import SequenceMatcher
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -22,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.words import words
-from sluice.session import stored
+from sluice.session import fresh
 
 INDEX = "doc_ids array<bigint>, doc_starts array<int>, terms array<string>, term_starts array<int>, postings binary"
 #: Words of a shard. A document is never split; one that is longer makes a shard of its own.
 SHARD_WORDS = 400_000
-#: Words of test items that go to the executors at once.
-BLOCK_WORDS = 200_000
+#: Words of test items in a block, and blocks that go to the executors at once.
+BLOCK_WORDS, BLOCKS = 200_000, 4
 #: Words of a block, of which the rarest is looked up; words around it that are compared; places they may be off; band of the alignment.
 BLOCK, DRIFT, BAND = 6, 2, 12
 #: Words of a run; documents a SHARD_WORDS of the index, and three at least, in which a passage's own run may stand without the passage.
@@ -126,7 +127,7 @@ class _Shard:
         self.at[self.pad + self.postings] = np.repeat(np.arange(len(self.starts) - 1, dtype=np.int32), np.diff(self.starts))
         self.count = np.diff(self.starts)
 
-    def codes(self, ws: list[str]) -> np.ndarray:
+    def codes(self, ws: Collection[str]) -> np.ndarray:
         return np.fromiter((self.terms.get(w, -2) for w in ws), np.int32, len(ws))
 
     def phrase(self, codes: np.ndarray) -> np.ndarray:
@@ -228,7 +229,7 @@ def _carried(s: _Shard, block: _Block) -> tuple[np.ndarray, np.ndarray]:
 
 def _times(s: _Shard, block: _Block) -> np.ndarray:
     """How often each term of the items stands in the shard."""
-    codes = s.codes(list(block.terms))
+    codes = s.codes(block.terms)
     return np.where(codes >= 0, s.count[np.maximum(codes, 0)], 0) if len(s.count) else np.zeros(len(codes), np.int64)
 
 
@@ -313,6 +314,122 @@ def align(item: np.ndarray, weight: np.ndarray, at: np.ndarray, base: np.ndarray
     return best[0], best[1], best_got, best[2]
 
 
+def _blocks(items: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
+    """The items with their words, by id, in blocks of BLOCK_WORDS words (more only where one item has more). Streamed: the driver holds
+    what is being sent, never all items."""
+    block: list[tuple[int, list[str]]] = []
+    size = 0
+    for row in items.where("i is not null and t <> ''").orderBy("i").toLocalIterator():
+        w = words(row["t"])
+        if not w:
+            continue
+        if block and size + len(w) > BLOCK_WORDS:
+            yield block
+            block, size = [], 0
+        block.append((row["i"], w))
+        size += len(w)
+    if block:
+        yield block
+
+
+def _sent(items: DataFrame) -> Iterator[list]:
+    """Blocks, some at a time, as many as one pass over the index searches."""
+    blocks = _blocks(items)
+    while some := list(islice(blocks, BLOCKS)):
+        yield some
+
+
+def _count(index: DataFrame, sent: list) -> tuple[list[dict[int, int]], int]:
+    """For each block how many documents of the index have each run (from 0 up) and how often each term stands there (from -2 down); and
+    the words of the index. As much as a block's words, whatever the index."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = [_Block(b.value) for b in sent]
+        terms, docs, size = [np.zeros(len(b.terms), np.int64) for b in blocks], [np.zeros(len(b.runs), np.int64) for b in blocks], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                s = _Shard(row)
+                size += s.size
+                for i, block in enumerate(blocks):
+                    docs[i] += np.bincount(_carried(s, block)[1], minlength=len(docs[i]))
+                    terms[i] += _times(s, block)
+        for i in range(len(blocks)):
+            k, t = np.flatnonzero(docs[i]), np.flatnonzero(terms[i])
+            n = np.concatenate([docs[i][k], terms[i][t], [size]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), i, np.int32)), pa.array(np.concatenate([k, -2 - t, [-1]])), pa.array(n)], ["block", "k", "n"])
+
+    counts: list[dict[int, int]] = [{} for _ in sent]
+    for r in index.mapInArrow(count, "block int, k bigint, n bigint").groupBy("block", "k").agg(F.sum("n").alias("n")).collect():
+        counts[r["block"]][r["k"]] = r["n"]
+    return counts, counts[0].get(-1, 0)
+
+
+def _passages(s: _Shard, row_terms: list[str], block: _Block, times: dict[int, int], weight: np.ndarray, min_words: int, min_share: float) -> pd.DataFrame | None:
+    """The passages of a block's items in a shard's documents; see HITS."""
+    ids, length, first_of, item_of = block.ids, block.length, block.first_of, block.item_of
+    flat = s.codes(block.terms)[block.term_of]
+    c = _candidates(s, flat, item_of, first_of, length) if s.size else np.zeros((0, 3), np.int64)
+    if not len(c):
+        return None
+    # Diagonals closer than half the band share an alignment.
+    new = np.ones(len(c), bool)
+    new[1:] = (c[1:, :2] != c[:-1, :2]).any(axis=1) | (c[1:, 2] - c[:-1, 2] > BAND // 3)
+    doc, item, base = c[new].T
+    rows = []
+    for lo in range(0, len(doc), 1024):
+        k = slice(lo, lo + 1024)
+        col = np.arange(int(length[item[k]].max()))
+        at = np.minimum(first_of[item[k]][:, None] + col, len(flat) - 1)
+        inside = col < length[item[k]][:, None]
+        cov, hit, share, begin = align(np.where(inside, flat[at], -3), np.where(inside, weight[at], 0), s.at, base[k], s.doc_starts[doc[k]], s.doc_starts[doc[k] + 1], s.pad)
+        need = np.minimum(min_words, length[item[k]])
+        ok = (cov >= need) & (share >= min_share) & (cov * (3 * share - 2) >= 0.55 * need)
+        unsure = ok & (share < 0.999) & (cov < 1.5 * need)
+        for x in np.flatnonzero(ok):
+            d, i = doc[k][x], item[k][x]
+            found = {"doc_id": s.doc_ids[d], "item_id": ids[i], "words": cov[x], "matched": hit[x], "share": share[x], "first_word": begin[x], "runs": None, "places": None, "filler": None, "pair": (d, i)}
+            if unsure[x]:
+                first = first_of[i] + begin[x]
+                place = (flat[first:][: cov[x]], s.doc_starts[d], s.doc_starts[d + 1], base[k][x] + begin[x])
+                runs = [int(block.run_of[first + j]) for j in _own_runs(s, *place)]
+                lacks, filler = _replaced(s, row_terms, *place)
+                found |= {"runs": [{"run": r, "docs": times[r]} for r in dict.fromkeys(runs)], "places": " ".join(str(begin[x] + j) for j in lacks), "filler": filler}
+            rows.append(found)
+    if not rows:
+        return None
+    hits = pd.DataFrame(rows).sort_values(["words", "matched"], ascending=False, kind="stable")
+    # Of passages that are sure, the longest of a pair is enough; the runs in its document count once a pair.
+    hits = hits[hits["runs"].notna() | ~hits.assign(sure=hits["runs"].isna()).duplicated(["pair", "sure"])]
+    docs, run_in = _carried(s, block)
+    carried = []
+    for (d, i), seen in zip(hits["pair"], hits.duplicated(["pair"]).to_numpy()):
+        own = block.run_of[first_of[i] : max(first_of[i], first_of[i] + length[i] - RUN + 1)]
+        carried.append([] if seen else np.intersect1d(run_in[np.searchsorted(docs, d) : np.searchsorted(docs, d, "right")], own).tolist())
+    return hits.drop(columns="pair").assign(carried=carried)
+
+
+def _look(index: DataFrame, sent: list, counted: list, min_words: int, min_share: float) -> DataFrame:
+    """The passages of all blocks sent, in one pass over the index."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = pa.list_(pa.struct([("run", pa.int32()), ("docs", pa.int64())]))
+        types = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("matched", pa.int32()), ("share", pa.float32()), ("first_word", pa.int32()), ("runs", runs), ("places", pa.string()), ("filler", pa.string()), ("carried", pa.list_(pa.int32()))])
+        blocks = []
+        for b, c in zip(sent, counted):
+            block, n = _Block(b.value), c.value
+            times = np.array([n.get(-2 - t, 0) for t in range(len(block.terms))], np.int64)
+            blocks.append((block, n, np.log((n.get(-1, 0) + 1) / (1 + times[block.term_of])).astype(np.float32)))
+        for batch in batches:
+            for row in batch.to_pylist():
+                s = _Shard(row)
+                for block, n, weight in blocks:
+                    hits = _passages(s, row["terms"], block, n, weight, min_words, min_share)
+                    if hits is not None:
+                        yield pa.RecordBatch.from_pandas(hits, types, preserve_index=False)
+
+    return index.mapInArrow(run, HITS)
+
+
 def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", min_words: int = 20, min_share: float = 0.7) -> DataFrame:
     """(doc_id, item_id, words, matched, share, first_word): documents that carry ``min_words`` or more successive words of an
     item, the longest such passage of each pair.
@@ -323,110 +440,32 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
     A passage of less than 1.5 * ``min_words`` with a word replaced or lost must also have three runs of four words of its own:
     sentences made of the same set phrases with other contents haven't. A run is a set phrase if, over the whole index, it stands in
     more than OWN documents a SHARD_WORDS (and more than OWN) that don't carry the item. Documents that carry it never count, however
-    many they are, but for those in which the very same places hold other words: contents, not words replaced.
+    many they are, but for those in which the very same two or more places hold other words: contents, not words replaced.
 
-    ``items`` is a held-out test set; it is read to the driver in blocks of at most BLOCK_WORDS words, and each block is
-    searched in all shards. Items shorter than ``min_words`` words must stand there whole. Null and empty texts leak
+    ``items`` is a held-out test set of any size; it passes through the driver in blocks of at most BLOCK_WORDS words, of which BLOCKS at a time
+    are broadcast and searched in all shards, in two passes over the index (counts, then passages). The search is done when this returns; the
+    index may then be deleted. Items shorter than ``min_words`` words must stand there whole. Null and empty texts leak
     nowhere; items with the same text are found each under its own id; extra columns don't matter.
     """
     spark = index.sparkSession
-    out = "doc_id bigint, item_id bigint, words int, matched int, share float, first_word int"
-    blocks: list[list[tuple[int, list[str]]]] = [[]]
-    size = 0
-    for row in items.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t")).orderBy("i").toLocalIterator():
-        w = words(row["t"] or "")
-        if row["i"] is None or not w:
-            continue
-        if size + len(w) > BLOCK_WORDS and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row["i"], w))
-        size += len(w)
-    found = None
-    for block in blocks:
-        sent = spark.sparkContext.broadcast(block)
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            block = _Block(sent.value)
-            terms, docs, size = np.zeros(len(block.terms), np.int64), np.zeros(len(block.runs), np.int64), 0
-            for batch in batches:
-                for row in batch.to_pylist():
-                    s = _Shard(row)
-                    docs += np.bincount(_carried(s, block)[1], minlength=len(docs))
-                    terms += _times(s, block)
-                    size += s.size
-            # Runs from 0 up, terms from -2 down, -1 for all words.
-            k, t = np.flatnonzero(docs), np.flatnonzero(terms)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k, -2 - t, [-1]])), pa.array(np.concatenate([docs[k], terms[t], [size]]))], ["k", "n"])
-
-        counts = {r["k"]: r["n"] for r in index.mapInArrow(count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect()}
-        size = counts.get(-1, 0)
-        sent_counts = spark.sparkContext.broadcast(counts)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, sent_counts=sent_counts) -> Iterator[pd.DataFrame]:
-            block, docs_of = _Block(sent.value), sent_counts.value
-            ids, length, first_of, item_of = block.ids, block.length, block.first_of, block.item_of
-            times = np.array([docs_of.get(-2 - t, 0) for t in range(len(block.terms))], np.int64)
-            weight = np.log((docs_of.get(-1, 0) + 1) / (1 + times[block.term_of])).astype(np.float32)
-            for batch in batches:
-                for row in batch.to_pylist():
-                    s = _Shard(row)
-                    flat = s.codes(block.everything)
-                    c = _candidates(s, flat, item_of, first_of, length) if len(ids) and s.size else np.zeros((0, 3), np.int64)
-                    if not len(c):
-                        continue
-                    # Diagonals closer than half the band share an alignment.
-                    new = np.ones(len(c), bool)
-                    new[1:] = (c[1:, :2] != c[:-1, :2]).any(axis=1) | (c[1:, 2] - c[:-1, 2] > BAND // 3)
-                    doc, item, base = c[new].T
-                    rows = []
-                    for lo in range(0, len(doc), 1024):
-                        k = slice(lo, lo + 1024)
-                        wide = int(length[item[k]].max())
-                        col = np.arange(wide)
-                        grid = np.where(col < length[item[k]][:, None], flat[np.minimum(first_of[item[k]][:, None] + col, len(flat) - 1)], -3)
-                        rare = np.where(grid == -3, 0, weight[np.minimum(first_of[item[k]][:, None] + col, len(flat) - 1)])
-                        cov, hit, share, begin = align(grid, rare, s.at, base[k], s.doc_starts[doc[k]], s.doc_starts[doc[k] + 1], s.pad)
-                        need = np.minimum(min_words, length[item[k]])
-                        ok = (cov >= need) & (share >= min_share) & (cov * (3 * share - 2) >= 0.55 * need)
-                        unsure = ok & (share < 0.999) & (cov < 1.5 * need)
-                        for x in np.flatnonzero(ok):
-                            d, i = doc[k][x], item[k][x]
-                            hit_row = {"doc_id": s.doc_ids[d], "item_id": ids[i], "words": cov[x], "matched": hit[x], "share": share[x], "first_word": begin[x], "runs": None, "places": None, "filler": None, "pair": (d, i)}
-                            if unsure[x]:
-                                first = first_of[i] + begin[x]
-                                place = (flat[first:][: cov[x]], s.doc_starts[d], s.doc_starts[d + 1], base[k][x] + begin[x])
-                                runs = [int(block.run_of[first + j]) for j in _own_runs(s, *place)]
-                                lacks, filler = _replaced(s, row["terms"], *place)
-                                hit_row |= {"runs": [{"run": r, "docs": docs_of[r]} for r in dict.fromkeys(runs)], "places": " ".join(str(begin[x] + j) for j in lacks), "filler": filler}
-                            rows.append(hit_row)
-                    if rows:
-                        hits = pd.DataFrame(rows).sort_values(["words", "matched"], ascending=False, kind="stable")
-                        # Of passages that are sure, the longest of a pair is enough; the runs in its document count once a pair.
-                        hits = hits[hits["runs"].notna() | ~hits.assign(sure=hits["runs"].isna()).duplicated(["pair", "sure"])]
-                        docs, run_in = _carried(s, block)
-                        carried, again = [], hits.duplicated(["pair"]).to_numpy()
-                        for (d, i), seen in zip(hits["pair"], again):
-                            own = block.run_of[first_of[i] : max(first_of[i], first_of[i] + length[i] - RUN + 1)]
-                            carried.append([] if seen else np.intersect1d(run_in[np.searchsorted(docs, d) : np.searchsorted(docs, d, "right")], own).tolist())
-                        yield hits.drop(columns="pair").assign(carried=carried)
-
-        def run_arrow(batches: Iterator[pa.RecordBatch], run=run) -> Iterator[pa.RecordBatch]:
-            runs = pa.list_(pa.struct([("run", pa.int32()), ("docs", pa.int64())]))
-            types = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("matched", pa.int32()), ("share", pa.float32()), ("first_word", pa.int32()), ("runs", runs), ("places", pa.string()), ("filler", pa.string()), ("carried", pa.list_(pa.int32()))])
-            for pdf in run(batches):
-                yield pa.RecordBatch.from_pandas(pdf, types, preserve_index=False)
-
-        hits = stored(index.mapInArrow(run_arrow, HITS), "p7-hits")
-        cols = ["doc_id", "item_id", "words", "matched", "share", "first_word"]
-        unsure = hits.where(F.col("runs").isNotNull()).withColumn("__row", F.monotonically_increasing_id())
-        rivals = unsure.groupBy("item_id", "places").agg((F.count_distinct("filler") - 1).alias("rivals"))
-        having = hits.select("item_id", F.explode("carried").alias("run")).groupBy("item_id", "run").agg(F.count(F.lit(1)).alias("having"))
-        x = unsure.select("__row", *cols, "places", F.explode("runs").alias("r")).select("*", "r.run", "r.docs").join(rivals, ["item_id", "places"]).join(having, ["item_id", "run"], "left")
-        apart = F.col("docs") - F.coalesce("having", F.lit(0)) + F.col("rivals")
-        own = x.groupBy("__row", *cols).agg(F.count_if(apart <= max(OWN, OWN * size / SHARD_WORDS)).alias("own")).where("own >= 3")
-        part = hits.where(F.col("runs").isNull()).select(cols).unionByName(own.select(cols))
-        found = part if found is None else found.unionByName(part)
+    path, size = fresh(spark, "p7-hits"), 0
+    spark.createDataFrame([], HITS).write.parquet(path)
+    for some in _sent(items.select(F.col(item_id).cast("bigint").alias("i"), F.col(text).alias("t"))):
+        sent = [spark.sparkContext.broadcast(b) for b in some]
+        counts, size = _count(index, sent)
+        counted = [spark.sparkContext.broadcast(c) for c in counts]
+        _look(index, sent, counted, min_words, min_share).write.mode("append").parquet(path)
+        for b in (*sent, *counted):
+            b.destroy()
+    hits = spark.read.schema(spark.createDataFrame([], HITS).schema).parquet(path)
+    cols = ["doc_id", "item_id", "words", "matched", "share", "first_word"]
+    unsure = hits.where(F.col("runs").isNotNull()).withColumn("__row", F.monotonically_increasing_id())
+    rivals = unsure.groupBy("item_id", "places").agg(F.when(F.col("places").contains(" "), F.count_distinct("filler") - 1).otherwise(0).alias("rivals"))
+    having = hits.select("item_id", F.explode("carried").alias("run")).groupBy("item_id", "run").agg(F.count(F.lit(1)).alias("having"))
+    x = unsure.select("__row", *cols, "places", F.explode("runs").alias("r")).select("*", "r.run", "r.docs").join(rivals, ["item_id", "places"]).join(having, ["item_id", "run"], "left")
+    apart = F.col("docs") - F.coalesce("having", F.lit(0)) + F.col("rivals")
+    own = x.groupBy("__row", *cols).agg(F.count_if(apart <= max(OWN, OWN * size / SHARD_WORDS)).alias("own")).where("own >= 3")
+    found = hits.where(F.col("runs").isNull()).select(cols).unionByName(own.select(cols))
     # A document id may stand in several rows of the input, and so in several shards.
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("words", "matched", (-F.col("first_word")).alias("f"), "share")).alias("m")).select("doc_id", "item_id", "m.words", "m.matched", "m.share", (-F.col("m.f")).alias("first_word"))
 

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import leakage, mixing, truncation
-from sluice.session import stored, table
+from sluice.session import release, stored, table
 
 
 def leaks(spark: SparkSession, d: str) -> DataFrame:
-    """Every leaked passage: the index is stored in the shared folder, then searched for all items."""
+    """Every leaked passage: the index is stored in the shared folder, searched for all items, and deleted."""
     index = stored(leakage.build_index(table(spark, d, "documents")), "p7-index", row_group_bytes=16 << 20)
-    return leakage.search(index, table(spark, d, "eval_items"))
+    found = leakage.search(index, table(spark, d, "eval_items"))
+    release(spark, "p7-index")
+    return found
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

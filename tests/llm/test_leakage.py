@@ -77,6 +77,20 @@ def test_a_short_passage_may_leak_often(spark):
         assert set(found(spark, docs, items, shard_words=shard_words)) == want
 
 
+def test_copies_of_any_number_under_any_shards(spark):
+    rng = random.Random(11)
+    want, docs, items = set(), [], []
+    for item, n in ((1, 1), (2, 4), (3, 10), (4, 1000)):
+        w = text(rng, 50)
+        items.append((item, " ".join(w)))
+        for k in range(n):
+            passage = w[12:35] if k % 2 else [x if j != 9 else f"other{k}" for j, x in enumerate(w[12:35])]  # every other one with a word replaced
+            want.add((len(docs), item))
+            docs.append((len(docs), " ".join(text(rng, 6) + passage + text(rng, 6))))
+    for shard_words in (40, 3000, 10**9):
+        assert set(found(spark, docs, items, shard_words=shard_words)) == want
+
+
 def test_the_same_places_with_other_contents_are_no_leaks(spark):
     rng = random.Random(6)
     frame = text(rng, 24)
@@ -128,6 +142,10 @@ def test_short_items_repeats_and_blocks(spark, monkeypatch):
     assert set(found(spark, docs, items)) == {(1, 7), (1, 8)}
     monkeypatch.setattr(leakage, "BLOCK_WORDS", 3)
     assert set(found(spark, docs, items)) == {(1, 7), (1, 8)}
+    monkeypatch.setattr(leakage, "BLOCKS", 1)
+    assert set(found(spark, docs, [*items, (9, "three four six"), (None, "two three four five"), (10, "")])) == {(1, 7), (1, 8), (2, 9)}
+    df = spark.createDataFrame([(i, t) for i, t in items], "i bigint, t string")
+    assert [len(b) for b in leakage._blocks(df)] == [1, 1]
     assert found(spark, docs, []) == {} and found(spark, [], items) == {}
 
 
