@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.skew import lookup
+
 _STATS = "tag string, kind string, word string, n bigint, bare bigint, marked bigint, dotted bigint, final bigint, doc_id bigint, source string, chars bigint, bytes bigint, cause string, ending string, last string, message string"
 _FIELDS = [("tag", pa.string()), ("kind", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("bare", pa.int64()), ("marked", pa.int64()), ("dotted", pa.int64()), ("final", pa.int64()), ("doc_id", pa.int64()),
            ("source", pa.string()), ("chars", pa.int64()), ("bytes", pa.int64()), ("cause", pa.string()), ("ending", pa.string()), ("last", pa.string()), ("message", pa.string())]
@@ -211,10 +213,16 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     limits = lengths.where("here >= 5").join(near, ["source", "length"]).where(F.col("here") * 50 >= piled * (F.col("around") - F.col("here"))).select("source", "length", F.lit(True).alias("at_limit"))
 
     open_ = docs.where((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))
-    x = open_.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), "inner", "all", "all_ends"), "last", "left").join(rigid, "kind", "left")
-    x = x.join(trie(vocabulary, open_).withColumnRenamed("prefix", "last"), "last", "left").join(style, ["source", "kind"], "left").join(short, "message", "left")
+    # What is known of a final word is joined once for each distinct one, then attached; a source, a word or a length may have any share of the texts.
+    ends = open_.select("kind", "last").distinct()
+    facts = ends.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), "inner", "all", "all_ends"), "last", "left")
+    facts = facts.join(trie(vocabulary, ends).withColumnRenamed("prefix", "last"), "last", "left").join(rigid, "kind", "left")
+    total = open_.count()
+    x = lookup(open_, facts, ["kind", "last"], "doc_id", open_, total)
+    x = lookup(x, style, ["source", "kind"], "doc_id", open_, total)
+    x = lookup(x, short, ["message"], "doc_id", open_, total)
     for c in ("chars", "bytes"):
-        x = x.join(limits.select("source", F.col("length").alias(c), F.col("at_limit").alias(f"at_{c}")), ["source", c], "left")
+        x = lookup(x, limits.select("source", F.col("length").alias(c), F.col("at_limit").alias(f"at_{c}")), ["source", c], "doc_id", open_, total)
     n, bare, dotted = (F.greatest(F.coalesce(c, F.lit(0)) - own, F.lit(0)) for c, own in (("n", 1), ("bare", F.when(F.col("ending") == "bare", 1).otherwise(0)), ("dotted", F.when(F.col("ending") == "dotted", 1).otherwise(0))))
     times, below = F.coalesce("times", F.lit(0)) - 1, F.coalesce("below", F.lit(0))
     at_limit = F.coalesce("at_chars", "at_bytes", F.lit(False))
