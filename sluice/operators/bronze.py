@@ -82,9 +82,9 @@ class Snapshot:
     partition_by: tuple[str, ...]
     entries: tuple[dict, ...] = ()
 
-    def to_json(self, added: tuple[dict, ...]) -> str:
+    def to_json(self, added: tuple[dict, ...] | None) -> str:
         head = {"version": self.version, "columns": self.columns, "partition_by": self.partition_by}
-        return json.dumps(head | ({"entries": self.entries} if self.version % FULL == 1 else {"added": added}), indent=1)
+        return json.dumps(head | ({"entries": self.entries} if added is None or self.version % FULL == 1 else {"added": added}), indent=1)
 
 
 def _bound(value: object) -> tuple[str, object] | None:
@@ -138,6 +138,27 @@ class BronzeTable:
             raise IngestError(f"{self.name}: somebody else wrote snapshot {s.version}")
         return s
 
+    def compact(self, below_rows: int = 1_000_000) -> int:
+        """Writes the rows of all entries of less than ``below_rows`` anew as one entry, laid out by the spec with files of a good size, and returns
+        how many entries that replaced. The table's rows stay the same; older snapshots can still be read, as nothing is deleted."""
+        s = self.snapshot()
+        if s is None:
+            raise IngestError(f"no table {self.name}")
+        small = [e for e in s.entries if e["rows"] < below_rows]
+        if len(small) < 2:
+            return 0
+        path = f"data/compacted/{uuid.uuid4().hex}"
+        n = self._write(self._read(s, small), s, path)
+        if n != sum(e["rows"] for e in small):
+            raise IngestError(f"{self.name}: {n} rows instead of {sum(e['rows'] for e in small)} while compacting")
+        ranges = [e["range"] for e in small]
+        of = Decimal if all(ranges) and ranges[0][0] == "number" else str
+        joint = [ranges[0][0], min((r[1] for r in ranges), key=of), max((r[2] for r in ranges), key=of)] if all(ranges) and len({r[0] for r in ranges}) == 1 else None
+        done = Snapshot(s.version + 1, s.columns, s.partition_by, (*(e for e in s.entries if e not in small), {"run_id": None, "path": path, "rows": n, "range": joint}))
+        if not self.files.create(self._file(done.version), done.to_json(None)):
+            raise IngestError(f"{self.name}: somebody else wrote snapshot {done.version}")
+        return len(small)
+
     def pointer(self) -> str | None:
         """The file of the latest snapshot."""
         s = self.snapshot()
@@ -182,6 +203,16 @@ class BronzeTable:
             raise IngestError(f"no table {self.name}")
         return self._read(s, s.entries)
 
+    def _write(self, rows: DataFrame, s: Snapshot, path: str) -> int:
+        """Writes rows below the table, in folders of their partition values, and returns how many there were."""
+        hidden = self._hidden(s)
+        names = [n for n, _ in hidden]
+        seen = Observation()
+        laid_out = rows.select("*", *[v.alias(n) for n, v in hidden])
+        laid_out = laid_out.hint("rebalance", *names) if names else laid_out
+        laid_out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").partitionBy(*names).option("compression", "snappy").parquet(f"{self.root}/{path}")
+        return seen.get["n"]
+
     def _range(self, rows: DataFrame, s: Snapshot, keys: list[str]) -> tuple[list | None, bool]:
         """(sort, low and high of the first partition value over rows, None where unknown; whether rows with values exist).
 
@@ -214,14 +245,8 @@ class BronzeTable:
         bounds, any_key = self._range(rows, s, keys)
         entries = [e for e in s.entries if _meets(e["range"], bounds)] if any_key else []
         fresh = unmatched(rows, self._read(s, entries, keys), keys)
-        hidden = self._hidden(s)
-        names = [n for n, _ in hidden]
         path = f"data/run={run_id}/{uuid.uuid4().hex}"
-        seen = Observation()
-        laid_out = fresh.select("*", *[v.alias(n) for n, v in hidden])
-        laid_out = laid_out.hint("rebalance", *names) if names else laid_out
-        laid_out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").partitionBy(*names).option("compression", "snappy").parquet(f"{self.root}/{path}")
-        n = seen.get["n"]
+        n = self._write(fresh, s, path)
         if n:
             self._commit(replace(s, version=s.version + 1), {"run_id": run_id, "path": path, "rows": n, "range": bounds})
         return n

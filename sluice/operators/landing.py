@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from sluice.control.config import LINEAGE
 from sluice.control.errors import LandingError
 from sluice.control.manifest import NAME
+from sluice.operators.drift import held
+from sluice.session import stored
 
 RECORDED = {"bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8", "double": "double", "float": "float", "boolean": "bool", "string": "string", "binary": "binary", "date": "date32[day]"}
 
@@ -39,12 +41,14 @@ def with_lineage(df: DataFrame, run_id: str, ingested_at: str, source_system: st
     return df.select("*", *[F.lit(v).cast("string").alias(k) for k, v in zip(LINEAGE, values)])
 
 
-def exact_cast(value: Column, to: T.DataType) -> Column:
-    """The value in another type; null where that type can't hold exactly it (digits lost count as not held)."""
-    got = value.try_cast(to)
+def exact_cast(value: Column, to: T.DataType, kind: T.DataType = T.StringType()) -> Column:
+    """A value of type ``kind`` in another type; null where that type can't hold exactly it (digits lost count as not held)."""
     if isinstance(to, T.StringType):
-        return got
-    return F.when(got.try_cast("string") == value.cast("string"), got).when(got.try_cast(T.DecimalType(38, 18)) == value.try_cast(T.DecimalType(38, 18)), got)
+        return value.try_cast(to)
+    if isinstance(kind, T.StringType):
+        return held(value, to.simpleString()).cast(to)
+    got = value.try_cast(to)
+    return F.when(got.try_cast(kind) == value, got)
 
 
 def pinned(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column]:
@@ -66,7 +70,7 @@ def pinned(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Column]:
             continue
         if isinstance(kind, (T.DoubleType, T.FloatType)):
             column = F.when(~F.isnan(column), column)
-        cell = exact_cast(column, f.dataType)
+        cell = exact_cast(column, f.dataType, kind)
         cells.append(cell.alias(f.name))
         lost = lost | (column.isNotNull() & cell.isNull())
     for extra in set(have) - {f.name.lower() for f in schema}:
@@ -82,17 +86,22 @@ class LandingRun:
         self.row_count, self.schema, self.drift, self.writes = 0, None, False, 0
 
     def write(self, df: DataFrame, schema: T.StructType | None = None) -> int:
-        """Lands a frame in one pass: rows are counted, and loss against the pinned schema is watched, while they are written.
+        """Lands a frame; rows are counted while they are written.
 
         The first frame (or its declared schema) pins the run's schema, null-typed columns as text. A later frame that the
-        schema can't hold lands as it is and marks the run as drifted; nothing is truncated.
+        schema can't hold lands as it is and marks the run as drifted; nothing is truncated. A frame of other types than the schema's is
+        stored before it is held against it, so what is checked is what lands, and the source is read once in any case.
         """
+        if any(isinstance(f.dataType, T.NullType) for f in df.schema):
+            df = df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`") for f in df.schema])
         if self.schema is None:
-            own = schema or df.schema
-            self.schema = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.NullType) else f.dataType) for f in own])
+            self.schema = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.NullType) else f.dataType) for f in schema or df.schema])
         rows, lost = pinned(df, self.schema)
-        if rows.schema.simpleString() != df.schema.simpleString() and df.where(lost).limit(1).count():
-            self.drift, rows = True, df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, T.NullType) else F.col(f"`{f.name}`") for f in df.schema])
+        if rows.schema.simpleString() != df.schema.simpleString():
+            df = stored(df, "landing")
+            rows, lost = pinned(df, self.schema)
+            if df.where(lost).limit(1).count():
+                self.drift, rows = True, df
         seen = Observation()
         landed = with_lineage(rows, self.run_id, self.started_at.isoformat(timespec="seconds"), *self.lineage).observe(seen, F.count(F.lit(1)).alias("n"))
         writer = landed.write.mode("append" if self.writes else "errorifexists").option("compression", "snappy")

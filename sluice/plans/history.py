@@ -84,6 +84,12 @@ def high_watermark_text(spark: SparkSession, d: str) -> DataFrame:
     return watermarks.high_watermark(events(spark, d), "ts")
 
 
+@query("select strftime(max(ts), '%Y-%m-%d %H:%M:%S.%n') || ' Z' as value_text from events")
+def high_watermark_zoned(spark: SparkSession, d: str) -> DataFrame:
+    """The text of a zoned watermark, in a session whose zone is UTC as jobs have it."""
+    return watermarks.high_watermark(events(spark, d).select(F.col("ts").cast("timestamp").alias("ts")), "ts")
+
+
 @query("""select strftime(max(cast(o_orderdate as date)), '%Y-%m-%d') as date_text, cast(max(o_orderkey) as varchar) as number_text, max(o_orderstatus) as text_text,
   cast(max(cast(o_orderkey as decimal(38, 3))) as varchar) as decimal_text from orders""")
 def watermark_codecs(spark: SparkSession, d: str) -> DataFrame:

@@ -23,6 +23,7 @@ from sluice.control.state import CheckpointStore, FileCheckpointStore, FileLedge
 from sluice.functions.watermarks import regressed
 from sluice.operators import bronze
 from sluice.operators.landing import LandingRun
+from sluice.session import release
 from sluice.sources.base import Source, factory
 
 log = logging.getLogger("sluice")
@@ -127,6 +128,7 @@ def _run_job(spark, config, tables, landing, state, expected_type, fail_fast, cr
         finally:
             if source is not None:
                 source.close()
+            release(spark, "listing", "landing")
     for r in results:
         log.info("%-30s %-8s %8d rows %s", r.table, r.status, r.rows, r.detail)
     return results

@@ -108,6 +108,11 @@ recursive walk as (
 SQL = {
     "p1_found": f"with {_WALK} select landed_no, path as child_path from walk where kind is not null",
     "p1_hops": f"""with {_WALK} select landed_no, path as record_path, parent as parent_path, cast(ordinal as int) as ordinal, 1 as depth, node ->> '$.relay' as relay, try_cast(node ->> '$.lag' as bigint) as lag from walk where kind = 'hops'""",
+    "p1_shapes": f"""with {_WALK}, typed as (select *, case json_type(node) when 'VARCHAR' then 'string' when 'ARRAY' then 'string' when 'BOOLEAN' then 'boolean' when 'DOUBLE' then 'decimal(38,19)' when 'OBJECT' then null else 'decimal(38,0)' end as type from walk),
+      records as (select landed_no, root, path, coalesce(kind, root) as kind, type from typed where kind is not null or path = root),
+      leaves as (select landed_no, root, owner, substr(path, length(owner) + 2) as field, type from typed where kind is null and path <> root and type is not null),
+      shapes as (select r.landed_no, r.root, r.path, r.kind, coalesce('value:' || r.type, (select string_agg(field || ':' || l.type, ',' order by field) from leaves l where l.landed_no = r.landed_no and l.root = r.root and l.owner = r.path and not contains(field, '[')), '') as fields from records r)
+      select kind, fields, count(*) as records from shapes group by all""",
     "p1_kinds": f"""with {_WALK}, paths as (select landed_no, root, path, kind, parent, carrier from walk where kind is not null),
       deep as (select landed_no, root, path, 1 as depth from paths where parent = root union all select p.landed_no, p.root, p.path, d.depth + 1 from paths p join deep d on p.landed_no = d.landed_no and p.root = d.root and p.parent = d.path)
       select p.root, kind, carrier, cast(depth as int) as depth, count(*) as records from paths p join deep d using (landed_no, root, path) group by all

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,18 @@ def p1_variants(spark: SparkSession, d: str) -> DataFrame:
     return routed(spark, d).definitions()
 
 
+def p1_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """The structural variants as far as SQL can tell them: how many records of a kind have which typed fields, nulls aside."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            shapes = (sorted((f, t) for f, t in shredding.variant_fields(x).items() if t != "void") for x in pdf["definition"])
+            yield pd.DataFrame({"kind": pdf["kind"], "fields": [",".join(f"{f}:{t}" for f, t in s) for s in shapes], "records": pdf["records"]})
+
+    shapes = routed(spark, d).definitions().mapInPandas(run, "kind string, fields string, records bigint")
+    return shapes.groupBy("kind", "fields").agg(F.sum("records").alias("records"))
+
+
 def p1_kinds(spark: SparkSession, d: str) -> DataFrame:
     """How many records each kind has, by the form in which their member holds them and by depth."""
     return routed(spark, d).supertype().groupBy("root", "kind", "carrier", "depth").agg(F.count(F.lit(1)).alias("records"))
@@ -235,4 +248,4 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL = oracles.SQL
-QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p4_envelopes, p5_found, p5_changes, p5_totals, p6_found, p6_once)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_shapes, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p4_envelopes, p5_found, p5_changes, p5_totals, p6_found, p6_once)}

@@ -181,6 +181,20 @@ def test_exact_cast(spark):
     assert [r[0] and str(r[0]) for r in df.select(landing.exact_cast(F.col("s"), ty.DecimalType(10, 2))).collect()] == ["1.23", None, None, None]
 
 
+def test_exact_casts_between_types(spark):
+    from pyspark.sql import types as ty
+
+    cases = [
+        ("cast('1.1230000000000000001' as decimal(38,19))", "decimal(38,18)", None), ("cast('1.1230000000000000000' as decimal(38,19))", "decimal(38,3)", "1.123"), ("cast('123456789012345678901234567890' as decimal(38,0))", "decimal(38,3)", "123456789012345678901234567890.000"),
+        ("cast(9007199254740993 as bigint)", "double", None), ("cast(7 as bigint)", "double", "7.0"), ("12345.678D", "decimal(38,3)", "12345.678"), ("0.30000000000000004D", "decimal(10,2)", None), ("99999", "tinyint", None),
+        ("timestamp_ntz '2026-01-01 05:00:00'", "date", None), ("timestamp_ntz '2026-01-01'", "date", "2026-01-01"), ("'1.2'", "decimal(10,2)", "1.20"), ("'2026-01-01 05:00:00'", "timestamp_ntz", "2026-01-01 05:00:00"), ("'x'", "int", None),
+    ]
+    for sql, to, want in cases:
+        df = spark.range(1).selectExpr(f"{sql} as v")
+        got = df.select(landing.exact_cast(F.col("v"), ty._parse_datatype_string(to) if hasattr(ty, "_parse_datatype_string") else to, df.schema["v"].dataType).cast("string")).first()[0]
+        assert got == want, (sql, to, got)
+
+
 def test_merge_keys(spark):
     a = spark.createDataFrame([(1, "x"), (None, "n")], "k int, v string")
     out = merge.insert_unmatched(a, spark.createDataFrame([(1, "y"), (2, "z"), (2, "z"), (None, "n")], "k int, v string"), ["k"])
@@ -333,6 +347,17 @@ def test_snapshots_are_deltas(spark, tmp_path, monkeypatch):
     assert t.snapshot().version == 9 and len(t.snapshot().entries) == 7 and "more" in t.read().columns
 
 
+def test_compacting_keeps_the_rows(spark, tmp_path):
+    t = bronze.BronzeTable(spark, FILES, str(tmp_path), "t", "at")
+    t.ensure([("id", "bigint"), ("at", "timestamp"), ("note", "string")], ("day(at)",))
+    for k in range(1, 6):
+        t.merge(frame(spark, [(k, f"2026-01-0{k}T05:00:00", "x"), (10 + k, f"2026-01-0{k}T05:00:00", None)]), f"r{k}", ["id"])
+    before, old = sorted(map(tuple, t.read().fillna("").collect())), t.snapshot()
+    assert t.compact() == 5 and t.compact() == 0 and sorted(map(tuple, t.read().fillna("").collect())) == before
+    assert [e["range"] for e in t.snapshot().entries] == [["date", "2026-01-01", "2026-01-05"]] and t.read(old).count() == 10
+    assert t.merge(frame(spark, [(3, "2026-01-03T05:00:00", "again"), (99, "2026-01-09T00:00:00", "new")]), "r6", ["id"]) == 1 and t.read().count() == 11
+
+
 def test_hadoop_files(spark, tmp_path):
     from sluice.control.files import HadoopFiles, files_for
 
