@@ -32,6 +32,8 @@ SHARD_WORDS = 400_000
 BLOCK_WORDS, BLOCKS = 200_000, 4
 #: Words of a block, of which the rarest is looked up; words around it that are compared; places they may be off; band of the alignment.
 BLOCK, DRIFT, BAND = 6, 2, 12
+#: Part of the weight of 20 words that must stand near its places for an alignment; a passage that counts has 0.7 of it in order.
+NEAR = 0.6
 #: Words of a run; documents a SHARD_WORDS of the index, and three at least, in which a passage's own run may stand without the passage.
 RUN, OWN = 4, 3
 #: What search() knows of a passage before runs are compared over all shards. runs: of an inexact short passage, with the documents
@@ -78,14 +80,6 @@ def build_index(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, INDEX)
 
 
-def _lookup(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Where keys stand in a sorted array, -1 for those that don't."""
-    if not len(known):
-        return np.full(len(keys), -1, np.int64)
-    k = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[k] == keys, k, -1)
-
-
 class _Block:
     """Test items sent at once: their words in a row, their distinct terms, and their distinct runs of RUN words, numbered."""
 
@@ -97,22 +91,26 @@ class _Block:
         self.item_of = np.repeat(np.arange(len(self.ids)), self.length)
         self.terms: dict[str, int] = {}
         self.term_of = np.fromiter((self.terms.setdefault(w, len(self.terms)) for w in self.everything), np.int64, len(self.everything))
-        self.pairs = np.unique(self.term_of[:-1] * len(self.terms) + self.term_of[1:])
+        self.pairs = pd.Index(np.unique(self.term_of[:-1] * len(self.terms) + self.term_of[1:]))  # hashed, as whole shards are looked up
         four = self._fours(self.term_of)
-        self.runs = np.unique(four[self.item_of[: len(four)] == self.item_of[len(self.item_of) - len(four) :]])
+        self.runs = pd.Index(np.unique(four[self.item_of[: len(four)] == self.item_of[len(self.item_of) - len(four) :]]))
         self.run_of = self.run_at(self.term_of)
 
     def _fours(self, terms: np.ndarray) -> np.ndarray:
-        if len(terms) < RUN:
-            return np.zeros(0, np.int64)
-        a, b = terms[:-1], terms[1:]
-        two = _lookup(self.pairs, np.where((a >= 0) & (b >= 0), a * len(self.terms) + b, -1))
-        a, b = two[:-2], two[2:]
-        return np.where((a >= 0) & (b >= 0), a * len(self.pairs) + b, -1)
+        out = np.full(max(0, len(terms) - RUN + 1), -1, np.int64)
+        known = np.flatnonzero((terms[:-1] >= 0) & (terms[1:] >= 0)) if len(out) else out
+        two = np.full(len(terms), -1, np.int64)
+        two[known] = self.pairs.get_indexer(terms[known] * len(self.terms) + terms[known + 1])
+        both = np.flatnonzero((two[: len(out)] >= 0) & (two[2 : len(out) + 2] >= 0))
+        out[both] = two[both] * len(self.pairs) + two[both + 2]
+        return out
 
     def run_at(self, terms: np.ndarray) -> np.ndarray:
         """The run that begins at each place of a row of terms, -1 where none of the items' does."""
-        return _lookup(self.runs, self._fours(terms))
+        four = self._fours(terms)
+        known = np.flatnonzero(four >= 0)
+        four[known] = self.runs.get_indexer(four[known])
+        return four
 
 
 class _Shard:
@@ -156,12 +154,12 @@ def _near(s: _Shard, flat: np.ndarray, word: np.ndarray, place: np.ndarray, firs
     return found
 
 
-def _candidates(s: _Shard, flat: np.ndarray, item_of: np.ndarray, first_of: np.ndarray, length: np.ndarray) -> np.ndarray:
+def _candidates(s: _Shard, flat: np.ndarray, weight: np.ndarray, item_of: np.ndarray, first_of: np.ndarray, length: np.ndarray) -> np.ndarray:
     """(document, item, diagonal) where an alignment is worth while.
 
     Each block of an item gives the postings of its rarest term. What is left of a place goes on only if a neighbouring
     word stands next to it, then if half the words around it stand near their places, then if of some 20 words in
-    a row 12 do.
+    a row 12 do, with the NEAR part of their weight.
     """
     freq = np.where(flat >= 0, s.count[np.maximum(flat, 0)], np.iinfo(np.int64).max)
     anchors = []
@@ -211,20 +209,30 @@ def _candidates(s: _Shard, flat: np.ndarray, item_of: np.ndarray, first_of: np.n
     for lo in range(0, len(c), 4096):
         k = slice(lo, lo + 4096)
         off = np.arange(-20, 21)
-        near = _near(s, flat, c[k, 0][:, None] + off, c[k, 1][:, None] + off, first_of[item[k]][:, None], (first_of[item[k]] + length[item[k]])[:, None])
-        run = np.cumsum(np.concatenate([np.zeros((len(near), 1), np.int32), near], axis=1), axis=1)
-        good[k] = (run[:, 20:] - run[:, :-20]).max(axis=1) >= np.minimum(12, np.ceil(0.6 * length[item[k]]))
+        first, last = first_of[item[k]][:, None], (first_of[item[k]] + length[item[k]])[:, None]
+        word = c[k, 0][:, None] + off
+        near = _near(s, flat, word, c[k, 1][:, None] + off, first, last)
+        rare = np.where((word >= first) & (word < last), weight.take(word, mode="clip"), 0)
+        in_20 = lambda x: (y := np.cumsum(np.concatenate([np.zeros((len(x), 1), x.dtype), x], axis=1), axis=1))[:, 20:] - y[:, :-20]
+        enough = in_20(near.astype(np.int32)) >= np.minimum(12, np.ceil(0.6 * length[item[k]]))[:, None]
+        good[k] = (enough & (in_20(near * rare) >= NEAR * in_20(rare))).any(axis=1)
     return np.unique(np.stack([doc[good], item[good], base[good]], axis=1), axis=0)
 
 
-def _carried(s: _Shard, block: _Block) -> tuple[np.ndarray, np.ndarray]:
-    """(document, run): each run of the items' words that stands in a document, once, in order."""
+def _carried(s: _Shard, block: _Block, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(document, run): each run of the items' words that stands in a document (of those in ``only``, sorted), once, in order."""
     term_of = np.fromiter((block.terms.get(t, -1) for t in s.terms), np.int64, len(s.terms))
-    run = block.run_at(term_of[s.at[s.pad : s.pad + s.size]]) if s.size else np.zeros(0, np.int64)
-    place = np.flatnonzero(run >= 0)
+    if only is None:
+        where = np.arange(s.size)
+    else:
+        size = s.doc_starts[only + 1] - s.doc_starts[only]
+        where = np.repeat(s.doc_starts[only] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    run = block.run_at(term_of[s.at[s.pad + where]]) if len(where) else np.zeros(0, np.int64)
+    found = np.flatnonzero(run >= 0)
+    place, run = where[found], run[found]
     doc = np.searchsorted(s.doc_starts, place, "right") - 1
     inside = place + RUN <= s.doc_starts[doc + 1]
-    return np.divmod(np.unique(doc[inside] * max(1, len(block.runs)) + run[place[inside]]), max(1, len(block.runs)))
+    return np.divmod(np.unique(doc[inside] * max(1, len(block.runs)) + run[inside]), max(1, len(block.runs)))
 
 
 def _times(s: _Shard, block: _Block) -> np.ndarray:
@@ -368,7 +376,7 @@ def _passages(s: _Shard, row_terms: list[str], block: _Block, times: dict[int, i
     """The passages of a block's items in a shard's documents; see HITS."""
     ids, length, first_of, item_of = block.ids, block.length, block.first_of, block.item_of
     flat = s.codes(block.terms)[block.term_of]
-    c = _candidates(s, flat, item_of, first_of, length) if s.size else np.zeros((0, 3), np.int64)
+    c = _candidates(s, flat, weight, item_of, first_of, length) if s.size else np.zeros((0, 3), np.int64)
     if not len(c):
         return None
     # Diagonals closer than half the band share an alignment.
@@ -400,7 +408,7 @@ def _passages(s: _Shard, row_terms: list[str], block: _Block, times: dict[int, i
     hits = pd.DataFrame(rows).sort_values(["words", "matched"], ascending=False, kind="stable")
     # Of passages that are sure, the longest of a pair is enough; the runs in its document count once a pair.
     hits = hits[hits["runs"].notna() | ~hits.assign(sure=hits["runs"].isna()).duplicated(["pair", "sure"])]
-    docs, run_in = _carried(s, block)
+    docs, run_in = _carried(s, block, np.unique([d for d, _ in hits["pair"]]))
     carried = []
     for (d, i), seen in zip(hits["pair"], hits.duplicated(["pair"]).to_numpy()):
         own = block.run_of[first_of[i] : max(first_of[i], first_of[i] + length[i] - RUN + 1)]
