@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Catalog type by recorded type name, in lower case without blanks. Fixed values.
 CATALOG_TYPES = {

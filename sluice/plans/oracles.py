@@ -188,3 +188,4 @@ held as (select *, case when regexp_full_match(t, '\d{4}-\d\d-\d\d([T ]\d\d:\d\d
 select landed_no, type, case when ts is not null then regexp_replace(regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0+$', ''), '\.$', '') end as time, cast(bd as varchar) as businessdate, cast(sv as varchar) as specversion,
   (select string_agg(k, ',' order by k) from (select unnest(json_keys(j)) as k) where json_extract_string(j, '$."' || k || '"') is not null and not (k = 'type' or (k = 'time' and ts is not null) or (k = 'businessdate' and bd is not null) or (k = 'specversion' and sv is not null))) as left_over from held
 """
+SQL["p5_streamed"] = SQL["p5_totals"]

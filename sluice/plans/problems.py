@@ -13,6 +13,7 @@ from sluice.functions.instants import normalise, utc_instant
 from sluice.operators import compaction, drift, lateness, quotient, shredding
 from sluice.plans import oracles
 from sluice.session import fresh, stored, table
+from sluice.streaming.available_now import VersionedTotals, drain
 
 DOCUMENTS = {"payload": "payload_json", "envelope": "envelope_json"}
 WITHOUT = {"envelope": ("data", "data_base64")}
@@ -235,6 +236,23 @@ def p5_totals(spark: SparkSession, d: str) -> DataFrame:
     return lateness.current(hour_log(updates(spark, d)), ["messages"]).select(F.unix_seconds("period_start").alias("hour_s"), F.col("messages").cast("bigint").alias("messages"))
 
 
+def p5_streamed(spark: SparkSession, d: str) -> DataFrame:
+    """The same totals from a stream: first copies in files by order of arrival, drained a file a batch into versioned state."""
+    folder = fresh(spark, "p5-stream")
+    rows = first_arrivals(spark, d).select("event_instant", "arrived")
+    rows.repartitionByRange(4, "arrived").write.parquet(f"{folder}/in")
+    totals = VersionedTotals(spark, f"{folder}/totals", "", "event_instant", "arrived", {"messages": "1"})
+    last = -1
+
+    def each(batch: DataFrame, number: int) -> None:
+        nonlocal last
+        totals.batch(batch, number)
+        last = max(last, number)
+
+    drain(spark.readStream.schema("event_instant timestamp, arrived timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in"), each, f"{folder}/checkpoint")
+    return totals.state(last).select(F.unix_seconds("period_start").alias("hour_s"), "messages")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Every copy of a message except the first."""
     rows = table(spark, d, "feed_landing").select("landed_no", "event_source", "event_id", "_source_record_id")
@@ -248,4 +266,4 @@ def p6_once(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL = oracles.SQL
-QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_shapes, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p4_envelopes, p5_found, p5_changes, p5_totals, p6_found, p6_once)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_variants, p1_shapes, p1_kinds, p1_lines, p1_hops, p2_found, p2_instants, p3_found, p3_plan, p3_joined, p4_found, p4_changes, p4_rescued, p4_table, p4_envelopes, p5_found, p5_changes, p5_totals, p5_streamed, p6_found, p6_once)}

@@ -12,8 +12,9 @@ from sluice.functions.watermarks import codec, high_watermark, window
 from sluice.sources.base import Source
 
 
-def quoted(*parts: str | None) -> str:
-    return ".".join("`" + p.replace("`", "``") + "`" for p in parts if p)
+def quoted(*parts: str | None, mark: str = "`") -> str:
+    """A name of several parts, each quoted; ``mark`` is the session's backtick, or the double quote of standard SQL."""
+    return ".".join(mark + p.replace(mark, mark * 2) + mark for p in parts if p)
 
 
 class RelationalSource(Source):
@@ -45,7 +46,8 @@ class RelationalSource(Source):
 def build(spark: SparkSession, config: Config, table: Table, credentials: dict, clock) -> RelationalSource:
     kind = config.type
     if kind == "jdbc" or credentials.get("url"):
-        options = {k: str(v) for k, v in credentials.items()} | {"dbtable": quoted(table.database, table.schema, table.object), "fetchsize": str(config.fetch_size)}
+        # A time without zone is one here, too. Windows are pushed down; credentials may name partitionColumn and its bounds for parallel reads.
+        options = {"preferTimestampNTZ": "true", "fetchsize": str(config.fetch_size)} | {k: str(v) for k, v in credentials.items()} | {"dbtable": quoted(table.database, table.schema, table.object, mark='"')}
         return RelationalSource(spark.read.format("jdbc").options(**options).load(), table)
     if "/" in table.object:
         return RelationalSource(spark.read.parquet(table.object), table)

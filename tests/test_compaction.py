@@ -4,7 +4,6 @@ import random
 
 import pytest
 import zstandard
-from pyspark.sql import functions as F
 
 from sluice.operators import compaction as c
 

@@ -205,6 +205,21 @@ def test_merge_keys(spark):
     assert merge.insert_unmatched(a.limit(0), a, ["k"]).count() == 2
 
 
+def test_a_database_over_jdbc(spark, tmp_path):
+    from sluice.sources.relational import build
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    rows = frame(spark, ROWS).selectExpr("id as `Id`", "at as `AT`", "note as `odd \"name`")
+    rows.write.format("jdbc").options(url=url, dbtable='"orders"', driver="org.apache.derby.jdbc.EmbeddedDriver").save()
+    t = Table("orders", "orders", ("Id",), "AT")
+    source = build(spark, Config("acme", "jdbc", (t,)), t, {"url": url, "driver": "org.apache.derby.jdbc.EmbeddedDriver"}, None)
+    assert dict(source.df.dtypes)["AT"] == "timestamp_ntz"
+    low, high = WatermarkCheckpoint("AT", "2026-01-01 00:00:00.000001000", "TIMESTAMP_NTZ"), source.current_checkpoint(None)
+    got = source.extract(low, high)
+    assert high.value == "2026-01-03 00:00:00.000000000" and sorted(r["Id"] for r in got.collect()) == [2, 3]
+    assert "PushedFilters: [*IsNotNull(AT)" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_windows_refuse(spark):
     df = spark.range(3)
     with pytest.raises(ConfigurationError):
