@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from sluice.control.errors import IngestError, ManifestCommitError
 
 NAME = "_manifest.json"
+#: Requests to a store at a time.
+READERS = 32
 VERSION = 1
 _RUN_ID, _DAY = re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"\d{4}-\d\d-\d\d")
 
@@ -73,22 +76,21 @@ class CommittedRun:
 
 def committed_runs(files, root: str, source_key: str, table: str) -> list[CommittedRun]:
     """All sealed successful runs of a table, by (ingest date, run id). Folders without manifest aren't committed;
-    a manifest that can't be read is an error, not a run to skip."""
+    a manifest that can't be read is an error, not a run to skip. Days and manifests are read READERS at a time, as a store's answers
+    take longer than its bytes."""
     top = f"{root.rstrip('/')}/{source_key}/{table}"
+    days = [d for d in files.names(top) if d.startswith("ingest_date=")]
     runs = []
-    for day in files.names(top):
-        if not day.startswith("ingest_date="):
-            continue
-        for run in files.names(f"{top}/{day}"):
-            if not run.startswith("run_id="):
-                continue
-            folder = f"{top}/{day}/{run}"
-            text = files.read(f"{folder}/{NAME}")
+    with ThreadPoolExecutor(READERS) as pool:
+        listed = pool.map(lambda d: [f"{d}/{r}" for r in files.names(f"{top}/{d}") if r.startswith("run_id=")], days)
+        at = [r for some in listed for r in some]
+        for place, text in zip(at, pool.map(lambda r: files.read(f"{top}/{r}/{NAME}"), at)):
             if text is None:
                 continue
-            m = Manifest.from_json(text, folder)
+            m = Manifest.from_json(text, f"{top}/{place}")
             if m.status == "SUCCESS":
-                runs.append(CommittedRun(day.removeprefix("ingest_date="), run.removeprefix("run_id="), folder, m))
+                day, run = place.split("/")
+                runs.append(CommittedRun(day.removeprefix("ingest_date="), run.removeprefix("run_id="), f"{top}/{place}", m))
     return sorted(runs, key=lambda r: (r.ingest_date, r.run_id))
 
 

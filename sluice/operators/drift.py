@@ -146,9 +146,10 @@ def _taken_apart(df: DataFrame, json: Column, exact: Column, into: str = "__raw"
     ``exact``, the text of numbers that may have lost digits is null. The text is parsed once a row, as a column of its own."""
     known = F.col("__known")
     text = lambda v: F.when(F.col("__exact") | (F.schema_of_variant(v) != "DOUBLE"), v.cast("string"))
-    last = lambda e, i: ~F.exists(F.slice(known, i + 2, F.size(known)), lambda x: F.lower(x["key"]) == F.lower(e["key"]))
+    last = lambda e, i: F.col("__apart") | ~F.exists(F.slice(known, i + 2, F.size(known)), lambda x: F.lower(x["key"]) == F.lower(e["key"]))
     entries = F.transform(known, lambda e, i: F.struct(F.lower(e["key"]).alias("low"), e["key"].alias("name"), text(e["value"]).alias("text"), e["value"].alias("value"), last(e, i).alias("last")))
     parsed = df.select("*", F.map_entries(F.try_variant_get(F.try_parse_json(json), "$", "map<string,variant>")).alias("__known"), exact.alias("__exact"))
+    parsed = parsed.withColumn("__apart", F.size(F.array_distinct(F.transform(known, lambda e: F.lower(e["key"])))) == F.size(known))
     return parsed.select(*[F.col(f"`{c}`") for c in df.columns], entries.alias(into))
 
 
@@ -164,10 +165,17 @@ def _lost(entries: str, target: dict[str, str]) -> Column:
 
 
 def _json(*lists: Column) -> Column:
-    """Arrays of (name, value variant) as one JSON object; null without members. Arrays may be null."""
-    pairs = [F.coalesce(F.transform(x, lambda e: F.to_json(F.create_map(e["name"], e["value"]))), F.array().cast("array<string>")) for x in lists]
-    members = F.transform(F.concat(*pairs), lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
-    return F.when(F.size(members) > 0, F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")))
+    """Arrays of (name, value variant) as one JSON object; null without members. Arrays may be null. A name that stands there twice
+    (a member that is called like what is added to it) is written twice."""
+    none = F.array().cast("array<struct<name:string,value:variant>>")
+
+    def text(pairs: Column) -> Column:
+        whole = F.to_json(F.map_from_entries(pairs))
+        members = F.transform(F.transform(pairs, lambda e: F.to_json(F.create_map(e["name"], e["value"]))), lambda t: F.substring(t, F.lit(2), F.length(t) - 2))
+        single = F.size(F.array_distinct(F.transform(pairs, lambda e: e["name"]))) == F.size(pairs)
+        return F.when(F.size(pairs) > 0, F.when(single, whole).otherwise(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))))
+
+    return _let(F.concat(*[F.coalesce(x, none) for x in lists]), text)
 
 
 def _record(text: Column) -> Column:
