@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.skew import lookup
+from sluice.session import stored
 
 _STATS = "tag string, kind string, word string, n bigint, bare bigint, marked bigint, dotted bigint, final bigint, doc_id bigint, source string, chars bigint, bytes bigint, cause string, ending string, last string, message string"
 _FIELDS = [("tag", pa.string()), ("kind", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("bare", pa.int64()), ("marked", pa.int64()), ("dotted", pa.int64()), ("final", pa.int64()), ("doc_id", pa.int64()),
@@ -217,10 +218,11 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     ends = open_.select("kind", "last").distinct()
     facts = ends.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), "inner", "all", "all_ends"), "last", "left")
     facts = facts.join(trie(vocabulary, ends).withColumnRenamed("prefix", "last"), "last", "left").join(rigid, "kind", "left")
-    total = open_.count()
-    x = lookup(open_, facts, ["kind", "last"], "doc_id", open_, total)
+    total, style, limits = open_.count(), stored(style, "p9-style"), stored(limits, "p9-limits")
+    x = lookup(open_, facts, ["kind", "last"], "doc_id", open_, total, small=0)
+    x = lookup(x, short, ["message"], "doc_id", open_, total, small=0)
+    # As small as there are sources and limits: counted, and broadcast if they are.
     x = lookup(x, style, ["source", "kind"], "doc_id", open_, total)
-    x = lookup(x, short, ["message"], "doc_id", open_, total)
     for c in ("chars", "bytes"):
         x = lookup(x, limits.select("source", F.col("length").alias(c), F.col("at_limit").alias(f"at_{c}")), ["source", c], "doc_id", open_, total)
     n, bare, dotted = (F.greatest(F.coalesce(c, F.lit(0)) - own, F.lit(0)) for c, own in (("n", 1), ("bare", F.when(F.col("ending") == "bare", 1).otherwise(0)), ("dotted", F.when(F.col("ending") == "dotted", 1).otherwise(0))))
