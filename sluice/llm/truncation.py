@@ -20,15 +20,14 @@ from pyspark.sql import functions as F
 from sluice.operators.skew import lookup
 from sluice.session import stored
 
-_STATS = "tag string, kind string, word string, n bigint, bare bigint, marked bigint, dotted bigint, final bigint, doc_id bigint, source string, chars bigint, bytes bigint, cause string, ending string, last string, message string"
+_STATS = "tag string, kind string, word string, n bigint, bare bigint, marked bigint, dotted bigint, final bigint, doc_id bigint, source string, chars bigint, bytes bigint, cause string, ending string, last string, message string, tail string, inner_kind string, inner_last string"
 _FIELDS = [("tag", pa.string()), ("kind", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("bare", pa.int64()), ("marked", pa.int64()), ("dotted", pa.int64()), ("final", pa.int64()), ("doc_id", pa.int64()),
-           ("source", pa.string()), ("chars", pa.int64()), ("bytes", pa.int64()), ("cause", pa.string()), ("ending", pa.string()), ("last", pa.string()), ("message", pa.string())]
+           ("source", pa.string()), ("chars", pa.int64()), ("bytes", pa.int64()), ("cause", pa.string()), ("ending", pa.string()), ("last", pa.string()), ("message", pa.string()),
+           ("tail", pa.string()), ("inner_kind", pa.string()), ("inner_last", pa.string())]
 _KINDS = [(re.compile(p), k) for p, k in (
     (r"\s*[-*+•]\s", "bullet"), (r"\s*\d{1,3}[.)]\s", "number"), (r"\s*#{1,6}\s", "heading"), (r"\s*>", "quote"), (r"\[?\d{4}-\d\d-\d\d[ T]\d\d:\d\d", "log"), (r"[A-Za-z][\w.-]{0,20}: ", "speaker"),
 )]
-#: Words that say that something was left out. Fixed values.
-_LEFT_OUT = "cut clipped truncated abridged shortened omitted snip snipped gekürzt abgeschnitten tronqué coupé cortado truncado".split()
-_REMARK = re.compile(r"\s*[(\[{<](?:[^()\[\]{}<>\n]{0,30}\b(?:" + "|".join(_LEFT_OUT) + r")\b[^()\[\]{}<>\n]{0,30}|\s*(?:\.{3,}|…)\s*)[)\]}>]$", re.I)
+_OPENING, _CLOSING = tuple("([{<"), tuple(")]}>")
 _DOTS = re.compile(r"\s*(?:…|\.{3,})[\"'”»)]*$")
 _MARK = re.compile(r"[.!?。！？]['\"”’»)\]*_`]*$")
 _EDGE = "\"'“”‘’«»()[]{}<>*_`,;:"
@@ -66,7 +65,7 @@ def _kind(line: str) -> str:
 def describe(text: str) -> tuple[str, str, str, str, str]:
     """(cause or '', ending, kind of last line, last word, last line without its speaker) of a text's end.
 
-    cause: ``character`` (ends in a broken character), ``block`` (inside a fenced or JSON block), ``remark`` (a remark says so).
+    cause: ``character`` (ends in a broken character), ``block`` (inside a fenced or JSON block).
     ending: ``bare``, ``marked``, ``dotted``, ``fence``, ``none``.
     """
     body = text.rstrip()
@@ -74,25 +73,38 @@ def describe(text: str) -> tuple[str, str, str, str, str]:
         return "", "none", "plain", "", ""
     if body[-1] == "�":
         return "character", "bare", "plain", "", ""
-    cause = ""
-    if m := _REMARK.search(body):
-        cause, body = "remark", body[: m.start()].rstrip()
     if sum(1 for x in body.split("\n") if x.lstrip().startswith("```")) % 2:
-        return cause or "block", "bare", "plain", "", ""
+        return "block", "bare", "plain", "", ""
     line = body[body.rfind("\n") + 1 :]
     if line.strip().startswith("```"):
-        return cause, "fence", "plain", "", ""
+        return "", "fence", "plain", "", ""
     kind = _kind(line)
     message = line.split(": ", 1)[1] if kind == "speaker" and ": " in line else line
     token = line.split()[-1] if line.split() else ""
     if not token:
-        return cause, "none", kind, "", ""
+        return "", "none", kind, "", ""
     if _DOTS.search(line):
         head = _DOTS.sub("", line).rstrip()
-        return cause, "dotted", kind, (head.split() or [""])[-1].strip(_EDGE), message
+        return "", "dotted", kind, (head.split() or [""])[-1].strip(_EDGE), message
     if _MARK.search(token):
-        return cause, "marked", kind, _end(token)[0], message
-    return cause, "bare", kind, _end(token)[0], message
+        return "", "marked", kind, _end(token)[0], message
+    return "", "bare", kind, _end(token)[0], message
+
+
+def bracketed(text: str) -> tuple[str, str, str, str] | None:
+    """(shape of what a text has in brackets at its very end; kind, last word and last token of what stands before); None without such
+    brackets."""
+    body = text.rstrip()
+    if body[-1:] not in _CLOSING:
+        return None
+    start = max(body.rfind(c, -62) for c in _OPENING)
+    inside = body[start + 1 : -1]
+    if start < 0 or not inside.strip() or "\n" in inside or any(c in inside for c in _CLOSING):
+        return None
+    line = body[:start].rstrip()
+    line = line[line.rfind("\n") + 1 :]
+    tokens = line.split()
+    return (_shape(inside.strip().casefold()), _kind(line), _end(tokens[-1])[0], tokens[-1]) if tokens else None
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +120,10 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             cause, ending, kind, last, message = describe(text)
             source = source or ""
-            rows.append(("doc", kind, _shape(last), *[None] * 5, i, source, len(text), len(text.encode("utf-8", "replace")), cause, ending, last, _shape(message.strip()) if message and len(message.split()) <= 4 else None))
+            tail = None if cause else bracketed(text)
+            if tail:  # if the brackets are a remark, the word before them is a text's last, and no evidence that it is whole
+                finals[tail[1]][tail[3]] += 1
+            rows.append(("doc", kind, _shape(last), *[None] * 5, i, source, len(text), len(text.encode("utf-8", "replace")), cause, ending, last, _shape(message.strip()) if message and len(message.split()) <= 4 else None, *(tail[:3] if tail else (None,) * 3)))
             lines = text.rstrip().split("\n")
             by: dict[str, list[str]] = {}
             fenced = False
@@ -154,9 +169,9 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 word, how = _end(token)
                 if word and how != "marked":
                     total[_shape(word)][4] += n
-            rows += [("word", kind, w, *t, *[None] * 8) for w, t in total.items()]
-        rows += [("style", kind, None, n, bare, None, None, None, None, source, *[None] * 6) for (source, kind), (n, bare) in style.items()]
-        rows += [("short", None, m, n, *[None] * 12) for m, n in short.items()]
+            rows += [("word", kind, w, *t, *[None] * 11) for w, t in total.items()]
+        rows += [("style", kind, None, n, bare, None, None, None, None, source, *[None] * 9) for (source, kind), (n, bare) in style.items()]
+        rows += [("short", None, m, n, *[None] * 15) for m, n in short.items()]
         cols = list(zip(*rows)) if rows else [()] * len(_FIELDS)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, _FIELDS)], [k for k, _ in _FIELDS])
 
@@ -184,7 +199,7 @@ def trie(words: DataFrame, finals: DataFrame | None = None) -> DataFrame:
 def detect(profiled: DataFrame, piled: int = 8) -> DataFrame:
     """(doc_id, source, cause) of each text that stops because the rest is lost.
 
-    cause: ``character``, ``block``, ``remark``, ``word`` (the final word is an unknown proper prefix of known words),
+    cause: ``character``, ``block``, ``remark`` (ends in brackets before which, in a tenth of the texts that end so or more, a word is cut), ``word`` (the final word is an unknown proper prefix of known words),
     ``dots`` (dots that no text puts there on purpose), ``sentence`` (an end without mark where such lines have one, or at a
     word that doesn't end such lines), ``limit`` (an end without mark, at a length at which ``piled`` or more times as many
     texts of the source end as at the lengths around it).
@@ -198,7 +213,7 @@ def detect(profiled: DataFrame, piled: int = 8) -> DataFrame:
 
 def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     """Every text with the evidence about its end and its cause, '' for a whole text; see detect."""
-    docs = profiled.where(F.col("tag") == "doc").select("doc_id", "source", "chars", "bytes", "cause", "ending", "kind", F.col("word").alias("last"), "message")
+    docs = profiled.where(F.col("tag") == "doc").select("doc_id", "source", "chars", "bytes", "cause", "ending", "kind", F.col("word").alias("last"), "message", "tail", "inner_kind", F.col("inner_last"))
     words = profiled.where(F.col("tag") == "word").groupBy("kind", "word").agg(*[F.sum(c).alias(c) for c in ("n", "bare", "marked", "dotted", "final")])
     # Known: stands elsewhere than at a text's end, where nothing shows that it goes on (see is_known below).
     over = words.groupBy("word").agg(F.sum(F.col("n") - F.col("final")).alias("inner"), F.sum("n").alias("all"), F.sum(F.col("bare") + F.col("marked")).alias("all_ends"))
@@ -213,12 +228,21 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     near = lengths.select("source", F.explode(F.sequence(F.col("length") - 25, F.col("length") + 25)).alias("length"), "here").groupBy("source", "length").agg(F.sum("here").alias("around"))
     limits = lengths.where("here >= 5").join(near, ["source", "length"]).where(F.col("here") * 50 >= piled * (F.col("around") - F.col("here"))).select("source", "length", F.lit(True).alias("at_limit"))
 
-    open_ = docs.where((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))
+    maybe = docs.where((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))
+    tails = docs.where(F.col("tail").isNotNull()).select("doc_id", "tail", F.col("inner_kind").alias("kind"), F.col("inner_last").alias("last"))
     # What is known of a final word is joined once for each distinct one, then attached; a source, a word or a length may have any share of the texts.
-    ends = open_.select("kind", "last").distinct()
+    ends = maybe.select("kind", "last").unionByName(tails.select("kind", "last")).distinct()
     facts = ends.join(words.withColumnRenamed("word", "last"), ["kind", "last"], "left").join(over.select(F.col("word").alias("last"), "inner", "all", "all_ends"), "last", "left")
     facts = facts.join(trie(vocabulary, ends).withColumnRenamed("prefix", "last"), "last", "left").join(rigid, "kind", "left")
-    total, style, limits = open_.count(), stored(style, "p9-style"), stored(limits, "p9-limits")
+    facts, style, limits = stored(facts, "p9-facts"), stored(style, "p9-style"), stored(limits, "p9-limits")
+    # Brackets at the end are a remark if words before them are cut in a tenth of their texts or more.
+    unknown = lambda times: ~(((inner >= 2) & (inner >= 0.0005 * below)) | times) & (below > 0)
+    inner, below = F.coalesce("inner", F.lit(0)), F.coalesce("below", F.lit(0))
+    learnt = lookup(tails, facts, ["kind", "last"], "doc_id", small=0).groupBy("tail").agg(F.count_if(unknown(F.lit(False))).alias("cut"), F.count(F.lit(1)).alias("tails")).where("cut > 0 and cut * 10 >= tails")
+    docs = lookup(docs, stored(learnt.select("tail", F.lit(True).alias("remark")), "p9-remarks"), ["tail"], "doc_id")
+    docs = docs.withColumn("cause", F.when((F.col("cause") == "") & F.col("remark"), "remark").otherwise(F.col("cause")))
+    open_ = docs.where((F.col("cause") == "") & F.col("ending").isin("bare", "dotted"))
+    total = open_.count()
     x = lookup(open_, facts, ["kind", "last"], "doc_id", open_, total, small=0)
     x = lookup(x, short, ["message"], "doc_id", open_, total, small=0)
     # As small as there are sources and limits: counted, and broadcast if they are.
@@ -226,14 +250,13 @@ def weigh(profiled: DataFrame, piled: int = 8) -> DataFrame:
     for c in ("chars", "bytes"):
         x = lookup(x, limits.select("source", F.col("length").alias(c), F.col("at_limit").alias(f"at_{c}")), ["source", c], "doc_id", open_, total)
     n, bare, dotted = (F.greatest(F.coalesce(c, F.lit(0)) - own, F.lit(0)) for c, own in (("n", 1), ("bare", F.when(F.col("ending") == "bare", 1).otherwise(0)), ("dotted", F.when(F.col("ending") == "dotted", 1).otherwise(0))))
-    times, below = F.coalesce("times", F.lit(0)) - 1, F.coalesce("below", F.lit(0))
+    times = F.coalesce("times", F.lit(0)) - 1
     at_limit = F.coalesce("at_chars", "at_bytes", F.lit(False))
     loose = F.coalesce("bare_style", F.when(F.col("kind").isin("bullet", "heading", "log"), 1.0).otherwise(0.0)) >= 0.5
     # All bounds are shares of what runs through the prefix or ends such lines, so they mean the same at any size.
-    inner, kind_bare = F.coalesce("inner", F.lit(0)), F.coalesce("kind_bare", F.lit(0))
+    kind_bare = F.coalesce("kind_bare", F.lit(0))
     often = F.greatest(F.lit(3), 0.005 * kind_bare)
-    is_known = ((inner >= 2) & (inner >= 0.0005 * below)) | (times >= often)
-    part = ~is_known & (below > 0)
+    part = unknown(times >= often)
     closer = (times >= often) | ((bare >= often) & (bare >= 0.5 * n))
     own = F.when(F.col("ending") == "bare", 1).otherwise(0)
     of, ends = (F.when(F.coalesce("rigid", F.lit(False)), a).otherwise(F.coalesce(b, F.lit(0)) - o) for a, b, o in ((n, "all", 1), (bare, "all_ends", own)))

@@ -52,6 +52,16 @@ def test_cut_and_whole(spark):
     assert rates["log"] == 1 and rates["mail"] == 8 and rates[""] == 0  # one mail stands there twice
 
 
+def test_remarks_are_learnt(spark):
+    rng = random.Random(6)
+    rows = corpus(rng, 300) + [(5000 + k, f"{sentence(rng)} (ref 4{k})", "wiki") for k in range(20)]
+    ends = ["every fol", "every folder", "the che", "every window", "the enve", "the"]
+    cut = [(6000 + k, f"The window rejected {e}\n[resto omesso]", "mail") for k, e in enumerate(ends)]
+    got, _ = judged(spark, rows + cut)
+    assert got == {r[0]: "remark" for r in cut}
+    assert truncation.bracketed("a b.\n[Rest 12]  ") == ("rest 99", "plain", "b", "b.") and truncation.bracketed("[x]") is None and truncation.bracketed("a (b) c") is None
+
+
 def test_verdicts_do_not_depend_on_size(spark):
     """Ten times the rows, and ten times the cut ones: cut words that repeat are still cut."""
     small, large = corpus(random.Random(3), 300), corpus(random.Random(3), 3000)
